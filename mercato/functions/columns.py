@@ -57,14 +57,29 @@ def datetime_columns(columns: Iterable[str]) -> list[str]:
 
 # --- datetimes --------------------------------------------------------------
 
-def parse_datetime(c: ColumnOrName, fmt: str = ORDER_DATETIME_FORMAT) -> Column:
-    """Parse text with one layout; text that does not fit becomes null.
+# Layouts that have an exact shape check: text of that shape is cast
+# directly (zone-free, no per-row exception for bad text).
+_LAYOUT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$",
+    "yyyy-MM-dd": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+}
+
 
-    ``try_to_timestamp`` never raises under ANSI mode; the zoned result is
-    brought back to a zone-free ``timestamp_ntz`` (the session zone is pinned
-    to UTC, so the round trip is exact).
+def parse_datetime(c: ColumnOrName, fmt: str = ORDER_DATETIME_FORMAT) -> Column:
+    """Parse text with one layout into ``timestamp_ntz``; text that does not
+    fit the layout, or names no real date or time, becomes null.
+
+    For the common layouts the text's shape is checked with a regular
+    expression and then cast, which never raises and never throws per row
+    (a formatter-based parse pays an exception for every bad value).  Other
+    layouts use ``try_to_timestamp`` (session zone pinned to UTC, so the
+    round trip to ``timestamp_ntz`` is exact).
     """
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    col = _col(c)
+    shape = _LAYOUT_SHAPES.get(fmt)
+    if shape is not None:
+        return F.when(col.rlike(shape), col.try_cast("timestamp_ntz"))
+    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def parse_datetime_inferred(c: ColumnOrName,

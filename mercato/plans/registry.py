@@ -15,20 +15,19 @@ from mercato.plans import gold, quality, silver, verify
 from mercato.session import apply_defaults
 from mercato.sources import bronze as bronze_src
 from mercato.sources import testdata
+from mercato.sources.lazy import LazyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def bronze_for(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def bronze_for(spark: SparkSession, sf_dir: str) -> LazyTables:
     apply_defaults(spark)
     return testdata.bronze_tables(spark, sf_dir)
 
 
-def silver_for(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver_for(spark: SparkSession, sf_dir: str) -> LazyTables:
     b = bronze_for(spark, sf_dir)
-    s = silver.build_silver(b, testdata.DEDUPE_ORDER)
-    s["geo"] = b["geo"]
-    return s
+    return silver.build_silver(b, testdata.DEDUPE_ORDER).with_table("geo", lambda: b["geo"])
 
 
 def _silver_query(name: str) -> Query:

@@ -23,6 +23,7 @@ from mercato.functions import (
     upper_strip,
 )
 from mercato.operators import join_suffixed, keep_one_per_key
+from mercato.sources.lazy import LazyTables
 
 # Statuses that mark a finished and a failed order.
 COMPLETED_STATUS = "delivered"
@@ -134,23 +135,25 @@ SILVER_TABLES = (
 
 def build_silver(bronze: Mapping[str, DataFrame],
                  dedupe_order: Mapping[str, Sequence[str]] | None = None,
-                 silver_orders: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All silver tables from bronze ones (lazy).
+                 silver_orders: DataFrame | None = None) -> LazyTables:
+    """All silver tables from bronze ones, each built on first use.
 
     ``dedupe_order`` names the columns that choose the kept row per key, by
     table; absent tables fall back to the defaults.  Items are checked
-    against ``silver_orders`` when given, else against bronze orders.
+    against ``silver_orders`` when given, else against bronze orders (the
+    same order ids: cleaning keeps every order).
     """
     order = dict(dedupe_order or {})
-    out: dict[str, DataFrame] = {}
-    out["orders"] = clean_orders(bronze["orders"])
-    out["customers"] = clean_customers(bronze["customers"], order.get("customers", ("customer_id",)))
-    out["sellers"] = clean_sellers(bronze["sellers"])
-    out["products"] = clean_products(bronze["products"], bronze["product_category_name_translation"])
-    out["marketing_leads"] = clean_marketing_leads(bronze["marketing_leads"], order.get("marketing_leads"))
-    out["closed_deals"] = clean_closed_deals(bronze["closed_deals"], order.get("closed_deals"))
-    known = silver_orders if silver_orders is not None else bronze["orders"]
-    out["order_items"] = clean_order_items(bronze["order_items"], known)
-    out["order_payments"] = clean_order_payments(bronze["order_payments"])
-    out["order_reviews"] = clean_order_reviews(bronze["order_reviews"])
-    return out
+    b = bronze
+    return LazyTables({
+        "orders": lambda: clean_orders(b["orders"]),
+        "customers": lambda: clean_customers(b["customers"], order.get("customers", ("customer_id",))),
+        "sellers": lambda: clean_sellers(b["sellers"]),
+        "products": lambda: clean_products(b["products"], b["product_category_name_translation"]),
+        "marketing_leads": lambda: clean_marketing_leads(b["marketing_leads"], order.get("marketing_leads")),
+        "closed_deals": lambda: clean_closed_deals(b["closed_deals"], order.get("closed_deals")),
+        "order_items": lambda: clean_order_items(
+            b["order_items"], silver_orders if silver_orders is not None else b["orders"]),
+        "order_payments": lambda: clean_order_payments(b["order_payments"]),
+        "order_reviews": lambda: clean_order_reviews(b["order_reviews"]),
+    })

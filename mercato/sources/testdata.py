@@ -12,11 +12,14 @@ Every view reads whole tables; the modulo expressions only shape values
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.sources.lazy import LazyTables
+
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
@@ -141,43 +144,67 @@ BRONZE_TABLES = tuple(k for k in VIEWS if k != "geo_states") + ("geo",)
 
 # --- Spark side ---------------------------------------------------------------
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# The test tables are read-only, so a session resolves each file once (file
+# listing and footer read happen on the driver when a DataFrame is built).
+_RESOLVED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+class _Reader:
+    """Reads test tables, each resolved at most once per session."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._seen = _RESOLVED.setdefault(spark, {})
+
+    def __call__(self, table: str) -> DataFrame:
+        path = f"{self.sf_dir}/{table}.parquet"
+        if path not in self._seen:
+            self._seen[path] = self.spark.read.parquet(path)
+        return self._seen[path]
 
 
-def _part_df(spark: SparkSession, sf_dir: str, part: Part) -> DataFrame:
-    df = _read(spark, sf_dir, part.tables[0])
+def _part_df(read: _Reader, part: Part) -> DataFrame:
+    df = read(part.tables[0])
     for table, cond in zip(part.tables[1:], part.join_on):
-        df = df.join(_read(spark, sf_dir, table), F.expr(cond), "inner")
+        df = df.join(read(table), F.expr(cond), "inner")
     if part.where:
         df = df.where(part.where)
     df = df.selectExpr(*part.select)
     return df.distinct() if part.distinct else df
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    parts = [_part_df(spark, sf_dir, p) for p in VIEWS[name]]
+def _view(read: _Reader, name: str) -> DataFrame:
+    parts = [_part_df(read, p) for p in VIEWS[name]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _view(_Reader(spark, sf_dir), name)
+
+
+def _geo_document(read: _Reader) -> DataFrame:
+    flat = _view(read, "geo_states")
+    feature = F.struct(F.col("state_id").alias("id"),
+                       F.struct(F.col("state_name").alias("name")).alias("properties"))
+    return flat.groupBy("doc_id").agg(F.collect_list(feature).alias("features")).select("features")
+
+
 def geo_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The states as GeoJSON-like documents, one per region:
     ``features: array<struct<id, properties: struct<name>>>``.  A region
     holds five nations, so each document is small and bounded."""
-    flat = view(spark, sf_dir, "geo_states")
-    feature = F.struct(F.col("state_id").alias("id"),
-                       F.struct(F.col("state_name").alias("name")).alias("properties"))
-    return flat.groupBy("doc_id").agg(F.collect_list(feature).alias("features")).select("features")
+    return _geo_document(_Reader(spark, sf_dir))
 
 
-def bronze_tables(spark: SparkSession, sf_dir: str = DEFAULT_SF_DIR) -> dict[str, DataFrame]:
-    """All bronze tables (lazy DataFrames) derived from ``sf_dir``."""
-    out = {name: view(spark, sf_dir, name) for name in VIEWS if name != "geo_states"}
-    out["geo"] = geo_document(spark, sf_dir)
-    return out
+def bronze_tables(spark: SparkSession, sf_dir: str = DEFAULT_SF_DIR) -> LazyTables:
+    """All bronze tables derived from ``sf_dir``, each built on first use."""
+    read = _Reader(spark, sf_dir)
+    builders = {name: (lambda n=name: _view(read, n)) for name in VIEWS if name != "geo_states"}
+    builders["geo"] = lambda: _geo_document(read)
+    return LazyTables(builders)
 
 
 # --- SQL side -----------------------------------------------------------------
