@@ -1,10 +1,12 @@
 """Bronze ingestion: raw CSV files become Parquet tables.
 
-Each CSV is read by Spark's splittable reader with an explicit schema (no
-inference pass over the data): columns the pipeline names get their
-declared type, any other column is kept as text.  Quoted fields may hold
-newlines and doubled quotes; a quoted empty string stays an empty string,
-and text such as ``007`` stays text.
+Each CSV is read with an explicit schema (no inference pass over the data):
+columns the pipeline names get their declared type, any other column is
+kept as text.  Quoted fields may span lines, so a file cannot be split at
+arbitrary bytes: each file is read by one task, and parallelism comes from
+the number of files (raw drops at scale arrive as many part files).  Doubled quotes are
+unescaped; a quoted empty string stays an empty string, and text such as
+``007`` stays text.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.sources import parquet
@@ -41,12 +44,17 @@ RAW_TYPES: dict[str, dict[str, T.DataType]] = {
     "closed_deals": {"mql_id": S, "won_date": S},
 }
 
+# A quoted empty field ("") is the empty string, an unquoted empty field is
+# null.  Spark reports both as null by default, so quoted empties are read as
+# a sentinel and mapped back to "" in the projection that follows the scan.
+_QUOTED_EMPTY = "\u0000"
+
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
     "escape": '"',
     "quote": '"',
-    "emptyValue": "",
+    "emptyValue": _QUOTED_EMPTY,
     "mode": "PERMISSIVE",
 }
 
@@ -82,7 +90,10 @@ def read_csv(spark: SparkSession, path: str, table: str,
              schema: T.StructType | None = None) -> DataFrame:
     """One raw CSV as a DataFrame with declared types."""
     schema = schema or csv_schema(spark, path, table)
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c))
+                           for c in text})
 
 
 @dataclass
