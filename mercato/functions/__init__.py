@@ -1,11 +1,14 @@
 from mercato.functions.columns import (  # noqa: F401
     WHITESPACE,
     blank_to_null,
+    cents,
     datetime_columns,
     iso_weekday,
     mean,
     money_mean,
+    money_mean_of,
     money_sum,
+    money_total,
     month_start,
     n_unique,
     parse_datetime,

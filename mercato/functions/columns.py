@@ -128,10 +128,14 @@ def sum0(c: ColumnOrName) -> Column:
     return F.coalesce(F.sum(_col(c)), F.lit(0))
 
 
-def _cents(c: ColumnOrName) -> Column:
+def cents(c: ColumnOrName) -> Column:
+    """A two-decimal money value as whole cents (``bigint``)."""
     return F.round(_col(c) * 100).cast("bigint")
 
 
+_cents = cents
+
+
 def money_sum(c: ColumnOrName) -> Column:
     """Sum of a two-decimal money column, exact and order-independent.
 
@@ -146,6 +150,16 @@ def money_mean(c: ColumnOrName) -> Column:
     return F.try_divide(F.sum(_cents(c)) / F.lit(100.0), F.count(_col(c)))
 
 
+def money_total(cents_col: ColumnOrName) -> Column:
+    """``money_sum`` over rows that already hold partial sums in cents."""
+    return F.coalesce(F.sum(_col(cents_col)), F.lit(0)) / F.lit(100.0)
+
+
+def money_mean_of(cents_col: ColumnOrName, count_col: ColumnOrName) -> Column:
+    """``money_mean`` over rows that hold partial cent sums and counts."""
+    return F.try_divide(F.sum(_col(cents_col)) / F.lit(100.0), F.sum(_col(count_col)))
+
+
 def mean(c: ColumnOrName) -> Column:
     """Mean over non-null values."""
     return F.avg(_col(c))

@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import (
+    cents,
     iso_weekday,
     mean,
     money_mean,
+    money_mean_of,
     money_sum,
+    money_total,
     month_start,
     n_unique,
     ratio_pct,
@@ -98,18 +101,36 @@ def marketing_performance(t: Tables) -> DataFrame:
         .orderBy(_desc("conversion_rate_pct")))
 
 
+def _order_customer(t: Tables, how: str) -> DataFrame:
+    """(order_id, customer_state) at order grain.
+
+    Joining orders to customers before the items come in keeps the
+    customer-key shuffle at order grain; item rows then move once, by
+    order_id.  For chains of left joins this is the same result because the
+    customer join only reads order columns and never matches a null key.
+    """
+    return join_suffixed(t["orders"].select("order_id", "customer_id"),
+                         t["customers"].select("customer_id", "customer_state"),
+                         "customer_id", how).select("order_id", "customer_state")
+
+
 def state_performance(t: Tables) -> DataFrame:
     """Per customer state, revenue, distinct orders, mean freight.
 
     Items whose order or customer is unknown fall into the null state.
+    Items are first reduced to one row per order (cent sums and counts,
+    combined map-side), which is exact: every item of an order meets the
+    same order and customer rows, so sums scale with the same multiplicity.
     """
-    joined = join_suffixed(
-        join_suffixed(t["order_items"], t["orders"], "order_id", "left"),
-        t["customers"], "customer_id", "left")
+    per_order = t["order_items"].groupBy("order_id").agg(
+        F.sum(cents("price")).alias("price_cents"),
+        F.sum(cents("freight_value")).alias("freight_cents"),
+        F.count("freight_value").alias("freight_n"))
+    joined = join_suffixed(per_order, _order_customer(t, "left"), "order_id", "left")
     return (joined.groupBy("customer_state")
-            .agg(money_sum("price").alias("total_revenue"),
+            .agg(money_total("price_cents").alias("total_revenue"),
                  n_unique("order_id").alias("total_orders"),
-                 money_mean("freight_value").alias("avg_freight_cost"))
+                 money_mean_of("freight_cents", "freight_n").alias("avg_freight_cost"))
             .orderBy(_desc("total_revenue")))
 
 
@@ -212,12 +233,15 @@ def comprehensive_sales(t: Tables) -> DataFrame:
 
 
 def logistics_flow(t: Tables) -> DataFrame:
-    """Item rows per (seller state, customer state) pair."""
-    joined = join_suffixed(
-        join_suffixed(
-            join_suffixed(t["order_items"], t["sellers"], "seller_id", "inner"),
-            t["orders"], "order_id", "inner"),
-        t["customers"], "customer_id", "inner")
+    """Item rows per (seller state, customer state) pair.
+
+    Inner joins commute, so orders meet customers first (order grain) and
+    item rows are shuffled once, by order_id; sellers are a dimension that
+    Spark broadcasts when its measured size allows.
+    """
+    origin = join_suffixed(t["order_items"].select("order_id", "seller_id"),
+                           t["sellers"].select("seller_id", "seller_state"), "seller_id", "inner")
+    joined = join_suffixed(origin, _order_customer(t, "inner"), "order_id", "inner")
     return (joined.select(F.col("seller_state").alias("origin"),
                           F.col("customer_state").alias("destination"),
                           F.col("order_id"))
