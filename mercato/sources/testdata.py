@@ -159,10 +159,26 @@ class _Reader:
     def __call__(self, table: str) -> DataFrame:
         path = f"{self.sf_dir}/{table}.parquet"
         if path not in self._seen:
-            self._seen[path] = self.spark.read.parquet(path)
+            self._seen[path] = _spread(self.spark, self.spark.read.parquet(path))
         return self._seen[path]
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than there are cores.
+
+    Each test table is one file with one row group, so its scan is a single
+    task and every per-row step before the first shuffle (deriving the
+    stand-in columns, parsing, partial aggregation) would run on one core.
+    Hash partitioning on the table's first column (its key) is deterministic
+    under task retries.  Scans of real inputs have many splits and are left
+    alone.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, df.columns[0])
+
+
 def _part_df(read: _Reader, part: Part) -> DataFrame:
     df = read(part.tables[0])
     for table, cond in zip(part.tables[1:], part.join_on):
