@@ -12,6 +12,7 @@ Every view reads whole tables; the modulo expressions only shape values
 
 from __future__ import annotations
 
+import os
 import weakref
 from dataclasses import dataclass
 
@@ -159,10 +160,18 @@ class _Reader:
     def __call__(self, table: str) -> DataFrame:
         path = f"{self.sf_dir}/{table}.parquet"
         if path not in self._seen:
-            self._seen[path] = _spread(self.spark, self.spark.read.parquet(path))
+            df = self.spark.read.parquet(path)
+            if os.path.exists(path) and os.path.getsize(path) >= SPREAD_MIN_BYTES:
+                df = _spread(self.spark, df)
+            self._seen[path] = df
         return self._seen[path]
 
 
+# Test files smaller than this are left as one scan task: spreading them
+# would cost a shuffle stage for a few thousand rows.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Hash-spread a scan that yields fewer partitions than there are cores.
 
