@@ -30,7 +30,7 @@ def main() -> None:
     from mercato.session import build_session, scratch_dir
     from mercato.sources import testdata
 
-    spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=max(8, 2 * cpus))
+    spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus)
     qs = registry.queries()
 
     # Warm-up (JIT, class loading) on one query, untimed.
