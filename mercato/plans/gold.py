@@ -227,10 +227,10 @@ def order_seasonality(t: Tables) -> DataFrame:
 def geo_distribution(t: Tables) -> DataFrame:
     """Customers per state that appears in the state document.
 
-    The states come from one document that a single task has already parsed
-    into one row, so their size is bounded by that row: broadcasting them is
-    safe, and it keeps a state holding many customers from landing in one
-    join task.
+    The states come from a state document (a few dozen features) that the
+    reader parses whole into rows, so their size is bounded by the document:
+    broadcasting them is safe, and it keeps a state holding many customers
+    from landing in one join task.
     """
     states = F.broadcast(explode_states(t["geo"]))
     joined = join_on_columns(t["customers"], states, "customer_state", "state_id", "inner")
