@@ -28,6 +28,17 @@ DEFAULT_NOTE = "Standard validation check."
 DIMENSION_COLUMNS = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 MIN_DIMENSION = 0.1
 
+# Report wording -- the label of a table-level rule, the
+# verdict words, and the Markdown headings and table headers.
+TABLE_LEVEL = "Table-Level"
+PASS, FAIL, VALID, INVALID = "PASS", "FAIL", "VALID", "INVALID"
+REPORT_TITLE = "# DATA QUALITY AUDIT"
+SUMMARY_HEADING = "## 1. Executive Summary"
+SUMMARY_HEADER = ("| Dataset | Result | Success Rate | Exceptions |", "| :--- | :--- | :--- | :--- |")
+DETAIL_HEADING = "## 2. Detailed Validation Logs"
+DETAIL_HEADER = ("| Expectation Rule | Status | Column / Logic | Failures | Business Impact |",
+                 "| :--- | :--- | :--- | :--- | :--- |")
+
 # Suite order and names; a dataset's display name is its validation name
 # without the ``_validation`` suffix, title-cased.
 VALIDATIONS = ("orders_validation", "customer_validation", "payments_validation",
@@ -103,7 +114,7 @@ def run_guards(bronze: Mapping[str, DataFrame]) -> DataFrame:
 def summary(results: DataFrame) -> DataFrame:
     """Q10: per dataset, PASS/FAIL, share of rules passed, total failures."""
     return (results.groupBy("dataset", "dataset_order")
-            .agg(F.when(F.bool_and("success"), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("result"),
+            .agg(F.when(F.bool_and("success"), F.lit(PASS)).otherwise(F.lit(FAIL)).alias("result"),
                  F.format_string("%.1f%%", F.avg(F.col("success").cast("int")) * 100).alias("success_rate"),
                  F.sum("failures").cast("bigint").alias("exceptions"))
             .orderBy("dataset_order")
@@ -117,8 +128,8 @@ def detail(results: DataFrame) -> DataFrame:
     return (results.select(
         "dataset", "dataset_order", "rule_order",
         readable.alias("expectation_rule"),
-        F.when(F.col("success"), F.lit("VALID")).otherwise(F.lit("INVALID")).alias("status"),
-        F.coalesce(F.col("column_name"), F.lit("Table-Level")).alias("column_logic"),
+        F.when(F.col("success"), F.lit(VALID)).otherwise(F.lit(INVALID)).alias("status"),
+        F.coalesce(F.col("column_name"), F.lit(TABLE_LEVEL)).alias("column_logic"),
         F.col("failures"),
         F.coalesce(F.col("note"), F.lit(DEFAULT_NOTE)).alias("business_impact"))
         .orderBy("dataset_order", "rule_order"))
@@ -143,21 +154,16 @@ def render_report(summary_rows, detail_rows, when: datetime | None = None) -> st
     """Markdown health report from the collected summary and detail rows
     (one row per rule: a few dozen rows at most)."""
     when = when or datetime.now()
-    lines = ["# DATA QUALITY AUDIT",
-             f"Report Timestamp: {when.strftime('%Y-%m-%d %H:%M:%S')}", "",
-             "## 1. Executive Summary",
-             "| Dataset | Result | Success Rate | Exceptions |",
-             "| :--- | :--- | :--- | :--- |"]
+    lines = [REPORT_TITLE, f"Report Timestamp: {when.strftime('%Y-%m-%d %H:%M:%S')}", "",
+             SUMMARY_HEADING, *SUMMARY_HEADER]
     for r in summary_rows:
         lines.append(f"| {r['dataset']} | {r['result']} | {r['success_rate']} | {r['exceptions']} |")
-    lines += ["", "## 2. Detailed Validation Logs"]
+    lines += ["", DETAIL_HEADING]
     current = None
     for r in detail_rows:
         if r["dataset"] != current:
             current = r["dataset"]
-            lines += ["", f"### {current}",
-                      "| Expectation Rule | Status | Column / Logic | Failures | Business Impact |",
-                      "| :--- | :--- | :--- | :--- | :--- |"]
+            lines += ["", f"### {current}", *DETAIL_HEADER]
         lines.append(f"| {r['expectation_rule']} | {r['status']} | {r['column_logic']} | "
                      f"{r['failures']} | {r['business_impact']} |")
     return "\n".join(lines) + "\n"
