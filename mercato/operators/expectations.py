@@ -14,7 +14,7 @@ row per rule -- the only thing that is ever brought to the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +48,6 @@ class Rule:
     value_set: tuple = ()
     min_value: float | int | None = None
     max_value: float | int | None = None
-    params: dict = field(default_factory=dict, compare=False)
 
     # -- single-pass rules: (failures, success) from one aggregate row ------
     def counters(self) -> tuple[Column, Column] | None:
@@ -134,9 +133,19 @@ def _result_row(dataset: str, dataset_order: int, i: int, rule: Rule,
     )
 
 
+def key_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per distinct value of ``column`` (one aggregation, combined
+    map-side).  The same DataFrame can feed a uniqueness rule and an orphan
+    check, and Spark then runs the aggregation's shuffle once."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def validate(df: DataFrame, dataset: str, rules: Sequence[Rule],
-             dataset_order: int = 0) -> DataFrame:
-    """One row per rule: dataset, orders, rule, column_name, success, failures, note."""
+             dataset_order: int = 0, counts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row per rule: dataset, orders, rule, column_name, success, failures, note.
+
+    ``counts`` may hold ``key_counts`` results by column, shared with other
+    checks of the same table."""
     parts: list[DataFrame] = []
     single = [(i, r) for i, r in enumerate(rules) if r.counters() is not None]
     if single:
@@ -154,9 +163,10 @@ def validate(df: DataFrame, dataset: str, rules: Sequence[Rule],
     for i, r in enumerate(rules):
         if r.kind != UNIQUE:
             continue
-        c = F.col(r.column)
-        repeated = (df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-                    .where(F.col("n") > 1)
+        per_value = (counts or {}).get(r.column)
+        if per_value is None:
+            per_value = key_counts(df, r.column)
+        repeated = (per_value.where(F.col(r.column).isNotNull() & (F.col("n") > 1))
                     .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f")))
         parts.append(repeated.select(F.inline(F.array(
             _result_row(dataset, dataset_order, i, r, F.col("f"), F.col("f") == 0)))))
@@ -167,7 +177,8 @@ def validate(df: DataFrame, dataset: str, rules: Sequence[Rule],
 
 
 def orphan_rule(children: DataFrame, parents: DataFrame, key: str, dataset: str,
-                dataset_order: int = 0, note: str | None = None) -> DataFrame:
+                dataset_order: int = 0, note: str | None = None,
+                parent_keys: DataFrame | None = None) -> DataFrame:
     """Referential integrity: child rows whose key has no parent row.
 
     The check is a table row-count rule whose upper bound is 0 when orphans
@@ -175,11 +186,20 @@ def orphan_rule(children: DataFrame, parents: DataFrame, key: str, dataset: str,
     orphan count as its failures.  A null key never matches, so it is an
     orphan.  Null-key rows are counted without a join; only the others go
     through the anti join, so a hot null key never lands in one task.
+    ``parent_keys`` (distinct parent keys, e.g. ``key_counts``) may replace
+    the parent table.
     """
     k = F.col(key)
     null_orphans = children.where(k.isNull()).agg(F.count(F.lit(1)).alias("n"))
     keyed = children.where(k.isNotNull()).select(key)
-    matched_orphans = (keyed.join(parents.where(k.isNotNull()).select(key), on=key, how="left_anti")
+    if parent_keys is not None:
+        # ``n > 0`` holds for every key; referencing the count keeps this
+        # aggregation identical to the uniqueness rule's, so Spark reuses
+        # its shuffle instead of aggregating the parent keys twice.
+        known = parent_keys.where(F.col("n") > 0)
+    else:
+        known = parents
+    matched_orphans = (keyed.join(known.where(k.isNotNull()).select(key), on=key, how="left_anti")
                        .agg(F.count(F.lit(1)).alias("n")))
     total = null_orphans.unionByName(matched_orphans).agg(F.sum("n").alias("f"))
     rule = row_count_between(0, None, note)

@@ -41,3 +41,13 @@ def test_state_report_aggregates_items_before_joining(spark):
     join_at = text.find("Join LeftOuter")
     per_order_at = text.find("Aggregate [order_id")
     assert join_at != -1 and per_order_at > join_at
+
+
+def test_quality_aggregates_order_keys_once(spark):
+    from mercato.plans import quality, registry
+
+    df = quality.run_guards(registry.bronze_for(spark, SF))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # The uniqueness rule and the orphan check share one order-key shuffle.
+    assert "ReusedExchange" in plan
