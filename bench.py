@@ -42,13 +42,14 @@ def main() -> None:
         q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
-    pipeline = None
+    pipeline, stages = None, None
     if os.environ.get("BENCH_SKIP_JOB") != "1":
         out = scratch_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
         t0 = time.perf_counter()
-        run_job(spark, out, bronze=testdata.bronze_tables(spark, sf_dir),
-                dedupe_order=testdata.DEDUPE_ORDER)
+        res = run_job(spark, out, bronze=testdata.bronze_tables(spark, sf_dir),
+                      dedupe_order=testdata.DEDUPE_ORDER)
         pipeline = round(time.perf_counter() - t0, 3)
+        stages = res.stage_seconds
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -57,6 +58,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "pipeline_sec": pipeline,
+        "pipeline_stages": stages,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "spark": spark.version,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import os
+import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -31,6 +32,7 @@ class JobResult:
     gold_rows: dict = field(default_factory=dict)
     verified: bool = False
     findings: list = field(default_factory=list)
+    stage_seconds: dict = field(default_factory=dict)
 
 
 def _layer(out_dir: str, name: str) -> str:
@@ -97,6 +99,13 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
     ready ``bronze`` DataFrames; ``geo`` is the state document."""
     apply_defaults(spark)
     result = JobResult()
+    clock = [time.perf_counter()]
+
+    def lap(stage: str) -> None:
+        now = time.perf_counter()
+        result.stage_seconds[stage] = round(now - clock[0], 3)
+        clock[0] = now
+
     bronze_dir = _layer(out_dir, "bronze")
     if csv_tables is not None:
         result.ingest = bronze_src.ingest_all(spark, csv_tables, bronze_dir)
@@ -108,12 +117,17 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
         raise ValueError("give csv_tables or bronze")
     if geo is None:
         raise ValueError("the state document (geo) is required for the geo reports")
+    lap("bronze")
     b = bronze_src.read_bronze(spark, bronze_dir, bronze_src.RAW_TYPES)
     result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
+    lap("quality")
     silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")
     result.silver_rows = run_silver(spark, b, silver_dir, dedupe_order)
+    lap("silver")
     result.gold_rows = run_gold(spark, silver_dir, gold_dir, geo)
+    lap("gold")
     result.verified, findings = verify.run_verification(spark, silver_dir, gold_dir)
     result.findings = findings.collect()
+    lap("verify")
     log.info("verification %s", "PASSED" if result.verified else "FAILED")
     return result
