@@ -70,10 +70,11 @@ def parse_datetime(c: ColumnOrName, fmt: str = ORDER_DATETIME_FORMAT) -> Column:
     fit the layout, or names no real date or time, becomes null.
 
     For the common layouts the text's shape is checked with a regular
-    expression and then cast, which never raises and never throws per row
-    (a formatter-based parse pays an exception for every bad value).  Other
-    layouts use ``try_to_timestamp`` (session zone pinned to UTC, so the
-    round trip to ``timestamp_ntz`` is exact).
+    expression and then cast, which is zone-free, never raises and never
+    throws per row (a formatter-based parse pays an exception for every bad
+    value).  Other layouts use ``try_to_timestamp`` and convert back to
+    ``timestamp_ntz`` in the session zone, which is exact except for local
+    times that fall in a daylight-saving gap of that zone.
     """
     col = _col(c)
     shape = _LAYOUT_SHAPES.get(fmt)

@@ -11,11 +11,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings applied when the session does not define them already.
+# Settings applied when the session does not define them already.  The
+# session time zone is not among them: every datetime in the pipeline is a
+# zone-free ``timestamp_ntz``, so results do not depend on it.
 DEFAULTS = {
-    # Parsed datetimes are zone-free (timestamp_ntz); pinning the session
-    # zone keeps calendar extraction and casts reproducible.
-    "spark.sql.session.timeZone": "UTC",
     # Runtime re-planning: coalesce small shuffle partitions, convert
     # sort-merge joins whose side turns out small into broadcast joins
     # (a size check done on real bytes, not estimates), split skewed
@@ -32,15 +31,14 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
-    # The session zone is part of the semantics, so it is always pinned.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def build_session(master: str | None = None, app: str = "mercato",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """Session for local runs and tests; on a cluster use the given one."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.sql.session.timeZone", "UTC"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

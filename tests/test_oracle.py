@@ -37,3 +37,17 @@ def test_entry_smoke(spark):
 
 def test_preview_rows(spark):
     assert QUERIES["preview_orders"](spark, SF).count() == 5
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_results_do_not_depend_on_session_zone(spark, duck, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for name in ("silver_orders", "silver_closed_deals", "gold_order_seasonality",
+                     "gold_sales_trends", "gold_delivery_reliability"):
+            s_cols, s_rows, _ = rows_of_spark(QUERIES[name](spark, SF))
+            d_cols, d_rows, _ = rows_of_duck(duck, SQL[name])
+            assert (s_cols, s_rows) == (d_cols, d_rows), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
