@@ -6,7 +6,8 @@ computed, nothing collected).  Prints ONE JSON line.  The end-to-end job
 separately as ``pipeline_sec``.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_SKIP_JOB=1 to skip the end-to-end job.
+(default 8), BENCH_SKIP_JOB=1 to skip the end-to-end job, BENCH_EVENT_LOG=DIR
+to write Spark's event log (stage and task times) into DIR.
 """
 
 from __future__ import annotations
@@ -30,7 +31,11 @@ def main() -> None:
     from mercato.session import build_session, scratch_dir
     from mercato.sources import testdata
 
-    spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        os.makedirs(os.environ["BENCH_EVENT_LOG"], exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus, extra_conf=extra)
     qs = registry.queries()
 
     # Warm-up (JIT, class loading) on one query, untimed.

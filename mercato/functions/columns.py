@@ -134,8 +134,6 @@ def cents(c: ColumnOrName) -> Column:
     return F.round(_col(c) * 100).cast("bigint")
 
 
-_cents = cents
-
 
 def money_sum(c: ColumnOrName) -> Column:
     """Sum of a two-decimal money column, exact and order-independent.
@@ -143,12 +141,12 @@ def money_sum(c: ColumnOrName) -> Column:
     Summing doubles depends on row order (partitioning); summing whole cents
     as ``bigint`` does not, and stays in codegen.  0.0 for an all-null group.
     """
-    return F.coalesce(F.sum(_cents(c)), F.lit(0)) / F.lit(100.0)
+    return F.coalesce(F.sum(cents(c)), F.lit(0)) / F.lit(100.0)
 
 
 def money_mean(c: ColumnOrName) -> Column:
     """Mean of a money column over its non-null values (null if none)."""
-    return F.try_divide(F.sum(_cents(c)) / F.lit(100.0), F.count(_col(c)))
+    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(_col(c)))
 
 
 def money_total(cents_col: ColumnOrName) -> Column:

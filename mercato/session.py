@@ -35,10 +35,13 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, app: str = "mercato",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session for local runs and tests; on a cluster use the given one."""
     builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC"))
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
