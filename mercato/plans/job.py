@@ -119,6 +119,9 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
         raise ValueError("the state document (geo) is required for the geo reports")
     lap("bronze")
     b = bronze_src.read_bronze(spark, bronze_dir, bronze_src.RAW_TYPES)
+    missing = [t for t in bronze_src.RAW_TYPES if t not in b]
+    if missing:
+        raise parquet.MissingTableError("bronze tables missing (not ingested): " + ", ".join(missing))
     result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
     lap("quality")
     silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")

@@ -88,3 +88,14 @@ def test_job_from_csv_files(spark, tmp_path):  # whole job (S1-S4, S8, S12, V1-V
     silver_orders = spark.read.parquet(os.path.join(out, "silver", "orders_cleaned.parquet"))
     assert dict(silver_orders.dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
     assert silver_orders.where(F.col("order_purchase_timestamp").isNull()).count() == 0
+
+
+def test_job_reports_missing_raw_tables(spark, tmp_path):
+    import pytest
+
+    from mercato.sources import parquet
+
+    paths, b = _write_csvs(spark, str(tmp_path / "raw"))
+    del paths["sellers"]
+    with pytest.raises(parquet.MissingTableError, match="sellers"):
+        job.run_job(spark, str(tmp_path / "out"), csv_tables=paths, geo=b["geo"])
