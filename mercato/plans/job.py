@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import gold, quality, silver, verify
-from mercato.session import apply_defaults
+from mercato.session import apply_defaults, input_bytes, size_shuffle_partitions
 from mercato.sources import bronze as bronze_src
 from mercato.sources import parquet
 
@@ -33,6 +33,7 @@ class JobResult:
     verified: bool = False
     findings: list = field(default_factory=list)
     stage_seconds: dict = field(default_factory=dict)
+    shuffle_partitions: int | None = None
 
 
 def _layer(out_dir: str, name: str) -> str:
@@ -122,6 +123,10 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
     missing = [t for t in bronze_src.RAW_TYPES if t not in b]
     if missing:
         raise parquet.MissingTableError("bronze tables missing (not ingested): " + ", ".join(missing))
+    # Later shuffles (dedupe, joins, reports) start from a partition count
+    # sized to the bronze data, so no task has to sort or aggregate far more
+    # than fits its memory; AQE coalesces the partitions that stay small.
+    result.shuffle_partitions = size_shuffle_partitions(spark, input_bytes(spark, bronze_dir))
     result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
     lap("quality")
     silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")

@@ -73,3 +73,41 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder below the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+# Shuffle sizing: Parquet expands roughly this much when decoded, and each
+# shuffle partition should hold about this many bytes so that a task's sort
+# and aggregation buffers fit executor memory (spilling stays the exception).
+PARQUET_EXPANSION = 4
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_INITIAL_PARTITIONS = 200_000
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below ``path``, listed by Spark (works on any
+    file system; only file metadata is read)."""
+    from pyspark.sql import functions as F
+
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(path).select("length"))
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def size_shuffle_partitions(spark: SparkSession, data_bytes: int) -> int:
+    """Start every shuffle with enough partitions for ``data_bytes`` of
+    compressed input; AQE coalesces what turns out small.
+
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` unless
+    the session already sets it, and never below the session's
+    ``spark.sql.shuffle.partitions``.  Returns the value in effect.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = spark.conf.get(key, None)
+    if current not in (None, ""):
+        return int(current)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-data_bytes * PARQUET_EXPANSION // TARGET_PARTITION_BYTES)
+    value = min(max(base, wanted), MAX_INITIAL_PARTITIONS)
+    if value > base:
+        spark.conf.set(key, str(value))
+    return value

@@ -141,3 +141,21 @@ def test_money_sum_is_exact(spark):  # T9
 def test_ratio_pct(spark):
     df = spark.createDataFrame([(1, 4), (1, 0)], "a bigint, b bigint")
     assert [r.p for r in df.select(ratio_pct("a", "b").alias("p")).collect()] == [25.0, None]
+
+
+def test_shuffle_sizing(spark, tmp_path):
+    from mercato import session
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session.size_shuffle_partitions(spark, 1000) == base  # small input: unchanged
+    assert spark.conf.get(key, None) in (None, "")
+    try:
+        big = 100 * 1024 ** 4  # 100 TiB of Parquet
+        assert session.size_shuffle_partitions(spark, big) == session.MAX_INITIAL_PARTITIONS
+        spark.conf.set(key, "777")  # an explicit setting wins
+        assert session.size_shuffle_partitions(spark, big) == 777
+    finally:
+        spark.conf.unset(key)
+    spark.range(10).write.parquet(str(tmp_path / "p"))
+    assert session.input_bytes(spark, str(tmp_path / "p")) > 0
