@@ -1,7 +1,6 @@
 """Expectation rules, guards and the health report format."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from mercato.operators import expectations as ex
 from mercato.plans import quality
