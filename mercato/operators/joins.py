@@ -55,3 +55,23 @@ def join_on_columns(left: DataFrame, right: DataFrame, left_on: str, right_on: s
         right_out.append(F.col(f"__r.`{c}`").alias(c + suffix if c in left_cols else c))
     cond = F.col(f"__l.`{left_on}`") == F.col(f"__r.`{right_on}`")
     return l.join(r, cond, how).select(*[F.col(f"__l.`{c}`") for c in left.columns], *right_out)
+
+
+def left_join_split_nulls(left: DataFrame, right: DataFrame, on: str | Sequence[str],
+                          suffix: str = RIGHT_SUFFIX) -> DataFrame:
+    """Left join in which rows with a null key skip the join.
+
+    A null key never matches, so those rows get null right columns directly
+    instead of being shuffled -- all of them would hash to one partition.
+    Use it when the left side is cheap to read twice (a scan with pushed
+    filters), since each branch reads it once.
+    """
+    keys = _keys(on)
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    matched = join_suffixed(left.where(~has_null), right, keys, "left", suffix)
+    extra = matched.schema.fields[len(left.columns):]
+    unmatched = left.where(has_null).select(
+        *left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return matched.unionByName(unmatched)

@@ -159,3 +159,17 @@ def test_shuffle_sizing(spark, tmp_path):
         spark.conf.unset(key)
     spark.range(10).write.parquet(str(tmp_path / "p"))
     assert session.input_bytes(spark, str(tmp_path / "p")) > 0
+
+
+def test_left_join_split_nulls(spark):
+    from mercato.operators import left_join_split_nulls
+
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (3, "d")], "k int, x string")
+    right = spark.createDataFrame([(1, "r1"), (1, "r1b"), (3, "r3"), (None, "rn")], "k int, y string")
+    def key(r):
+        return tuple((v is None, v if v is not None else 0) for v in r)
+
+    got = sorted((tuple(r) for r in left_join_split_nulls(left, right, "k").collect()), key=key)
+    want = sorted((tuple(r) for r in join_suffixed(left, right, "k", "left").collect()), key=key)
+    assert got == want and len(got) == 5
+    assert left_join_split_nulls(left, right, "k").columns == ["k", "x", "y"]
