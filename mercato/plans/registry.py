@@ -7,6 +7,7 @@ silver table, gold report, quality suite or audit.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,32 @@ from mercato.sources.lazy import LazyTables
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Bronze and silver DataFrames are lazy plans over read-only test tables, so
+# a session defines them once per folder and every query derives from them
+# (no data is cached: each action reads the files).  The key includes the
+# settings that analysis binds into a plan.
+_DEFINED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _defined(spark: SparkSession, sf_dir: str) -> dict:
+    key = (sf_dir.rstrip("/"), spark.conf.get("spark.sql.session.timeZone"),
+           spark.conf.get("spark.sql.ansi.enabled"))
+    per_session = _DEFINED.setdefault(spark, {})
+    if key not in per_session:
+        apply_defaults(spark)
+        b = testdata.bronze_tables(spark, sf_dir)
+        s = silver.build_silver(b, testdata.DEDUPE_ORDER).with_table("geo", lambda: b["geo"])
+        per_session[key] = {"bronze": b, "silver": s,
+                            "derived": LazyTables({"guards": lambda: quality.run_guards(b)})}
+    return per_session[key]
+
+
 def bronze_for(spark: SparkSession, sf_dir: str) -> LazyTables:
-    apply_defaults(spark)
-    return testdata.bronze_tables(spark, sf_dir)
+    return _defined(spark, sf_dir)["bronze"]
 
 
 def silver_for(spark: SparkSession, sf_dir: str) -> LazyTables:
-    b = bronze_for(spark, sf_dir)
-    return silver.build_silver(b, testdata.DEDUPE_ORDER).with_table("geo", lambda: b["geo"])
+    return _defined(spark, sf_dir)["silver"]
 
 
 def _silver_query(name: str) -> Query:
@@ -53,12 +72,16 @@ def _guard_query(name: str) -> Query:
     return lambda spark, sf_dir: guard(bronze_for(spark, sf_dir))
 
 
+def _guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _defined(spark, sf_dir)["derived"]["guards"]
+
+
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summary(quality.run_guards(bronze_for(spark, sf_dir)))
+    return quality.summary(_guards(spark, sf_dir))
 
 
 def quality_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.detail(quality.run_guards(bronze_for(spark, sf_dir)))
+    return quality.detail(_guards(spark, sf_dir))
 
 
 def verify_silver_case(spark: SparkSession, sf_dir: str) -> DataFrame:
