@@ -161,7 +161,7 @@ class _Reader:
         path = f"{self.sf_dir}/{table}.parquet"
         if path not in self._seen:
             df = self.spark.read.parquet(path)
-            if os.path.exists(path) and os.path.getsize(path) >= SPREAD_MIN_BYTES:
+            if _single_split(self.spark, path):
                 df = _spread(self.spark, df)
             self._seen[path] = df
         return self._seen[path]
@@ -172,8 +172,18 @@ class _Reader:
 SPREAD_MIN_BYTES = 1 << 20
 
 
+def _single_split(spark: SparkSession, path: str) -> bool:
+    """A local test file of some size whose row groups (the units a Parquet
+    scan splits at) are fewer than the cores; read from the file footer."""
+    if not os.path.isfile(path) or os.path.getsize(path) < SPREAD_MIN_BYTES:
+        return False
+    import pyarrow.parquet as pq
+
+    return pq.ParquetFile(path).metadata.num_row_groups < spark.sparkContext.defaultParallelism
+
+
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than there are cores.
+    """Hash-spread a scan of a single-split test file over the cores.
 
     Each test table is one file with one row group, so its scan is a single
     task and every per-row step before the first shuffle (deriving the
@@ -182,10 +192,7 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     under task retries.  Scans of real inputs have many splits and are left
     alone.
     """
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
+    return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
 
 
 def _part_df(read: _Reader, part: Part) -> DataFrame:
