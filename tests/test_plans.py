@@ -51,3 +51,21 @@ def test_quality_aggregates_order_keys_once(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # The uniqueness rule and the orphan check share one order-key shuffle.
     assert "ReusedExchange" in plan
+
+
+def test_report_filters_reach_the_parquet_scan(spark, tmp_path):
+    """In the job, reports read silver Parquet: their filters and column
+    choices must reach the scan."""
+    from mercato.plans import gold, registry
+
+    silver_orders = registry.silver_for(spark, SF)["orders"]
+    path = str(tmp_path / "orders")
+    silver_orders.write.parquet(path)
+    payments_path = str(tmp_path / "payments")
+    registry.silver_for(spark, SF)["order_payments"].write.parquet(payments_path)
+    df = gold.sales_trends({"orders": spark.read.parquet(path),
+                            "order_payments": spark.read.parquet(payments_path)})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(is_completed_transaction,true)" in plan
+    # Only the needed order columns are read.
+    assert "order_delivered_customer_date" not in plan and "order_status" not in plan
