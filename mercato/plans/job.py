@@ -95,7 +95,8 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, geo: DataFrame
 
 def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str] | None = None,
             bronze: Mapping[str, DataFrame] | None = None, geo: DataFrame | None = None,
-            dedupe_order: Mapping | None = None, fail_on: Iterable[str] = ()) -> JobResult:
+            dedupe_order: Mapping | None = None, fail_on: Iterable[str] = (),
+            csv_multiline: bool = True) -> JobResult:
     """Run all stages.  Give either ``csv_tables`` ({table: csv path}) or
     ready ``bronze`` DataFrames; ``geo`` is the state document."""
     apply_defaults(spark)
@@ -109,7 +110,7 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
 
     bronze_dir = _layer(out_dir, "bronze")
     if csv_tables is not None:
-        result.ingest = bronze_src.ingest_all(spark, csv_tables, bronze_dir)
+        result.ingest = bronze_src.ingest_all(spark, csv_tables, bronze_dir, csv_multiline)
     elif bronze is not None:
         result.ingest = write_bronze(bronze, bronze_dir)
         if geo is None:

@@ -2,9 +2,11 @@
 
 Each CSV is read with an explicit schema (no inference pass over the data):
 columns the pipeline names get their declared type, any other column is
-kept as text.  Quoted fields may span lines, so a file cannot be split at
-arbitrary bytes: each file is read by one task, and parallelism comes from
-the number of files (raw drops at scale arrive as many part files).  Doubled quotes are
+kept as text.  Quoted fields may span lines, so by default a file cannot be
+split at arbitrary bytes: each file is read by one task, and parallelism
+comes from the number of files (raw drops at scale arrive as many part
+files).  For files known to have no line breaks inside quotes,
+``multiline=False`` lets Spark split each file.  Doubled quotes are
 unescaped; a quoted empty string stays an empty string, and text such as
 ``007`` stays text.
 """
@@ -77,20 +79,28 @@ def discover_tables(raw_dir: str, prefix: str = "", suffix: str = "_dataset") ->
             for p in sorted(glob.glob(os.path.join(raw_dir, "*.csv")))}
 
 
-def csv_schema(spark: SparkSession, path: str, table: str) -> T.StructType:
+def _options(multiline: bool) -> dict[str, str]:
+    return {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
+
+
+def csv_schema(spark: SparkSession, path: str, table: str, multiline: bool = True) -> T.StructType:
     """Header names in file order, typed from ``RAW_TYPES`` (text otherwise).
 
     Only the header line is read to learn the names."""
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    header = spark.read.options(**_options(multiline)).csv(path).columns
     types = RAW_TYPES.get(table, {})
     return T.StructType([T.StructField(c, types.get(c, S), True) for c in header])
 
 
 def read_csv(spark: SparkSession, path: str, table: str,
-             schema: T.StructType | None = None) -> DataFrame:
-    """One raw CSV as a DataFrame with declared types."""
-    schema = schema or csv_schema(spark, path, table)
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+             schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
+    """One raw CSV as a DataFrame with declared types.
+
+    ``multiline=False`` is for raw files known to hold no line breaks inside
+    quoted fields: Spark can then split a large file into many read tasks.
+    """
+    schema = schema or csv_schema(spark, path, table, multiline)
+    df = spark.read.options(**_options(multiline)).schema(schema).csv(path)
     text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c))
                            for c in text})
@@ -105,11 +115,12 @@ class IngestStatus:
     message: str
 
 
-def ingest_csv(spark: SparkSession, table: str, csv_path: str, bronze_dir: str) -> IngestStatus:
+def ingest_csv(spark: SparkSession, table: str, csv_path: str, bronze_dir: str,
+               multiline: bool = True) -> IngestStatus:
     """S3: load one CSV into its bronze table, replacing it.  A missing file
     or a failure is reported and skipped, not raised."""
     try:
-        df = read_csv(spark, csv_path, table)
+        df = read_csv(spark, csv_path, table, multiline=multiline)
     except Exception as e:  # noqa: BLE001 - reported as a status row
         log.error("Failed to read %s: %s", csv_path, e)
         return IngestStatus(table, csv_path, None, False, f"read failed: {e}")
@@ -122,9 +133,10 @@ def ingest_csv(spark: SparkSession, table: str, csv_path: str, bronze_dir: str)
     return IngestStatus(table, csv_path, rows, True, "loaded")
 
 
-def ingest_all(spark: SparkSession, tables: Mapping[str, str], bronze_dir: str) -> list[IngestStatus]:
+def ingest_all(spark: SparkSession, tables: Mapping[str, str], bronze_dir: str,
+               multiline: bool = True) -> list[IngestStatus]:
     """Every table of the map, in order."""
-    return [ingest_csv(spark, t, p, bronze_dir) for t, p in tables.items()]
+    return [ingest_csv(spark, t, p, bronze_dir, multiline) for t, p in tables.items()]
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, tables) -> dict[str, DataFrame]:

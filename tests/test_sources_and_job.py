@@ -99,3 +99,11 @@ def test_job_reports_missing_raw_tables(spark, tmp_path):
     del paths["sellers"]
     with pytest.raises(parquet.MissingTableError, match="sellers"):
         job.run_job(spark, str(tmp_path / "out"), csv_tables=paths, geo=b["geo"])
+
+
+def test_single_line_csv_reads_the_same(spark, tmp_path):
+    p = tmp_path / "sellers.csv"
+    p.write_text("seller_id,seller_city,seller_state\n1, sao paulo ,SP\n2,\"rio, de janeiro\",RJ\n3,,\"\"\n")
+    a = sorted(tuple(r) for r in bronze.read_csv(spark, str(p), "sellers").collect())
+    b = sorted(tuple(r) for r in bronze.read_csv(spark, str(p), "sellers", multiline=False).collect())
+    assert a == b and ("3", None, "") in a
