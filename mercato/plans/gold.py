@@ -278,7 +278,7 @@ def logistics_flow(t: Tables) -> DataFrame:
             .agg(F.count("order_id").alias("order_count")))
 
 
-# The reports in build order, by output name.
+# G16 -- fixed values: the report output names, in build order.
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "state_performance": state_performance,
     "category_performance": category_performance,

@@ -39,8 +39,9 @@ DETAIL_HEADING = "## 2. Detailed Validation Logs"
 DETAIL_HEADER = ("| Expectation Rule | Status | Column / Logic | Failures | Business Impact |",
                  "| :--- | :--- | :--- | :--- | :--- |")
 
-# Suite order and names; a dataset's display name is its validation name
-# without the ``_validation`` suffix, title-cased.
+# The suites' validation names, in run order.  A dataset's
+# display name is its validation name without the ``_validation`` suffix,
+# title-cased.
 VALIDATIONS = ("orders_validation", "customer_validation", "payments_validation",
                "product_validation", "relational_validation")
 

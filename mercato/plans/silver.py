@@ -125,8 +125,8 @@ def clean_order_reviews(reviews: DataFrame) -> DataFrame:
     })
 
 
-# Names of the silver tables, in the order they are built (dependencies
-# first within the stage: items read the silver orders).
+# The silver table names, in the order they are built
+# (dependencies first within the stage: items read the silver orders).
 SILVER_TABLES = (
     "orders", "customers", "sellers", "products", "marketing_leads",
     "closed_deals", "order_items", "order_payments", "order_reviews",

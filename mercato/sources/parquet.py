@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 log = logging.getLogger("mercato")
 
 
+# Output naming -- ``<name>_cleaned.parquet`` for silver
+# tables, ``gold_<name>.parquet`` for reports.
+
+
 def silver_path(silver_dir: str, name: str) -> str:
     return f"{silver_dir.rstrip('/')}/{name}_cleaned.parquet"
 
