@@ -29,7 +29,8 @@ log = logging.getLogger("mercato")
 
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
-# Types of the raw columns the pipeline names; all other columns are text.
+# The raw columns the pipeline names, with the types declared
+# for them; all other columns are read as text.
 RAW_TYPES: dict[str, dict[str, T.DataType]] = {
     "customers": {"customer_id": S, "customer_unique_id": S, "customer_city": S, "customer_state": S},
     "orders": {"order_id": S, "customer_id": S, "order_status": S, "order_purchase_timestamp": S,
