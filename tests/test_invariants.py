@@ -80,3 +80,34 @@ def test_whole_days_matches_python(spark):
     got = [r.d for r in df.select(whole_days("a", "b").alias("d")).collect()]
     want = [int((b - a).total_seconds() / 86400) for a, b in rows]  # truncates toward zero
     assert got == want
+
+
+def test_parse_datetime_matches_strptime(spark):
+    from mercato.functions import parse_datetime
+
+    rnd = random.Random(3)
+
+    def two(lo, hi):
+        return f"{rnd.randint(lo, hi):02d}"
+
+    texts = []
+    for _ in range(400):
+        kind = rnd.random()
+        if kind < 0.6:  # right shape, sometimes impossible values
+            texts.append(f"{rnd.randint(1990, 2030)}-{two(0, 13)}-{two(0, 32)} {two(0, 25)}:{two(0, 60)}:{two(0, 60)}")
+        elif kind < 0.8:
+            texts.append(f"{rnd.randint(1990, 2030)}-{two(1, 12)}-{two(1, 28)}")
+        else:
+            texts.append(rnd.choice(["", "bad", "2018-01-01T10:00:00", "2018/01/01 10:00:00", " 2018-01-01 10:00:00"]))
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.t for r in df.select(parse_datetime("s").alias("t")).collect()]
+
+    def want(t):
+        if len(t) != 19:
+            return None
+        try:
+            return dt.datetime.strptime(t, "%Y-%m-%d %H:%M:%S")
+        except ValueError:
+            return None
+
+    assert got == [want(t) for t in texts]

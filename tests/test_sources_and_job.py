@@ -107,3 +107,23 @@ def test_single_line_csv_reads_the_same(spark, tmp_path):
     a = sorted(tuple(r) for r in bronze.read_csv(spark, str(p), "sellers").collect())
     b = sorted(tuple(r) for r in bronze.read_csv(spark, str(p), "sellers", multiline=False).collect())
     assert a == b and ("3", None, "") in a
+
+
+def test_cli_runs_the_job(spark, tmp_path):
+    from mercato.__main__ import main
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    b = testdata.bronze_tables(spark, SF)
+    for t in bronze.RAW_TYPES:  # one CSV file per table, as raw drops arrive
+        b[t].toPandas().to_csv(raw / f"shop_{t}_dataset.csv", index=False)
+    rows = testdata.view(spark, SF, "geo_states").collect()
+    (raw / "states.json").write_text(json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "id": r.state_id, "properties": {"name": r.state_name}} for r in rows]}))
+    out = tmp_path / "out"
+    args = ["--raw-dir", str(raw), "--geo", str(raw / "states.json"), "--out", str(out), "--prefix", "shop_"]
+    assert main(args) == 0
+    assert len(os.listdir(out / "gold")) == 15
+    assert (out / "reports" / "data_health_summary.md").exists()
+    # Without the prefix the table names do not resolve: a clean failure.
+    assert main(args[:-2] + ["--out", str(tmp_path / "out2")]) == 1
