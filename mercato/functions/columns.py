@@ -130,8 +130,13 @@ def sum0(c: ColumnOrName) -> Column:
 
 
 def cents(c: ColumnOrName) -> Column:
-    """A two-decimal money value as whole cents (``bigint``)."""
-    return F.round(_col(c) * 100).cast("bigint")
+    """A two-decimal money value as whole cents (``bigint``).
+
+    A value with no whole-cent form (NaN, infinity, beyond the ``bigint``
+    range) becomes null -- left out of sums and means -- instead of failing
+    the job under ANSI casts.
+    """
+    return F.round(_col(c) * 100).try_cast("bigint")
 
 
 
@@ -146,7 +151,7 @@ def money_sum(c: ColumnOrName) -> Column:
 
 def money_mean(c: ColumnOrName) -> Column:
     """Mean of a money column over its non-null values (null if none)."""
-    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(_col(c)))
+    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(cents(c)))
 
 
 def money_total(cents_col: ColumnOrName) -> Column:

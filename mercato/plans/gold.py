@@ -131,7 +131,7 @@ def state_performance(t: Tables) -> DataFrame:
     per_order = t["order_items"].groupBy("order_id").agg(
         F.sum(cents("price")).alias("price_cents"),
         F.sum(cents("freight_value")).alias("freight_cents"),
-        F.count("freight_value").alias("freight_n"))
+        F.count(cents("freight_value")).alias("freight_n"))
     joined = join_suffixed(per_order, _order_customer(t, "left"), "order_id", "left")
     return (joined.groupBy("customer_state")
             .agg(money_total("price_cents").alias("total_revenue"),

@@ -35,7 +35,7 @@ def _mean(c: str) -> str:
 
 
 def _cents(c: str) -> str:
-    return f"CAST(round({c} * 100) AS BIGINT)"
+    return f"TRY_CAST(round({c} * 100) AS BIGINT)"
 
 
 def _money_sum(c: str) -> str:
@@ -43,7 +43,7 @@ def _money_sum(c: str) -> str:
 
 
 def _money_mean(c: str) -> str:
-    return f"((CAST(sum({_cents(c)}) AS DOUBLE) / CAST(100 AS DOUBLE)) / nullif(count({c}), 0))"
+    return f"((CAST(sum({_cents(c)}) AS DOUBLE) / CAST(100 AS DOUBLE)) / nullif(count({_cents(c)}), 0))"
 
 
 def _n_unique(c: str) -> str:

@@ -173,3 +173,9 @@ def test_left_join_split_nulls(spark):
     want = sorted((tuple(r) for r in join_suffixed(left, right, "k", "left").collect()), key=key)
     assert got == want and len(got) == 5
     assert left_join_split_nulls(left, right, "k").columns == ["k", "x", "y"]
+
+
+def test_money_ignores_values_without_cents(spark):
+    df = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),), (1e300,), (2.5,)], "p double")
+    r = df.agg(money_sum("p").alias("s"), money_mean("p").alias("m")).collect()[0]
+    assert r.s == 3.75 and r.m == 3.75 / 2
