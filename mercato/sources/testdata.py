@@ -140,9 +140,6 @@ DEDUPE_ORDER = {
     "closed_deals": ("event_id",),
 }
 
-BRONZE_TABLES = tuple(k for k in VIEWS if k != "geo_states") + ("geo",)
-
-
 # --- Spark side ---------------------------------------------------------------
 
 # The test tables are read-only, so a session resolves each file once (file
