@@ -41,11 +41,17 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="mercato-bench", shuffle_partitions=cpus, extra_conf=extra)
     qs = registry.queries()
 
+    errors: dict[str, str] = {}
+
     def run_all() -> dict[str, float]:
         out: dict[str, float] = {}
         for name, q in qs.items():
             t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            try:
+                q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            except Exception as e:  # noqa: BLE001 - reported in the JSON line
+                errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+                continue
             out[name] = round(time.perf_counter() - t0, 3)
         return out
 
@@ -56,10 +62,13 @@ def main() -> None:
     if os.environ.get("BENCH_SKIP_JOB") != "1":
         out = scratch_dir(spark, f"bench-{uuid.uuid4().hex[:8]}")
         t0 = time.perf_counter()
-        res = run_job(spark, out, bronze=testdata.bronze_tables(spark, sf_dir),
-                      dedupe_order=testdata.DEDUPE_ORDER)
-        job_sec = round(time.perf_counter() - t0, 3)
-        stages = res.stage_seconds
+        try:
+            res = run_job(spark, out, bronze=testdata.bronze_tables(spark, sf_dir),
+                          dedupe_order=testdata.DEDUPE_ORDER)
+            job_sec = round(time.perf_counter() - t0, 3)
+            stages = res.stage_seconds
+        except Exception as e:  # noqa: BLE001 - reported in the JSON line
+            errors["job"] = f"{type(e).__name__}: {str(e)[:300]}"
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -71,6 +80,7 @@ def main() -> None:
         "cold_queries": cold,
         "job_sec": job_sec,
         "job_stages": stages,
+        "errors": errors,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "spark": spark.version,
