@@ -61,6 +61,12 @@ def test_keep_one_per_key(spark):  # T4
     got = sorted(keep_one_per_key(df, "key", ["id"]).collect(), key=lambda r: r.id)
     assert [(r.id, r.key, r.v) for r in got] == [(1, "k1", "x"), (3, "k2", "z"), (5, None, "n1")]
     assert keep_one_per_key(df, "key").columns == df.columns
+    # Without order columns the kept row is the smallest by the remaining
+    # columns, in column order (id first here).
+    default = {r.key: (r.id, r.v) for r in keep_one_per_key(df, "key").collect()}
+    assert default == {"k1": (1, "x"), "k2": (3, "z"), None: (5, "n1")}
+    by_v = {r.key: r.v for r in keep_one_per_key(df.select("key", "v", "id"), "key").collect()}
+    assert by_v == {"k1": "x", "k2": "w", None: "n1"}
 
 
 def test_keep_one_per_key_hot_key(spark):
