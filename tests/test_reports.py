@@ -90,3 +90,12 @@ def test_geo_explode_outer(spark):  # G12
         "features array<struct<id string, properties struct<name string>>>")
     rows = sorted(gold.geolocation_lookup({"geo": doc}).collect(), key=lambda r: (r.state_id or ""))
     assert [(r.state_id, r.state_name) for r in rows] == [(None, None), ("RJ", "Rio"), ("SP", "Sao Paulo")]
+
+
+def test_reviews_median_of_even_count_interpolates(spark):  # C9
+    df = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 2, 3), (4, 2, 4), (5, 3, None)],
+                               "review_id int, order_id int, review_score bigint")
+    df = df.selectExpr("*", "CAST(NULL AS STRING) AS review_creation_date",
+                       "CAST(NULL AS STRING) AS review_answer_timestamp")
+    out = {r.review_id: r.review_score for r in silver.clean_order_reviews(df).collect()}
+    assert out == {1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0, 5: 2.5}
