@@ -111,3 +111,41 @@ def test_parse_datetime_matches_strptime(spark):
             return None
 
     assert got == [want(t) for t in texts]
+
+
+def test_counts_documented_for_the_stand_ins(spark):
+    """The sf0.001 counts listed in FIXTURES.md section 2."""
+    b = registry.bronze_for(spark, SF)
+    s = registry.silver_for(spark, SF)
+    c = F.col
+    assert (b["customers"].count(), s["customers"].count()) == (150, 135)
+    raw_delivered = c("order_delivered_customer_date")
+    assert b["orders"].where(raw_delivered == "").count() == 260
+    assert b["orders"].where(raw_delivered.isNull()).count() == 491
+    assert b["orders"].where(raw_delivered == "not a date").count() == 256
+    status = {r[0]: r[1] for r in b["orders"].groupBy("order_status").count().collect()}
+    assert status["delivered"] == 493
+    assert status.get("canceled", 0) + status.get("unavailable", 0) == 199
+    assert sum(status.values()) - 493 - 199 == 808
+    items, orders = b["order_items"], b["orders"]
+    assert items.join(orders.select("order_id"), "order_id", "left_anti").count() == 67
+    assert items.where(c("price") == 0).count() == 17
+    products = b["products"]
+    assert products.where(c("product_category_name").isNull()).count() == 4
+    assert products.where(~c("product_weight_g").between(1, 50000)).count() == 14
+    assert products.where(c("product_weight_g") < 0.1).count() == 7
+    leads, deals = b["marketing_leads"], b["closed_deals"]
+    assert (leads.count(), s["marketing_leads"].count()) == (199, 15)
+    assert leads.where(c("origin").isNull()).count() == 42
+    assert (deals.count(), s["closed_deals"].count()) == (71, 5)
+    assert deals.where(c("won_date") == "not a date").count() == 12
+    pay = b["order_payments"]
+    assert (pay.count(), pay.where(c("payment_value") == 0).count()) == (1800, 30)
+    rev = b["order_reviews"]
+    assert rev.where(c("review_score").isNull()).count() == 91
+    assert (rev.count(), rev.select("order_id").distinct().count()) == (1167, 1000)
+    assert s["order_reviews"].where(c("review_score") == 3.0).count() == (
+        rev.where(c("review_score") == 3).count() + 91)  # median 3.0 fills the nulls
+    late = gold.delivery_reliability(s).agg(F.sum("total_late_orders")).collect()[0][0]
+    after = s["orders"].where(c("order_delivered_customer_date") > c("order_estimated_delivery_date")).count()
+    assert (after, late) == (165, 154)  # T1: after the estimate vs late by a whole day
