@@ -318,6 +318,12 @@ VERIFY_CASE_SQL = " UNION ALL ".join(
                  ("sellers", "seller_city"), ("sellers", "seller_state")])
 
 
+VERIFY_COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM silver_{t}"
+    for t in ("orders", "customers", "sellers", "products", "marketing_leads", "closed_deals",
+              "order_items", "order_payments", "order_reviews"))
+
+
 def with_ctes(body: str) -> str:
     ctes = {**raw_ctes(), **SILVER_CTES}
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
@@ -334,4 +340,5 @@ def oracle_queries() -> dict[str, str]:
     out["quality_summary"] = with_ctes(QUALITY_SUMMARY_SQL)
     out["quality_detail"] = with_ctes(QUALITY_DETAIL_SQL)
     out["verify_silver_case"] = with_ctes(VERIFY_CASE_SQL)
+    out["verify_silver_counts"] = with_ctes(VERIFY_COUNTS_SQL)
     return out

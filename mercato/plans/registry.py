@@ -89,6 +89,11 @@ def verify_silver_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.case_counts({t: s[t] for t in silver.SILVER_TABLES})
 
 
+def verify_silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_for(spark, sf_dir)
+    return verify.row_counts({t: s[t] for t in silver.SILVER_TABLES})
+
+
 def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_src.preview(spark, bronze_for(spark, sf_dir)["orders"], 5)
 
@@ -104,5 +109,6 @@ def queries() -> dict[str, Query]:
     out["quality_summary"] = quality_summary
     out["quality_detail"] = quality_detail
     out["verify_silver_case"] = verify_silver_case
+    out["verify_silver_counts"] = verify_silver_counts
     out["preview_orders"] = preview_orders
     return out
