@@ -99,3 +99,17 @@ def test_reviews_median_of_even_count_interpolates(spark):  # C9
                        "CAST(NULL AS STRING) AS review_answer_timestamp")
     out = {r.review_id: r.review_score for r in silver.clean_order_reviews(df).collect()}
     assert out == {1: 1.0, 2: 2.0, 3: 3.0, 4: 4.0, 5: 2.5}
+
+
+def test_audit_findings(spark, tmp_path):  # V4-V6, F10, F11
+    from mercato.plans import verify
+
+    gold_dir = str(tmp_path / "gold")
+    spark.range(3).write.parquet(parquet.gold_path(gold_dir, "seller_rankings"))
+    spark.range(0).write.parquet(parquet.gold_path(gold_dir, "sales_trends"))
+    found = {(f[1], f[3]): f for f in verify.verify_gold(spark, gold_dir)}
+    assert found[("seller_rankings", "OK")][5] == 3
+    assert found[("sales_trends", "WARN")][5] == 0
+    assert ("geolocation_lookup", "MISSING") in found  # all fifteen are checked
+    passed, findings = verify.run_verification(spark, str(tmp_path / "silver"), gold_dir)
+    assert not passed and findings.where("severity = 'MISSING'").count() == 9 + 13
