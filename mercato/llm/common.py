@@ -110,3 +110,27 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         return spark.createDataFrame([], f"v {kind.simpleString()}, c {kind.simpleString()}")
     return edges.select(a.alias("v"), b.alias("c")).unionByName(
         edges.select(b.alias("v"), b.alias("c"))).distinct()
+
+
+def split_rows(docs: DataFrame) -> DataFrame:
+    """``row`` (every column but text, so no name can clash), ``text`` (null
+    as empty) and ``had`` (false where the text was null)."""
+    others = [docs[c].alias(c) for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row"), text_of(docs).alias("text"),
+                       docs["text"].isNotNull().alias("had"))
+
+
+def joined_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents of ``split_rows`` with their new texts, in the old column
+    order; ``n_chars`` is counted anew where it is present."""
+    text = F.when(F.col("had") | (F.col("text") != ""), F.col("text"))
+
+    def value(name: str) -> Column:
+        if name == "text":
+            return text.alias(name)
+        old = F.col("row").getField(name)
+        if name == "n_chars":
+            return F.coalesce(F.length(text), F.lit(0)).cast(rows.schema["row"].dataType[name].dataType).alias(name)
+        return old.alias(name)
+
+    return rows.select(*(value(c) for c in columns))
