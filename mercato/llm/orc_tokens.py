@@ -65,34 +65,32 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None) ->
     parts.mapInArrow(encode_part, ROWS).write.options(**ORC_OPTIONS).orc(path)
 
 
-def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (doc_id, start, n_tokens, ids) of the files in ``path``."""
+def _crc32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["part", "part_start", "doc_id", "n_tokens"]
+    for batch in batches:
+        lists = batch["ids"]
+        flat = memoryview(lists.values.to_numpy().astype("<u4")).cast("B")
+        at = lists.offsets.to_numpy().astype(np.int64) * 4
+        sums = [zlib.crc32(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(sums, pa.int64())],
+                                         names=[*names, "ids_crc32"])
+
+
+def read_token_orc(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, ids) of the files in ``path``; with
+    ``digest`` ids_crc32 in place of ids, taken where the file is read so that
+    no ids are shuffled."""
     rows = spark.read.schema(ROWS).orc(path)
     totals = rows.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("n"))
     bases = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
+    if digest:
+        rows = rows.mapInArrow(_crc32, ROWS.replace("ids array<int>", "ids_crc32 long"))
     return rows.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("part_start")).alias("start"),
-        F.col("n_tokens").cast("long").alias("n_tokens"), "ids")
-
-
-def with_crc32(rows: DataFrame) -> DataFrame:
-    """Replaces ``ids`` by ``ids_crc32``."""
-    names = [c for c in rows.columns if c != "ids"]
-
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch["ids"]
-            flat = memoryview(lists.values.to_numpy().astype("<u4")).cast("B")
-            at = lists.offsets.to_numpy().astype(np.int64) * 4
-            sums = [zlib.crc32(flat[at[i]:at[i + 1]]) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(sums, pa.int64())],
-                                             names=[*names, "ids_crc32"])
-
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInArrow(crc, f"{schema}, ids_crc32 long")
+        F.col("n_tokens").cast("long").alias("n_tokens"), rows.columns[-1])
 
 
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-orc")
     write_token_orc(read_table(spark, sf_dir, "documents"), path)
-    return with_crc32(read_token_orc(spark, path))
+    return read_token_orc(spark, path, digest=True)

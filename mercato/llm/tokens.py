@@ -1,19 +1,26 @@
 """Token ids of whole texts by a public tokenizer file, with a bounded memo.
 
-The tokenizer drops white space and never merges across it, so the ids of a
-text are those of its space- and newline-separated pieces in order; frequent
-pieces are encoded once per task and looked up afterwards.  The tokenizers
-library encodes every piece; the memo only keeps its answers and is emptied
-when it holds ``MEMO_PIECES`` of them.
+The tokenizer lower-cases, drops white space and never merges across it, nor
+across a letter and the mark after it.  So the ids of a text are those of its
+space- and newline-separated pieces in order, and in a line of plain words
+those of "Word," are the ids of "word" and of ",".  The tokenizers library
+encodes every distinct piece once while it is remembered; the memo only keeps
+its answers and is emptied when it holds ``MEMO_PIECES`` of them.
 """
 
 from __future__ import annotations
 
+import os
+import re
+
 import numpy as np
 
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-MEMO_PIECES = 250_000
+MEMO_PIECES = 600_000
+# Words of Latin letters, which lower-case one by one, each with one mark at most.
+PLAIN_LINE = re.compile("(?:[A-Za-zÀ-ÖØ-öø-ÿ]++[.,]?+(?: ++|\\Z))*+")
+PLAIN_WORD = re.compile("[a-zß-öø-ÿ]++")
 
 
 def tokenizer_path() -> str:
@@ -26,26 +33,50 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str | None = None, end_id: int = END_ID):
-        import os
-
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        self.memo: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.memo: dict[str, bytes] = {}
         self.end = np.array([end_id], "<u4").tobytes()
 
+    def each(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words, encoded as one text and parted at the tokens
+        that end a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+        if len(ends) != len(words):  # another kind of tokenizer file
+            return self.each(words)
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def remember(self, new: set[str]) -> None:
+        words = [p for p in new if PLAIN_WORD.fullmatch(p)]
+        for i in range(0, len(words), 10_000):
+            self.memo.update(zip(words[i:i + 10_000], self.encode_words(words[i:i + 10_000])))
+        odd = list(new.difference(words))
+        self.memo.update(zip(odd, self.each(odd)))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, the end id appended."""
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
+        parts = []
+        for text in texts:
+            pieces: list[str] = []
+            for line in text.split("\n"):
+                if PLAIN_LINE.fullmatch(line):
+                    line = line.lower().replace(".", " .").replace(",", " ,")
+                pieces += line.split(" ")
+            parts.append(pieces)
         memo = self.memo
-        new = list({p for ps in pieces for p in ps if p not in memo})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            encoded = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, encoded))
-        out = [b"".join([memo[p] for p in ps]) + self.end for ps in pieces]
+        self.remember(set().union(*parts).difference(memo))
+        out = [b"".join([memo[p] for p in pieces]) + self.end for pieces in parts]
         if len(memo) > MEMO_PIECES:
             memo.clear()
-            memo[""] = b""
         return out
