@@ -9,7 +9,6 @@ Layers (all lazy DataFrame transformations, I/O only at the edges):
   skew-safe keep-one-per-key, expectation rules compiled to aggregates).
 * ``plans``     -- the silver cleaning rules, the fifteen gold reports, the
   quality guards, the output audit and the end-to-end job.
-* ``streaming`` -- nothing: the pipeline reads bounded files only.
 """
 
 __version__ = "0.1.0"

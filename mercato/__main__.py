@@ -25,16 +25,20 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--prefix", default="", help="file-name prefix removed to get table names")
     p.add_argument("--fail-on", nargs="*", default=[], help="datasets whose failed rules stop the run")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
-    p.add_argument("--single-line-csv", action="store_true",
-                   help="raw CSV fields hold no line breaks: let Spark split large files")
+    p.add_argument("--single-line-csv", nargs="*", metavar="TABLE",
+                   help="these tables (none named: all) hold no line breaks in fields: let Spark split their files; "
+                        "each file of the others is read by one task")
+    p.add_argument("--shuffle-partitions", type=int, help="partitions shuffles start with (default: by table size)")
     args = p.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="  > %(message)s")
+    single = args.single_line_csv
+    multiline = single != [] if not single else dict.fromkeys(single, False)
     spark = build_session(args.master)
     try:
-        result = run_job(spark, args.out, csv_tables=discover_tables(args.raw_dir, args.prefix),
+        result = run_job(spark, args.out, csv_tables=discover_tables(spark, args.raw_dir, args.prefix),
                          geo=read_geojson(spark, args.geo), fail_on=args.fail_on,
-                         csv_multiline=not args.single_line_csv)
+                         csv_multiline=multiline, shuffle_partitions=args.shuffle_partitions)
     except Exception as e:  # noqa: BLE001 - reported, then a failing exit status
         logging.error("pipeline failed: %s", e)
         return 1

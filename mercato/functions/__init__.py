@@ -1,12 +1,13 @@
 from mercato.functions.columns import (  # noqa: F401
     WHITESPACE,
     blank_to_null,
-    cents,
     datetime_columns,
     iso_weekday,
     mean,
     money_mean,
     money_mean_of,
+    money_merged,
+    money_parts,
     money_sum,
     money_total,
     month_start,

@@ -7,7 +7,7 @@ code it was modelled on.  Every helper documents the trap it handles.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,10 +24,13 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The datetime layout of raw order dates, and the layouts
-# tried, in order, where the layout is not given.
+# Fixed value: the datetime layout of raw order dates.
 ORDER_DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-INFERRED_DATETIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+
+# Shape of a date or datetime whose layout is not given: year, month and day
+# parted by dashes or slashes, then, after a blank or T, hours and minutes,
+# seconds and their fraction as far as present.
+INFERRED_SHAPE = r"^[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -83,14 +86,15 @@ def parse_datetime(c: ColumnOrName, fmt: str = ORDER_DATETIME_FORMAT) -> Column:
     return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz")
 
 
-def parse_datetime_inferred(c: ColumnOrName,
-                            formats: Sequence[str] = INFERRED_DATETIME_FORMATS) -> Column:
-    """Parse text whose layout is not given: first layout that fits wins.
+def parse_datetime_inferred(c: ColumnOrName) -> Column:
+    """Parse text whose layout is not given, row by row: a column may mix the
+    layouts of ``INFERRED_SHAPE``, and a value that fits none is null.
 
     A bare year such as ``2018`` is *not* a datetime here (a plain cast would
     accept it).
     """
-    return F.coalesce(*[parse_datetime(c, f) for f in formats])
+    col = _col(c)
+    return F.when(col.rlike(INFERRED_SHAPE), F.translate(col, "/", "-").try_cast("timestamp_ntz"))
 
 
 def whole_days(start: ColumnOrName, end: ColumnOrName) -> Column:
@@ -129,39 +133,66 @@ def sum0(c: ColumnOrName) -> Column:
     return F.coalesce(F.sum(_col(c)), F.lit(0))
 
 
-def cents(c: ColumnOrName) -> Column:
-    """A two-decimal money value as whole cents (``bigint``).
+def _whole_cents(x: Column) -> tuple[Column, Column]:
+    """The value as whole cents, and whether that is exactly the value."""
+    whole = F.round(x * 100).try_cast("bigint")
+    return whole, F.coalesce(whole / F.lit(100.0) == x, F.lit(False))
 
-    A value with no whole-cent form (NaN, infinity, beyond the ``bigint``
-    range) becomes null -- left out of sums and means -- instead of failing
-    the job under ANSI casts.
-    """
-    return F.round(_col(c) * 100).try_cast("bigint")
 
+def money_parts(c: ColumnOrName, name: str) -> list[Column]:
+    """Aggregates for ``money_total`` and ``money_mean_of``: the sum in whole
+    cents, whether it is exact (null without values), the plain sum, and the
+    number of values."""
+    x = _col(c)
+    whole, exact = _whole_cents(x)
+    total = F.try_sum(whole)
+    return [total.alias(f"{name}_cents"),
+            F.when(F.count(x) > 0, F.bool_and(F.when(x.isNotNull(), exact)) & total.isNotNull()).alias(f"{name}_exact"),
+            F.sum(x).alias(f"{name}_plain"), F.count(x).alias(f"{name}_n")]
 
 
-def money_sum(c: ColumnOrName) -> Column:
-    """Sum of a two-decimal money column, exact and order-independent.
+def money_merged(name: str, times: ColumnOrName) -> list[Column]:
+    """``money_parts`` of groups of rows that hold them, each row counted
+    ``times`` times."""
+    k, exact = _col(times), F.col(f"{name}_exact")
+    cents = F.try_multiply(F.col(f"{name}_cents"), k)
+    total = F.try_sum(cents)
+    whole = F.bool_and(F.when(exact.isNotNull(), exact & cents.isNotNull()))
+    return [total.alias(f"{name}_cents"), F.when(whole.isNotNull(), whole & total.isNotNull()).alias(f"{name}_exact"),
+            F.sum(F.col(f"{name}_plain") * k).alias(f"{name}_plain"), F.sum(F.col(f"{name}_n") * k).alias(f"{name}_n")]
 
-    Summing doubles depends on row order (partitioning); summing whole cents
-    as ``bigint`` does not, and stays in codegen.  0.0 for an all-null group.
-    """
-    return F.coalesce(F.sum(cents(c)), F.lit(0)) / F.lit(100.0)
 
+def money_total(name: str) -> Column:
+    """``money_sum`` over rows that hold ``money_parts``."""
+    total = F.try_sum(f"{name}_cents")
+    exact = F.bool_and(f"{name}_exact") & total.isNotNull()
+    return F.when(exact, total / F.lit(100.0)).otherwise(F.coalesce(F.sum(f"{name}_plain"), F.lit(0.0)))
 
-def money_mean(c: ColumnOrName) -> Column:
-    """Mean of a money column over its non-null values (null if none)."""
-    return F.try_divide(F.sum(cents(c)) / F.lit(100.0), F.count(cents(c)))
 
+def money_mean_of(name: str) -> Column:
+    """``money_mean`` over rows that hold ``money_parts``."""
+    return F.try_divide(money_total(name), F.sum(f"{name}_n"))
 
-def money_total(cents_col: ColumnOrName) -> Column:
-    """``money_sum`` over rows that already hold partial sums in cents."""
-    return F.coalesce(F.sum(_col(cents_col)), F.lit(0)) / F.lit(100.0)
 
+def money_sum(c: ColumnOrName) -> Column:
+    """Sum of a money column; 0.0 for an all-null group.
+
+    Where every value of the group is a whole number of cents, the cents are
+    summed as ``bigint``: exact, and independent of row order.  Any other
+    value (a finer amount, NaN, an infinity, one beyond the ``bigint`` range)
+    makes the group a plain sum of doubles, which loses no value but may
+    differ in the last bits with the row order.
+    """
+    x = _col(c)
+    whole, exact = _whole_cents(x)
+    total = F.try_sum(whole)
+    all_exact = F.bool_and(F.when(x.isNotNull(), exact)) & total.isNotNull()
+    return F.when(all_exact, total / F.lit(100.0)).otherwise(F.coalesce(F.sum(x), F.lit(0.0)))
 
-def money_mean_of(cents_col: ColumnOrName, count_col: ColumnOrName) -> Column:
-    """``money_mean`` over rows that hold partial cent sums and counts."""
-    return F.try_divide(F.sum(_col(cents_col)) / F.lit(100.0), F.sum(_col(count_col)))
+
+def money_mean(c: ColumnOrName) -> Column:
+    """Mean of a money column over its non-null values (null if none)."""
+    return F.try_divide(money_sum(c), F.count(_col(c)))
 
 
 def mean(c: ColumnOrName) -> Column:

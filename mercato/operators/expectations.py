@@ -183,15 +183,13 @@ def orphan_rule(children: DataFrame, parents: DataFrame, key: str, dataset: str,
 
     The check is a table row-count rule whose upper bound is 0 when orphans
     exist, so it fails exactly when there is an orphan, and reports the
-    orphan count as its failures.  A null key never matches, so it is an
-    orphan.  Null-key rows are counted without a join; only the others go
-    through the anti join, so a hot null key never lands in one task.
-    ``parent_keys`` (distinct parent keys, e.g. ``key_counts``) may replace
-    the parent table.
+    orphan count as its failures.  The children are reduced to one row per
+    key, combined map-side, so one scan counts them and neither a hot key nor
+    a hot null key reaches the join; a null key never matches there and stays
+    an orphan.  ``parent_keys`` (distinct parent keys, e.g. ``key_counts``)
+    may replace the parent table.
     """
     k = F.col(key)
-    null_orphans = children.where(k.isNull()).agg(F.count(F.lit(1)).alias("n"))
-    keyed = children.where(k.isNotNull()).select(key)
     if parent_keys is not None:
         # ``n > 0`` holds for every key; referencing the count keeps this
         # aggregation identical to the uniqueness rule's, so Spark reuses
@@ -199,9 +197,8 @@ def orphan_rule(children: DataFrame, parents: DataFrame, key: str, dataset: str,
         known = parent_keys.where(F.col("n") > 0)
     else:
         known = parents
-    matched_orphans = (keyed.join(known.where(k.isNotNull()).select(key), on=key, how="left_anti")
-                       .agg(F.count(F.lit(1)).alias("n")))
-    total = null_orphans.unionByName(matched_orphans).agg(F.sum("n").alias("f"))
+    orphans = key_counts(children, key).join(known.where(k.isNotNull()).select(key), on=key, how="left_anti")
+    total = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f"))
     rule = row_count_between(0, None, note)
     return total.select(F.inline(F.array(
         _result_row(dataset, dataset_order, 0, rule, F.col("f"), F.col("f") == 0))))

@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions import (
-    cents,
     iso_weekday,
     mean,
     money_mean,
     money_mean_of,
+    money_merged,
+    money_parts,
     money_sum,
     money_total,
     month_start,
@@ -124,34 +125,58 @@ def state_performance(t: Tables) -> DataFrame:
     """Per customer state, revenue, distinct orders, mean freight.
 
     Items whose order or customer is unknown fall into the null state.
-    Items are first reduced to one row per order (cent sums and counts,
-    combined map-side), which is exact: every item of an order meets the
+    Items are first reduced to one row per order (partial sums and
+    counts, combined map-side), which is exact: every item of an order meets the
     same order and customer rows, so sums scale with the same multiplicity.
     """
     per_order = t["order_items"].groupBy("order_id").agg(
-        F.sum(cents("price")).alias("price_cents"),
-        F.sum(cents("freight_value")).alias("freight_cents"),
-        F.count(cents("freight_value")).alias("freight_n"))
+        *money_parts("price", "price"), *money_parts("freight_value", "freight"))
     joined = join_suffixed(per_order, _order_customer(t, "left"), "order_id", "left")
     return (joined.groupBy("customer_state")
-            .agg(money_total("price_cents").alias("total_revenue"),
+            .agg(money_total("price").alias("total_revenue"),
                  n_unique("order_id").alias("total_orders"),
-                 money_mean_of("freight_cents", "freight_n").alias("avg_freight_cost"))
+                 money_mean_of("freight").alias("avg_freight_cost"))
             .orderBy(_desc("total_revenue")))
 
 
+def _order_products(t: Tables, *parts) -> DataFrame:
+    """Items reduced to one row per (order, product), combined map-side, so an
+    order that holds very many items meets its reviews in few rows."""
+    return t["order_items"].groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("items"), *parts)
+
+
+def _order_reviews(t: Tables) -> DataFrame:
+    """Reviews per order: rows, score sum and number of scores, review ids."""
+    return t["order_reviews"].groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("reviews"), F.sum("review_score").alias("score_sum"),
+        F.count("review_score").alias("score_n"), F.count("review_id").alias("review_n"))
+
+
 def category_performance(t: Tables) -> DataFrame:
     """Per English category, revenue, distinct orders, mean review score,
     distinct products.  An item is repeated once per review of its order, and
-    its revenue with it."""
-    joined = join_suffixed(
-        join_suffixed(t["order_items"], t["products"], "product_id", "inner"),
-        t["order_reviews"], "order_id", "left")
-    return (joined.groupBy("product_category_name_english")
-            .agg(money_sum("price").alias("total_revenue"),
-                 n_unique("order_id").alias("order_count"),
-                 mean("review_score").alias("average_review_score"),
-                 n_unique("product_id").alias("product_count"))
+    its revenue with it.
+
+    Items become one row per (order, product) and reviews one per order before
+    they meet; the repetition is a factor.  Distinct orders and products are
+    row counts of two further reductions, so no row is expanded.
+    """
+    products = t["products"].select("product_id", "product_category_name_english")
+    rows = (_order_products(t, *money_parts("price", "price"))
+            .join(products, "product_id", "inner").join(_order_reviews(t), "order_id", "left")
+            .withColumn("times", F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1))))
+    by = "product_category_name_english"
+    sums = rows.groupBy(by, "product_id").agg(
+        *money_merged("price", "times"),
+        F.sum(F.col("score_sum") * F.col("items")).alias("score_sum"),
+        F.sum(F.col("score_n") * F.col("items")).alias("score_n")).groupBy(by).agg(
+        money_total("price").alias("total_revenue"),
+        F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
+        F.count(F.lit(1)).alias("product_count"))
+    orders = rows.groupBy(by, "order_id").agg(F.lit(1).alias("one")).groupBy(F.col(by).alias("of")).agg(
+        F.count(F.lit(1)).alias("order_count"))
+    return (sums.join(orders, F.col(by).eqNullSafe(F.col("of")), "inner")
+            .select(by, "total_revenue", "order_count", "average_review_score", "product_count")
             .orderBy(_desc("total_revenue")))
 
 
@@ -185,23 +210,17 @@ def sales_trends(t: Tables) -> DataFrame:
 def product_reviews(t: Tables) -> DataFrame:
     """Per English category with more than 50 reviews, mean score and count.
 
-    Same result as joining items, products and reviews row by row, with two
-    reductions before the wide shuffles: reviews become one row per order
-    (score sum and counts), and the item rows joined with them become one row
-    per product, combined map-side, before the product join.  Every item of
-    an order meets the same reviews and every row of a product the same
-    category, so sums and counts carry over exactly.
+    Same result as joining items, products and reviews row by row, with
+    reductions before the wide shuffles: reviews become one row per order,
+    items one per (order, product), and the joined rows one per product,
+    combined map-side.  Every item of an order meets the same reviews and
+    every row of a product the same category, so sums and counts carry over.
     """
-    per_order = t["order_reviews"].groupBy("order_id").agg(
-        F.sum("review_score").alias("score_sum"),
-        F.count("review_score").alias("score_n"),
-        F.count("review_id").alias("review_n"))
-    per_product = (t["order_items"].select("order_id", "product_id")
-                   .join(per_order, "order_id", "inner")
+    per_product = (_order_products(t).join(_order_reviews(t), "order_id", "inner")
                    .groupBy("product_id")
-                   .agg(F.sum("score_sum").alias("score_sum"),
-                        F.sum("score_n").alias("score_n"),
-                        F.sum("review_n").alias("review_n")))
+                   .agg(F.sum(F.col("score_sum") * F.col("items")).alias("score_sum"),
+                        F.sum(F.col("score_n") * F.col("items")).alias("score_n"),
+                        F.sum(F.col("review_n") * F.col("items")).alias("review_n")))
     joined = per_product.join(t["products"].select("product_id", "product_category_name_english"),
                               "product_id", "inner")
     return (joined.groupBy("product_category_name_english")
@@ -233,13 +252,10 @@ def order_seasonality(t: Tables) -> DataFrame:
 def geo_distribution(t: Tables) -> DataFrame:
     """Customers per state that appears in the state document.
 
-    The states come from a state document (a few dozen features) that the
-    reader parses whole into rows, so their size is bounded by the document:
-    broadcasting them is safe, and it keeps a state holding many customers
-    from landing in one join task.
+    Spark broadcasts the states when their measured size allows; otherwise
+    both sides are plain shuffles, so a state holding many customers is split.
     """
-    states = F.broadcast(explode_states(t["geo"]))
-    joined = join_on_columns(t["customers"], states, "customer_state", "state_id", "inner")
+    joined = join_on_columns(t["customers"], explode_states(t["geo"]), "customer_state", "state_id", "inner")
     return (joined.groupBy("customer_state", "state_name")
             .agg(F.count("customer_id").alias("customer_count")))
 

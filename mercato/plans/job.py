@@ -9,7 +9,6 @@ pipeline, and each silver table is computed once for all fifteen reports.
 from __future__ import annotations
 
 import logging
-import os
 import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
@@ -17,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import gold, quality, silver, verify
-from mercato.session import apply_defaults, input_bytes, size_shuffle_partitions
+from mercato.session import initial_partitions, partitions_for, table_bytes
 from mercato.sources import bronze as bronze_src
 from mercato.sources import parquet
 
@@ -55,13 +54,9 @@ def run_quality(spark: SparkSession, bronze: Mapping[str, DataFrame], report_dir
     detail_rows = quality.detail(res_df).collect()
     report = quality.render_report(summary_rows, detail_rows)
     parquet.write_counted(res_df.coalesce(1), _layer(report_dir, "quality_results.parquet"), "quality")
-    if "://" not in report_dir:
-        os.makedirs(report_dir, exist_ok=True)
-        with open(os.path.join(report_dir, "data_health_summary.md"), "w") as f:
-            f.write(report)
-    else:  # shared storage: the report is written as a one-row text table
-        spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(
-            _layer(report_dir, "data_health_summary"))
+    # Written by Spark, so that it lands on the file system of the tables.
+    spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(
+        _layer(report_dir, "data_health_summary.md"))
     quality.check_gate(res_df, fail_on)
     return rows
 
@@ -93,13 +88,15 @@ def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, geo: DataFrame
             for name, build in gold.REPORTS.items()}
 
 
-def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str] | None = None,
+def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, bronze_src.Paths] | None = None,
             bronze: Mapping[str, DataFrame] | None = None, geo: DataFrame | None = None,
             dedupe_order: Mapping | None = None, fail_on: Iterable[str] = (),
-            csv_multiline: bool = True) -> JobResult:
-    """Run all stages.  Give either ``csv_tables`` ({table: csv path}) or
-    ready ``bronze`` DataFrames; ``geo`` is the state document."""
-    apply_defaults(spark)
+            csv_multiline: bool | Mapping[str, bool] = True, shuffle_partitions: int | None = None) -> JobResult:
+    """Run all stages.  Give either ``csv_tables`` ({table: csv file, folder
+    or list of files}) or ready ``bronze`` DataFrames; ``geo`` is the state
+    document.  ``shuffle_partitions`` is the count that shuffles start with
+    (adaptive execution coalesces them); by default it follows the largest
+    bronze table, and it holds for this job only."""
     result = JobResult()
     clock = [time.perf_counter()]
 
@@ -125,18 +122,21 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, str]
     if missing:
         raise parquet.MissingTableError("bronze tables missing (not ingested): " + ", ".join(missing))
     # Later shuffles (dedupe, joins, reports) start from a partition count
-    # sized to the bronze data, so no task has to sort or aggregate far more
-    # than fits its memory; AQE coalesces the partitions that stay small.
-    result.shuffle_partitions = size_shuffle_partitions(spark, input_bytes(spark, bronze_dir))
-    result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
-    lap("quality")
-    silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")
-    result.silver_rows = run_silver(spark, b, silver_dir, dedupe_order)
-    lap("silver")
-    result.gold_rows = run_gold(spark, silver_dir, gold_dir, geo)
-    lap("gold")
-    result.verified, findings = verify.run_verification(spark, silver_dir, gold_dir)
-    result.findings = findings.collect()
+    # sized to the largest table, so no task has to sort or aggregate far
+    # more than fits its memory.
+    if shuffle_partitions is None:
+        shuffle_partitions = partitions_for(spark, max(table_bytes(spark, bronze_dir).values(), default=0))
+    result.shuffle_partitions = shuffle_partitions
+    with initial_partitions(spark, shuffle_partitions):
+        result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
+        lap("quality")
+        silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")
+        result.silver_rows = run_silver(spark, b, silver_dir, dedupe_order)
+        lap("silver")
+        result.gold_rows = run_gold(spark, silver_dir, gold_dir, geo)
+        lap("gold")
+        result.verified, findings = verify.run_verification(spark, silver_dir, gold_dir)
+        result.findings = findings.collect()
     lap("verify")
     log.info("verification %s", "PASSED" if result.verified else "FAILED")
     return result

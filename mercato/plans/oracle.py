@@ -2,16 +2,21 @@
 
 Each query is a ``WITH`` chain: the bronze stand-in views (same SQL text the
 Spark side runs), then silver, then the report.  The texts restate the
-pipeline's rules independently in SQL; they do not call into the package's
-Spark code.
+pipeline's rules in SQL of their own: characters, layouts and sums are stated
+here again (money as decimals), not taken from the Spark code.
 """
 
 from __future__ import annotations
 
-from mercato.functions.columns import WHITESPACE
 from mercato.sources.testdata import raw_ctes
 
-WS = "(" + " || ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
+# The Unicode White_Space code points.
+WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200, 8201,
+               8202, 8232, 8233, 8239, 8287, 12288)
+WS = "(" + " || ".join(f"chr({c})" for c in WHITE_SPACE) + ")"
+# Layouts of dates whose layout is not given.
+LAYOUTS = [f"%Y{d}%m{d}%d{t}" for d in "-/" for t in (
+    " %H:%M:%S.%f", "T%H:%M:%S.%f", " %H:%M:%S", "T%H:%M:%S", " %H:%M", "T%H:%M", "")]
 
 
 def _strip(c: str) -> str:
@@ -23,7 +28,7 @@ def _parse(c: str) -> str:
 
 
 def _parse_inferred(c: str) -> str:
-    return f"coalesce(try_strptime({c}, '%Y-%m-%d %H:%M:%S'), try_strptime({c}, '%Y-%m-%d'))"
+    return f"try_strptime({c}, {LAYOUTS})"
 
 
 def _days(a: str, b: str) -> str:
@@ -34,16 +39,12 @@ def _mean(c: str) -> str:
     return f"(CAST(sum({c}) AS DOUBLE) / count({c}))"
 
 
-def _cents(c: str) -> str:
-    return f"TRY_CAST(round({c} * 100) AS BIGINT)"
-
-
 def _money_sum(c: str) -> str:
-    return f"(CAST(coalesce(sum({_cents(c)}), 0) AS DOUBLE) / CAST(100 AS DOUBLE))"
+    return f"CAST(coalesce(sum(CAST({c} AS DECIMAL(18, 2))), 0) AS DOUBLE)"
 
 
 def _money_mean(c: str) -> str:
-    return f"((CAST(sum({_cents(c)}) AS DOUBLE) / CAST(100 AS DOUBLE)) / nullif(count({_cents(c)}), 0))"
+    return f"({_money_sum(c)} / nullif(count({c}), 0))"
 
 
 def _n_unique(c: str) -> str:
@@ -324,6 +325,17 @@ VERIFY_COUNTS_SQL = " UNION ALL ".join(
               "order_items", "order_payments", "order_reviews"))
 
 
+VERIFY_GOLD_COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM ({sql})" for name, sql in GOLD_SQL.items())
+
+ROW_COUNTS_SQL = " UNION ALL ".join(
+    _rule_sql(t, i, 0, "expect_table_row_count_to_be_between", None, "0", "n >= 1",
+              f"(SELECT count(*) AS n FROM raw_{t})")
+    for i, t in enumerate(("customers", "sellers", "orders", "order_items", "products",
+                           "product_category_name_translation", "order_payments", "order_reviews", "marketing_leads",
+                           "closed_deals")))
+
+
 def with_ctes(body: str) -> str:
     ctes = {**raw_ctes(), **SILVER_CTES}
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
@@ -341,4 +353,24 @@ def oracle_queries() -> dict[str, str]:
     out["quality_detail"] = with_ctes(QUALITY_DETAIL_SQL)
     out["verify_silver_case"] = with_ctes(VERIFY_CASE_SQL)
     out["verify_silver_counts"] = with_ctes(VERIFY_COUNTS_SQL)
+    out["verify_gold_counts"] = with_ctes(VERIFY_GOLD_COUNTS_SQL)
+    out["quality_row_counts"] = with_ctes(ROW_COUNTS_SQL)
+    out["preview_orders"] = with_ctes("SELECT * FROM raw_orders ORDER BY order_id LIMIT 5")
     return out
+
+
+# Sort keys of the ordered results: (column, descending).
+SORTED: dict[str, list[tuple[str, bool]]] = {
+    "gold_regional_logistics_performance": [("avg_actual_delivery_time", True)],
+    "gold_marketing_performance": [("conversion_rate_pct", True)],
+    "gold_state_performance": [("total_revenue", True)],
+    "gold_category_performance": [("total_revenue", True)],
+    "gold_seller_rankings": [("total_sales_value", True)],
+    "gold_sales_trends": [("month_year", False)],
+    "gold_product_reviews": [("avg_score", True)],
+    "gold_payment_behavior": [("avg_value", True)],
+    "gold_order_seasonality": [("weekday", False), ("hour", False)],
+    "quality_summary": [("dataset", False)],
+    "quality_detail": [("dataset_order", False), ("rule_order", False)],
+    "preview_orders": [("order_id", False)],
+}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,63 +40,62 @@ DETAIL_HEADING = "## 2. Detailed Validation Logs"
 DETAIL_HEADER = ("| Expectation Rule | Status | Column / Logic | Failures | Business Impact |",
                  "| :--- | :--- | :--- | :--- | :--- |")
 
-# The suites' validation names, in run order.  A dataset's
-# display name is its validation name without the ``_validation`` suffix,
-# title-cased.
-VALIDATIONS = ("orders_validation", "customer_validation", "payments_validation",
-               "product_validation", "relational_validation")
+# The datasets' display names, in run order.
+DATASETS = ("Orders", "Customer", "Payments", "Product", "Relational")
 
 
-def display_name(validation: str) -> str:
-    return validation.replace("_validation", "").title()
-
-
-def _order(validation: str) -> int:
-    return VALIDATIONS.index(validation)
+BRONZE_TABLES = ("customers", "sellers", "orders", "order_items", "products", "product_category_name_translation",
+                 "order_payments", "order_reviews", "marketing_leads", "closed_deals")
 
 
 def guard_orders(orders: DataFrame, order_keys: DataFrame | None = None) -> DataFrame:
     """Order ids present and unique; status within the known set."""
-    v = "orders_validation"
-    return ex.validate(orders, display_name(v), [
+    name = "Orders"
+    return ex.validate(orders, name, [
         ex.not_null("order_id"),
         ex.unique("order_id"),
         ex.in_set("order_status", VALID_STATUSES),
-    ], _order(v), counts={"order_id": order_keys} if order_keys is not None else None)
+    ], DATASETS.index(name), counts={"order_id": order_keys} if order_keys is not None else None)
 
 
 def guard_customers(customers: DataFrame) -> DataFrame:
     """Customer ids present and unique; state codes of two characters."""
-    v = "customer_validation"
-    return ex.validate(customers, display_name(v), [
+    name = "Customer"
+    return ex.validate(customers, name, [
         ex.not_null("customer_id"),
         ex.unique("customer_id"),
         ex.length_between("customer_state", 2, 2),
-    ], _order(v))
+    ], DATASETS.index(name))
 
 
 def guard_payments(payments: DataFrame) -> DataFrame:
     """Payment values present and not negative."""
-    v = "payments_validation"
-    return ex.validate(payments, display_name(v), [
+    name = "Payments"
+    return ex.validate(payments, name, [
         ex.not_null("payment_value"),
         ex.between("payment_value", 0, None),
-    ], _order(v))
+    ], DATASETS.index(name))
 
 
 def guard_products(products: DataFrame) -> DataFrame:
     """Q7d: category present; weight and dimensions at least 0.1."""
-    v = "product_validation"
+    name = "Product"
     rules = [ex.not_null("product_category_name", note=NOTE_CATEGORY)]
     rules += [ex.between(c, MIN_DIMENSION, None, note=NOTE_DIMENSION) for c in DIMENSION_COLUMNS]
-    return ex.validate(products, display_name(v), rules, _order(v))
+    return ex.validate(products, name, rules, DATASETS.index(name))
 
 
 def guard_relational_integrity(items: DataFrame, orders: DataFrame,
                                order_keys: DataFrame | None = None) -> DataFrame:
     """Q8: every order item points at a known order."""
-    v = "relational_validation"
-    return ex.orphan_rule(items, orders, "order_id", display_name(v), _order(v), parent_keys=order_keys)
+    name = "Relational"
+    return ex.orphan_rule(items, orders, "order_id", name, DATASETS.index(name), parent_keys=order_keys)
+
+
+def guard_row_counts(bronze: Mapping[str, DataFrame], tables: Iterable[str] = BRONZE_TABLES) -> DataFrame:
+    """Q6 for each bronze table: at least one row."""
+    parts = [ex.validate(bronze[t], t, [ex.row_count_between(1, None)], i) for i, t in enumerate(tables)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_guards(bronze: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,13 +7,11 @@ silver table, gold report, quality suite or audit.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import gold, quality, silver, verify
-from mercato.session import apply_defaults
 from mercato.sources import bronze as bronze_src
 from mercato.sources import testdata
 from mercato.sources.lazy import LazyTables
@@ -25,15 +23,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 # a session defines them once per folder and every query derives from them
 # (no data is cached: each action reads the files).  The key includes the
 # settings that analysis binds into a plan.
-_DEFINED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+# The cache hangs on the session and goes with it.
 
 
 def _defined(spark: SparkSession, sf_dir: str) -> dict:
     key = (sf_dir.rstrip("/"), spark.conf.get("spark.sql.session.timeZone"),
            spark.conf.get("spark.sql.ansi.enabled"))
-    per_session = _DEFINED.setdefault(spark, {})
+    per_session = spark.__dict__.setdefault("_mercato_defined", {})
     if key not in per_session:
-        apply_defaults(spark)
         b = testdata.bronze_tables(spark, sf_dir)
         s = silver.build_silver(b, testdata.DEDUPE_ORDER).with_table("geo", lambda: b["geo"])
         per_session[key] = {"bronze": b, "silver": s,
@@ -95,7 +92,17 @@ def verify_silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_src.preview(spark, bronze_for(spark, sf_dir)["orders"], 5)
+    return bronze_src.preview(spark, bronze_for(spark, sf_dir)["orders"], 5, order_by=("order_id",))
+
+
+def quality_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 over every bronze table."""
+    return quality.guard_row_counts(bronze_for(spark, sf_dir))
+
+
+def verify_gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = silver_for(spark, sf_dir)
+    return verify.row_counts({name: build(s) for name, build in gold.REPORTS.items()})
 
 
 def queries() -> dict[str, Query]:
@@ -111,4 +118,6 @@ def queries() -> dict[str, Query]:
     out["verify_silver_case"] = verify_silver_case
     out["verify_silver_counts"] = verify_silver_counts
     out["preview_orders"] = preview_orders
+    out["quality_row_counts"] = quality_row_counts
+    out["verify_gold_counts"] = verify_gold_counts
     return out

@@ -2,7 +2,7 @@
 
 Severity ``MISSING`` (a table is absent) decides the verdict; ``WARN``
 (lower-case text left in city/state columns, an empty gold report) and
-``TYPE`` (an order date column that is not a datetime) are reported only.
+``TYPE`` (an order date column that is not a zone-free datetime) are reported only.
 The case check looks at the **whole** column -- "the first rows" of a
 distributed table are not defined.
 """
@@ -79,7 +79,7 @@ def verify_silver(spark: SparkSession, silver_dir: str,
         present[t] = df
         if t == "orders":
             for c in datetime_columns(df.columns):
-                if not isinstance(df.schema[c].dataType, (T.TimestampNTZType, T.TimestampType)):
+                if not isinstance(df.schema[c].dataType, T.TimestampNTZType):
                     findings.append(("silver", t, "datetime_type", "TYPE",
                                      f"{c} is {df.schema[c].dataType.simpleString()}", None))
     if present:  # V1: all row counts in one job

@@ -1,37 +1,17 @@
-"""Session settings the pipeline relies on.
+"""Sessions, shared scratch folders and shuffle sizing.
 
-Only settings that change results or plans at scale are touched, and a
-value the caller already chose is never overridden (cluster defaults win).
+Spark's own defaults (adaptive execution, skew-join splitting) are relied on
+and not restated; datetimes are zone-free, so no result depends on the
+session's time zone.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
-
-# Settings applied when the session does not define them already.  The
-# session time zone is not among them: every datetime in the pipeline is a
-# zone-free ``timestamp_ntz``, so results do not depend on it.
-DEFAULTS = {
-    # Runtime re-planning: coalesce small shuffle partitions, convert
-    # sort-merge joins whose side turns out small into broadcast joins
-    # (a size check done on real bytes, not estimates), split skewed
-    # join partitions.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
-}
-
-
-def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the pipeline defaults that the session leaves unset."""
-    for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
-            spark.conf.set(key, value)
-    return spark
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "mercato",
@@ -48,31 +28,17 @@ def build_session(master: str | None = None, app: str = "mercato",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_defaults(spark)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs and tests) is a scratch folder created and registered.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="mercato-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder below the shared checkpoint dir for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    """A folder for intermediate tables below the shared folder that the
+    cluster names in ``spark.checkpoint.dir``; where that is unset, below the
+    warehouse, which driver and executors share as well."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{base.rstrip('/')}/{name}"
 
 
 # Shuffle sizing: Parquet expands roughly this much when decoded, and each
@@ -80,34 +46,35 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 # and aggregation buffers fit executor memory (spilling stays the exception).
 PARQUET_EXPANSION = 4
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_INITIAL_PARTITIONS = 200_000
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files below ``path``, listed by Spark (works on any
-    file system; only file metadata is read)."""
-    from pyspark.sql import functions as F
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(path).select("length"))
-    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
+def table_bytes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each table folder below ``path``, from a file listing by Spark
+    (works on any file system; only file metadata is read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    table = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
+    return {r["table"]: int(r["n"]) for r in
+            files.groupBy(table.alias("table")).agg(F.sum("length").alias("n")).collect()}
 
-def size_shuffle_partitions(spark: SparkSession, data_bytes: int) -> int:
-    """Start every shuffle with enough partitions for ``data_bytes`` of
-    compressed input; AQE coalesces what turns out small.
 
-    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` unless
-    the session already sets it, and never below the session's
-    ``spark.sql.shuffle.partitions``.  Returns the value in effect.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = spark.conf.get(key, None)
-    if current not in (None, ""):
-        return int(current)
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions_for(spark: SparkSession, data_bytes: int) -> int:
+    """Shuffle partitions for ``data_bytes`` of compressed input, at least the
+    session's ``spark.sql.shuffle.partitions``; there is no upper limit."""
     wanted = -(-data_bytes * PARQUET_EXPANSION // TARGET_PARTITION_BYTES)
-    value = min(max(base, wanted), MAX_INITIAL_PARTITIONS)
-    if value > base:
-        spark.conf.set(key, str(value))
-    return value
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
+@contextmanager
+def initial_partitions(spark: SparkSession, count: int) -> Iterator[None]:
+    """Shuffles start with ``count`` partitions inside; adaptive execution
+    coalesces what turns out small.  The session's own setting comes back."""
+    old = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set(INITIAL_PARTITIONS, str(count))
+    try:
+        yield
+    finally:
+        if old in (None, ""):
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, old)

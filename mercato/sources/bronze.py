@@ -1,25 +1,27 @@
 """Bronze ingestion: raw CSV files become Parquet tables.
 
-Each CSV is read with an explicit schema (no inference pass over the data):
-columns the pipeline names get their declared type, any other column is
-kept as text.  Quoted fields may span lines, so by default a file cannot be
-split at arbitrary bytes: each file is read by one task, and parallelism
-comes from the number of files (raw drops at scale arrive as many part
-files).  For files known to have no line breaks inside quotes,
-``multiline=False`` lets Spark split each file.  Doubled quotes are
-unescaped; a quoted empty string stays an empty string, and text such as
-``007`` stays text.
+Every field is read as text and then cast to the type declared for its
+column, so a number written in another form (``4.0`` for a whole number)
+survives; a value that still does not fit becomes null and is counted in the
+table's ``IngestStatus``.  No inference pass reads the data; columns the
+pipeline does not name stay text.  Doubled quotes are unescaped; a quoted
+empty string stays an empty string, and text such as ``007`` stays text.
+
+A table is one file, a folder or a list of files, listed by Spark on any file
+system.  Quoted fields may span lines, so by default a file cannot be split:
+each *file* is read by one task, and a table's parallelism is its number of
+files.  A table known to have no line breaks inside quotes is read with
+``multiline=False``; Spark then splits its files.
 """
 
 from __future__ import annotations
 
-import glob
 import logging
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,71 +75,102 @@ def table_name_for(file_name: str, prefix: str = "", suffix: str = "_dataset") -
     return stem
 
 
-def discover_tables(raw_dir: str, prefix: str = "", suffix: str = "_dataset") -> dict[str, str]:
-    """``{table: csv path}`` for the CSV files in a local folder.  On shared
-    storage pass the map explicitly instead."""
-    return {table_name_for(p, prefix, suffix): p
-            for p in sorted(glob.glob(os.path.join(raw_dir, "*.csv")))}
+Paths = str | Sequence[str]
+
+
+def discover_tables(spark: SparkSession, raw_dir: str, prefix: str = "", suffix: str = "_dataset") -> dict[str, Paths]:
+    """``{table: path}`` for the CSV files below a folder on any file system:
+    a file is a table, and so is a subfolder of part files.  Spark lists the
+    files; only their names reach the driver."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.csv").load(raw_dir)
+    found = [r["path"] for r in files.select("path").collect()]
+    depth = min((p.count("/") for p in found), default=0)
+    root = raw_dir.rstrip("/").split("/")[-1]
+    tables: dict[str, Paths] = {}
+    for p in sorted(found):
+        steps = p.split("/")
+        at = len(steps) - 1 - steps[::-1].index(root) if root in steps else depth - 1
+        name = table_name_for(steps[at + 1], prefix, suffix)
+        tables[name] = "/".join(steps[:at + 2])
+    return tables
 
 
 def _options(multiline: bool) -> dict[str, str]:
     return {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
 
 
-def csv_schema(spark: SparkSession, path: str, table: str, multiline: bool = True) -> T.StructType:
-    """Header names in file order, typed from ``RAW_TYPES`` (text otherwise).
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """Text as its declared type, null where it does not fit."""
+    number = text.try_cast("double")
+    if not isinstance(kind, T.LongType):
+        return number
+    return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
 
-    Only the header line is read to learn the names."""
-    header = spark.read.options(**_options(multiline)).csv(path).columns
-    types = RAW_TYPES.get(table, {})
-    return T.StructType([T.StructField(c, types.get(c, S), True) for c in header])
 
+def read_text(spark: SparkSession, path: Paths, multiline: bool = True) -> DataFrame:
+    """The fields of raw CSV files as text, named by the header."""
+    paths = path if isinstance(path, str) else list(path)
+    # Only a header line is read to learn the names.
+    names = spark.read.options(**_options(multiline)).csv(paths).columns
+    df = spark.read.options(**_options(multiline)).schema(
+        T.StructType([T.StructField(c, S) for c in names])).csv(paths)
+    return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in names})
 
-def read_csv(spark: SparkSession, path: str, table: str,
-             schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
-    """One raw CSV as a DataFrame with declared types.
 
-    ``multiline=False`` is for raw files known to hold no line breaks inside
-    quoted fields: Spark can then split a large file into many read tasks.
-    """
-    schema = schema or csv_schema(spark, path, table, multiline)
-    df = spark.read.options(**_options(multiline)).schema(schema).csv(path)
-    text = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c))
-                           for c in text})
+def _declared(df: DataFrame, table: str) -> dict[str, T.DataType]:
+    types = RAW_TYPES.get(table, {})
+    return {c: types[c] for c in df.columns if c in types and types[c] != S}
+
+
+def read_csv(spark: SparkSession, path: Paths, table: str, multiline: bool = True) -> DataFrame:
+    """A raw table as a DataFrame with declared types."""
+    df = read_text(spark, path, multiline)
+    return df.withColumns({c: _typed(F.col(c), t) for c, t in _declared(df, table).items()})
 
 
 @dataclass
 class IngestStatus:
     table: str
-    path: str
+    path: Paths
     rows: int | None
     ok: bool
     message: str
+    bad_values: int | None = None  # not blank, and null after the cast
 
 
-def ingest_csv(spark: SparkSession, table: str, csv_path: str, bronze_dir: str,
+def ingest_csv(spark: SparkSession, table: str, csv_path: Paths, bronze_dir: str,
                multiline: bool = True) -> IngestStatus:
-    """S3: load one CSV into its bronze table, replacing it.  A missing file
-    or a failure is reported and skipped, not raised."""
+    """S3: load one raw table into its bronze table, replacing it.  A missing
+    file or a failure is reported and skipped, not raised."""
     try:
-        df = read_csv(spark, csv_path, table, multiline=multiline)
+        df = read_text(spark, csv_path, multiline)
     except Exception as e:  # noqa: BLE001 - reported as a status row
         log.error("Failed to read %s: %s", csv_path, e)
         return IngestStatus(table, csv_path, None, False, f"read failed: {e}")
+    declared = _declared(df, table)
+    bad = sum((F.coalesce((F.trim(c) != "") & _typed(F.col(c), t).isNull(), F.lit(False)).cast("int") for c, t in declared.items()), F.lit(0))
+    # Counted on the text before it is cast; null and blank text are no bad values.
+    counted = df.withColumns({"__bad": bad, **{c: _typed(F.col(c), t) for c, t in declared.items()}})
     try:
-        rows = parquet.write_counted(df, parquet.bronze_path(bronze_dir, table), table)
+        found = parquet.write_observed(counted, parquet.bronze_path(bronze_dir, table), table, drop=("__bad",),
+                                       rows=F.count(F.lit(1)), bad=F.sum("__bad"))
     except Exception as e:  # noqa: BLE001
         log.error("Failed to load %s: %s", table, e)
         return IngestStatus(table, csv_path, None, False, f"load failed: {e}")
-    log.info("Loaded %d rows into %s", rows, table)
-    return IngestStatus(table, csv_path, rows, True, "loaded")
+    log.info("Loaded %d rows into %s", found["rows"], table)
+    if found["bad"]:
+        log.warning("%d values of %s do not fit their declared type and are null", found["bad"], table)
+    return IngestStatus(table, csv_path, found["rows"], True, "loaded", found["bad"])
+
 
+def ingest_all(spark: SparkSession, tables: Mapping[str, Paths], bronze_dir: str,
+               multiline: bool | Mapping[str, bool] = True) -> list[IngestStatus]:
+    """Every table of the map, in order; ``multiline`` for all tables, or
+    by table (true where not named)."""
+    def of(table: str) -> bool:
+        return multiline if isinstance(multiline, bool) else multiline.get(table, True)
 
-def ingest_all(spark: SparkSession, tables: Mapping[str, str], bronze_dir: str,
-               multiline: bool = True) -> list[IngestStatus]:
-    """Every table of the map, in order."""
-    return [ingest_csv(spark, t, p, bronze_dir, multiline) for t, p in tables.items()]
+    return [ingest_csv(spark, t, p, bronze_dir, of(t)) for t, p in tables.items()]
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, tables) -> dict[str, DataFrame]:
@@ -150,12 +183,13 @@ def read_bronze(spark: SparkSession, bronze_dir: str, tables) -> dict[str, DataF
     return out
 
 
-def preview(spark: SparkSession, df_or_path: DataFrame | str, limit: int = 5) -> DataFrame:
-    """The first ``limit`` rows of a table; an unreadable table gives an
-    empty frame."""
+def preview(spark: SparkSession, df_or_path: DataFrame | str, limit: int = 5,
+            order_by: Sequence[str] = ()) -> DataFrame:
+    """The first ``limit`` rows of a table, by ``order_by`` where given; an
+    unreadable table gives an empty frame."""
     try:
         df = df_or_path if isinstance(df_or_path, DataFrame) else spark.read.parquet(df_or_path)
-        return df.limit(limit)
+        return (df.orderBy(*order_by) if order_by else df).limit(limit)
     except Exception as e:  # noqa: BLE001
         log.error("Could not preview %s: %s", df_or_path, e)
         return spark.createDataFrame([], T.StructType([]))

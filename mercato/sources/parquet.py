@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger("mercato")
@@ -33,10 +33,13 @@ def bronze_path(bronze_dir: str, name: str) -> str:
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read a Parquet table; None when it does not exist."""
+    """Read a Parquet table; None when its path does not exist (S9).  Any
+    other failure (a folder without files, say) is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -52,11 +55,18 @@ def read_required(spark: SparkSession, path: str, what: str) -> DataFrame:
     return df
 
 
+def write_observed(df: DataFrame, path: str, name: str, drop: tuple[str, ...] = (), **metrics: Column) -> dict[str, int]:
+    """Overwrite ``path`` with ``df``; the ``metrics`` are counted as it is
+    written.  Columns in ``drop`` only serve the metrics."""
+    obs = Observation(f"rows_{name}")
+    exprs = [m.alias(k) for k, m in metrics.items()]
+    df.observe(obs, *exprs).drop(*drop).write.mode("overwrite").parquet(path)
+    return {k: int(v or 0) for k, v in obs.get.items()}
+
+
 def write_counted(df: DataFrame, path: str, name: str) -> int:
     """Overwrite ``path`` with ``df`` and return the rows written."""
-    obs = Observation(f"rows_{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get["rows"])
+    return write_observed(df, path, name, rows=F.count(F.lit(1)))["rows"]
 
 
 class EmptyReportError(ValueError):

@@ -6,14 +6,15 @@ functions of the keys.  The views are written once, as SQL expressions that
 Spark (``selectExpr``) and DuckDB (the correctness oracle) both accept, so
 the two engines see the same raw data.
 
-Every view reads whole tables; the modulo expressions only shape values
-(which orders get a second review, which payments are zero, ...).
+Every view reads whole tables and keeps their rows: where a row is to have no
+partner (an item without order, a review without order, a deal without lead,
+a category without translation), its key is shifted out of range.  Second
+reviews and payments are rows added for some orders; leads and deals are the
+events of their type.
 """
 
 from __future__ import annotations
 
-import os
-import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,9 +80,9 @@ VIEWS: dict[str, tuple[Part, ...]] = {
          "p_size AS product_width_cm")),),
     "product_category_name_translation": (Part(
         ("part",), (),
-        ("lower(p_type) AS product_category_name",
+        ("CASE WHEN p_type = 'PROMO' THEN 'no such category' ELSE lower(p_type) END AS product_category_name",
          "'en_' || lower(p_type) AS product_category_name_english"),
-        where="p_type <> 'PROMO'", distinct=True),),
+        distinct=True),),
     "order_payments": (
         Part(("orders",), (),
              ("o_orderkey AS order_id",
@@ -98,11 +99,10 @@ VIEWS: dict[str, tuple[Part, ...]] = {
     "order_reviews": (
         Part(("orders",), (),
              ("o_orderkey AS review_id",
-              "o_orderkey AS order_id",
+              "CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey + 20000000000 ELSE o_orderkey END AS order_id",
               "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 1 + o_orderkey % 5 END AS review_score",
               "CAST(o_orderdate AS STRING) AS review_creation_date",
-              "CAST(o_orderdate AS STRING) AS review_answer_timestamp"),
-             where="o_orderkey % 3 <> 0"),
+              "CAST(o_orderdate AS STRING) AS review_answer_timestamp")),
         Part(("orders",), (),
              ("o_orderkey + 1000000000 AS review_id", "o_orderkey AS order_id",
               "CAST(1 AS BIGINT) AS review_score", "'not a date' AS review_creation_date",
@@ -118,18 +118,17 @@ VIEWS: dict[str, tuple[Part, ...]] = {
         where="event_type = 'signup'"),),
     "closed_deals": (Part(
         ("events",), (),
-        ("user_id AS mql_id",
+        ("CASE WHEN user_id % 3 = 0 THEN user_id ELSE user_id + 10000000000 END AS mql_id",
          "CASE WHEN user_id % 30 = 3 THEN 'not a date' "
          "ELSE CAST(CAST(ts AS DATE) AS STRING) || ' 12:00:00' END AS won_date",
          "event_id"),
-        where="event_type = 'purchase' AND user_id % 3 = 0"),),
+        where="event_type = 'purchase'"),),
     # Flat form of the state document; ``geo_document`` nests it.
     "geo_states": (Part(
         ("nation",), (),
-        ("chr(65 + n_nationkey) || chr(65 + n_regionkey) AS state_id",
+        ("CASE WHEN n_nationkey < 24 THEN chr(65 + n_nationkey) || chr(65 + n_regionkey) ELSE 'no state' END AS state_id",
          "n_name AS state_name",
-         "n_regionkey AS doc_id"),
-        where="n_nationkey < 24"),),
+         "n_regionkey AS doc_id")),),
 }
 
 # Which row survives keep-one-per-key in the derived tables: the lowest
@@ -144,7 +143,7 @@ DEDUPE_ORDER = {
 
 # The test tables are read-only, so a session resolves each file once (file
 # listing and footer read happen on the driver when a DataFrame is built).
-_RESOLVED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+# The cache hangs on the session and goes with it.
 
 
 class _Reader:
@@ -152,46 +151,15 @@ class _Reader:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._seen = _RESOLVED.setdefault(spark, {})
+        self._seen = spark.__dict__.setdefault("_mercato_test_tables", {})
 
     def __call__(self, table: str) -> DataFrame:
         path = f"{self.sf_dir}/{table}.parquet"
         if path not in self._seen:
-            df = self.spark.read.parquet(path)
-            if _single_split(self.spark, path):
-                df = _spread(self.spark, df)
-            self._seen[path] = df
+            self._seen[path] = self.spark.read.parquet(path)
         return self._seen[path]
 
 
-# Test files smaller than this are left as one scan task: spreading them
-# would cost a shuffle stage for a few thousand rows.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _single_split(spark: SparkSession, path: str) -> bool:
-    """A local test file of some size whose row groups (the units a Parquet
-    scan splits at) are fewer than the cores; read from the file footer."""
-    if not os.path.isfile(path) or os.path.getsize(path) < SPREAD_MIN_BYTES:
-        return False
-    import pyarrow.parquet as pq
-
-    return pq.ParquetFile(path).metadata.num_row_groups < spark.sparkContext.defaultParallelism
-
-
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Hash-spread a scan of a single-split test file over the cores.
-
-    Each test table is one file with one row group, so its scan is a single
-    task and every per-row step before the first shuffle (deriving the
-    stand-in columns, parsing, partial aggregation) would run on one core.
-    Hash partitioning on the table's first column (its key) is deterministic
-    under task retries.  Scans of real inputs have many splits and are left
-    alone.
-    """
-    return df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-
-
 def _part_df(read: _Reader, part: Part) -> DataFrame:
     df = read(part.tables[0])
     for table, cond in zip(part.tables[1:], part.join_on):

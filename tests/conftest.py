@@ -9,17 +9,14 @@ if ROOT not in sys.path:
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    from mercato.session import apply_defaults, ensure_checkpoint_dir
-
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    apply_defaults(s)
-    ensure_checkpoint_dir(s)
     yield s
     s.stop()

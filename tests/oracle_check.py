@@ -60,6 +60,17 @@ def rows_of_duck(con, sql):
     return cols, sorted(rows), types
 
 
+def in_order_spark(df, keys):
+    """The sort keys' values in the order of the result."""
+    return [tuple(_norm(r[k]) for k, _ in keys) for r in df.collect()]
+
+
+def in_order_duck(con, sql, keys):
+    rel = con.execute(sql)
+    names = [d[0] for d in rel.description]
+    return [tuple(_norm(r[names.index(k)]) for k, _ in keys) for r in rel.fetchall()]
+
+
 def compare(spark, name, query, sql, sf_dir, con):
     t0 = time.time()
     df = query(spark, sf_dir)
@@ -69,6 +80,9 @@ def compare(spark, name, query, sql, sf_dir, con):
     ok_cols = s_cols == d_cols
     ok_n = len(s_rows) == len(d_rows)
     ok_v = s_rows == d_rows
+    from mercato.plans.oracle import SORTED
+    if ok_v and name in SORTED:
+        ok_v = in_order_spark(df, SORTED[name]) == in_order_duck(con, sql, SORTED[name])
     status = "OK" if (ok_cols and ok_n and ok_v) else "MISMATCH"
     print(f"{status:8s} {name:40s} rows spark={len(s_rows)} duck={len(d_rows)} "
           f"cols={'ok' if ok_cols else 'DIFF'} values={'ok' if ok_v else 'DIFF'} spark_s={t1 - t0:.2f}")

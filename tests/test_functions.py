@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,19 +153,25 @@ def test_ratio_pct(spark):
 def test_shuffle_sizing(spark, tmp_path):
     from mercato import session
 
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert session.size_shuffle_partitions(spark, 1000) == base  # small input: unchanged
-    assert spark.conf.get(key, None) in (None, "")
+    assert session.partitions_for(spark, 1000) == base
+    # 100 TiB of Parquet: 4 x 100 TiB decoded at 128 MiB each, not clipped.
+    assert session.partitions_for(spark, 100 * 1024 ** 4) == 4 * 8192 * 100
+    for count in (320, 77):  # two jobs of one session each get their own
+        with session.initial_partitions(spark, count):
+            assert spark.conf.get(session.INITIAL_PARTITIONS) == str(count)
+        assert spark.conf.get(session.INITIAL_PARTITIONS, None) in (None, "")
+    spark.conf.set(session.INITIAL_PARTITIONS, "9")
     try:
-        big = 100 * 1024 ** 4  # 100 TiB of Parquet
-        assert session.size_shuffle_partitions(spark, big) == session.MAX_INITIAL_PARTITIONS
-        spark.conf.set(key, "777")  # an explicit setting wins
-        assert session.size_shuffle_partitions(spark, big) == 777
+        with session.initial_partitions(spark, 5):
+            pass
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "9"
     finally:
-        spark.conf.unset(key)
-    spark.range(10).write.parquet(str(tmp_path / "p"))
-    assert session.input_bytes(spark, str(tmp_path / "p")) > 0
+        spark.conf.unset(session.INITIAL_PARTITIONS)
+    for name in ("a", "b"):
+        spark.range(10).write.parquet(str(tmp_path / name))
+    sizes = session.table_bytes(spark, str(tmp_path))
+    assert set(sizes) == {"a", "b"} and min(sizes.values()) > 0
 
 
 def test_left_join_split_nulls(spark):
@@ -181,7 +188,32 @@ def test_left_join_split_nulls(spark):
     assert left_join_split_nulls(left, right, "k").columns == ["k", "x", "y"]
 
 
-def test_money_ignores_values_without_cents(spark):
-    df = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),), (1e300,), (2.5,)], "p double")
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize("values, total", [
+    ([1.25, NAN, 2.5], NAN), ([1.25, INF], INF), ([1e18, 1.25], 1e18 + 1.25), ([1e300, 2.5], 1e300),
+    ([0.004, 0.004, 0.005], 0.013), ([0.004, NAN, 1e18], NAN), ([0.1, 0.2, None], 0.3), ([None], 0.0),
+    ([9e16, 9e16], 1.8e17)])
+def test_money_loses_no_value(spark, values, total):  # T9
+    from mercato.functions import money_mean_of, money_merged, money_parts, money_total
+
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(values)], "p double, k int")
+    n = sum(v is not None for v in values)
     r = df.agg(money_sum("p").alias("s"), money_mean("p").alias("m")).collect()[0]
-    assert r.s == 3.75 and r.m == 3.75 / 2
+    parts = df.groupBy("k").agg(*money_parts("p", "p"))
+    by_part = parts.agg(money_total("p").alias("s"), money_mean_of("p").alias("m")).collect()[0]
+    doubled = parts.groupBy().agg(*money_merged("p", F.lit(2))).agg(money_total("p").alias("s")).collect()[0]
+    for got in (r.s, by_part.s, doubled.s / 2):
+        assert got == pytest.approx(total, rel=1e-12, nan_ok=True)
+    for got in (r.m, by_part.m):
+        assert got is None if not n else got == pytest.approx(total / n, rel=1e-12, nan_ok=True)
+
+
+def test_inferred_layouts(spark):
+    texts = ["2018-01-01T10:00:00", "2018/01/01", "2018-01-01 10:00:00.123", "2018-01-01 10:00", "2018/02/03 04:05:06",
+             "2018/01-01", "2018", "2018-1-1", "2018-13-01", "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.t for r in df.select(parse_datetime_inferred("s").alias("t")).collect()]
+    assert got == [ts("2018-01-01 10:00:00"), ts("2018-01-01 00:00:00"), ts("2018-01-01 10:00:00.123"),
+                   ts("2018-01-01 10:00:00"), ts("2018-02-03 04:05:06"), None, None, None, None, None]

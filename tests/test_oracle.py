@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.oracle_check import duck_connection, rows_of_duck, rows_of_spark
+from mercato.plans import registry
+from mercato.plans import oracle
+from tests.oracle_check import duck_connection, in_order_duck, in_order_spark, rows_of_duck, rows_of_spark
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +26,18 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_rows == d_rows
 
 
-def test_every_query_has_oracle_but_preview():
-    assert set(QUERIES) - set(SQL) == {"preview_orders"}
+@pytest.mark.parametrize("name", sorted(oracle.SORTED))
+def test_result_is_in_the_order_of_its_sort_keys(spark, duck, name):
+    keys = oracle.SORTED[name]
+    if name == "quality_summary":  # ordered by a column it does not return
+        assert [r.dataset for r in QUERIES[name](spark, SF).collect()] == [
+            "Orders", "Customer", "Payments", "Product", "Relational"]
+        return
+    assert in_order_spark(QUERIES[name](spark, SF), keys) == in_order_duck(duck, SQL[name], keys)
+
+
+def test_every_query_of_the_registry_has_an_oracle():
+    assert set(registry.queries()) == set(oracle.oracle_queries())
     assert set(SQL) <= set(QUERIES)
 
 

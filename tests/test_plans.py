@@ -7,13 +7,13 @@ the columns the query needs.
 
 import pytest
 
-import __spark_entry__ as entry
+from mercato.plans import registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "LocalTableScan")
+             "FlatMapGroupsInPandas", "MapInPandas", "LocalTableScan", "REPARTITION_BY_NUM")
 
 
 def _plan(df) -> str:
@@ -27,6 +27,15 @@ def test_plan_is_distributed_and_jvm_side(spark, name):
         assert op not in plan, f"{name} plans {op}"
 
 
+def test_category_report_expands_nothing(spark):
+    assert "Expand" not in _plan(QUERIES["gold_category_performance"](spark, SF))
+
+
+def test_preview_takes_its_rows_without_a_shuffle(spark):
+    plan = _plan(QUERIES["preview_orders"](spark, SF))
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+
+
 def test_state_report_reads_only_needed_columns(spark):
     plan = _plan(QUERIES["gold_state_performance"](spark, SF))
     # lineitem is read for key, quantity and price columns only.

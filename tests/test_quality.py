@@ -116,6 +116,6 @@ def test_gate_is_opt_in(spark):  # F2
         quality.check_gate(res, ["Product"])
 
 
-def test_display_names():
-    assert [quality.display_name(v) for v in quality.VALIDATIONS] == [
+def test_datasets():
+    assert list(quality.DATASETS) == [
         "Orders", "Customer", "Payments", "Product", "Relational"]

@@ -99,3 +99,61 @@ def test_seller_rankings_under_skew(spark, skew_conf):
         want[s][0] += o is not None
         want[s][1].add(p)
     assert got == {k: (v[0], len(v[1])) for k, v in want.items()}
+
+
+def _hot_order(spark):
+    rnd = random.Random(5)
+    # Order 0 holds a third of all items and of all reviews.
+    items = [(0 if i % 3 == 0 else rnd.randrange(1, 300), rnd.randrange(0, 40), round(rnd.uniform(1, 300), 2))
+             for i in range(3000)]
+    reviews = [(i, 0 if i % 3 == 0 else rnd.randrange(1, 300), float(rnd.randrange(1, 6)) if i % 7 else None)
+               for i in range(300)]
+    products = [(p, f"c{p % 5}") for p in range(38)]
+    return items, reviews, products, {
+        "order_items": spark.createDataFrame(items, "order_id int, product_id int, price double").repartition(6),
+        "order_reviews": spark.createDataFrame(
+            reviews, "review_id int, order_id int, review_score double").repartition(4),
+        "products": spark.createDataFrame(products, "product_id int, product_category_name_english string")}
+
+
+@pytest.mark.parametrize("report", ["category_performance", "product_reviews"])
+def test_review_reports_with_a_hot_order(spark, skew_conf, report):
+    items, reviews, products, t = _hot_order(spark)
+    # At most one row per product of an order meets the reviews.
+    assert gold._order_products(t).groupBy("order_id").count().agg({"count": "max"}).first()[0] <= 40
+    got = {r[0]: tuple(r)[1:] for r in gold.REPORTS[report](t).collect()}
+    of = defaultdict(list)
+    for r, o, s in reviews:
+        of[o].append((r, s))
+    category = dict(products)
+    acc = defaultdict(lambda: [Decimal(0), set(), [], set(), 0])
+    for o, p, price in items:
+        if p not in category:
+            continue
+        a = acc[category[p]]
+        a[1].add(o)
+        a[3].add(p)
+        a[0] += Decimal(str(price)) * max(1, len(of[o]))
+        a[2] += [s for _, s in of[o] if s is not None]
+        a[4] += len(of[o])
+    if report == "category_performance":
+        want = {k: (float(a[0]), len(a[1]), sum(a[2]) / len(a[2]), len(a[3])) for k, a in acc.items()}
+    else:
+        want = {k: (sum(a[2]) / len(a[2]), a[4]) for k, a in acc.items() if a[4] > 50}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-9)
+
+
+def test_orphans_with_a_hot_key(spark, skew_conf):
+    from mercato.operators import expectations as ex
+
+    keys = [0 if i % 3 == 0 else (None if i % 5 == 0 else i) for i in range(3000)]
+    items = spark.createDataFrame([(k,) for k in keys], "order_id int").repartition(6)
+    orders = spark.createDataFrame([(k,) for k in range(1, 2000)], "order_id int").repartition(4)
+    want = sum(k is None or not 1 <= k < 2000 for k in keys)
+    for parents in (None, ex.key_counts(orders, "order_id")):
+        df = ex.orphan_rule(items, orders, "order_id", "T", parent_keys=parents)
+        assert df.collect()[0].failures == want
+        # One row per key meets the join, however hot the key.
+        assert ex.key_counts(items, "order_id").count() == len(set(keys))

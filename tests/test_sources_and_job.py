@@ -39,6 +39,46 @@ def test_csv_declared_types(spark, tmp_path):
     assert types["price"] == "double" and types["order_id"] == "string" and types["order_item_id"] == "string"
 
 
+def test_numbers_in_other_forms_survive_and_misfits_are_counted(spark, tmp_path):
+    p = tmp_path / "order_reviews.csv"
+    p.write_text("review_id,order_id,review_score,note\n1,a,4.0,x\n2,b,5,x\n3,c,,x\n4,d,five,x\n5,e,2.5,\n")
+    st = bronze.ingest_csv(spark, "order_reviews", str(p), str(tmp_path / "bronze"))
+    rows = spark.read.parquet(str(tmp_path / "bronze" / "order_reviews.parquet")).orderBy("review_id").collect()
+    assert [r.review_score for r in rows] == [4, 5, None, None, None]
+    assert (st.ok, st.rows, st.bad_values) == (True, 5, 2) and "__bad" not in rows[0].asDict()
+
+
+def test_a_table_of_many_files_is_read_in_many_tasks(spark, tmp_path):
+    folder = tmp_path / "raw" / "shop_sellers_dataset"
+    folder.mkdir(parents=True)
+    for i in range(6):
+        (folder / f"part-{i}.csv").write_text(f"seller_id,seller_city,seller_state\n{i},c,SP\n" + "9,d,RJ\n" * 50)
+    (tmp_path / "raw" / "shop_orders_dataset.csv").write_text("order_id\n1\n")
+    found = bronze.discover_tables(spark, str(tmp_path / "raw"), "shop_")
+    assert set(found) == {"sellers", "orders"}
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        df = bronze.read_csv(spark, found["sellers"], "sellers")
+        assert df.count() == 306 and df.rdd.getNumPartitions() > 1
+        files = sorted(str(f) for f in folder.iterdir())
+        assert bronze.read_csv(spark, files[:2], "sellers").count() == 102
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+
+
+def test_unreadable_folder_is_not_a_missing_table(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from mercato.sources import parquet
+
+    (tmp_path / "empty").mkdir()
+    assert parquet.try_read(spark, str(tmp_path / "absent")) is None
+    with pytest.raises(AnalysisException):
+        parquet.try_read(spark, str(tmp_path / "empty"))
+
+
 def test_missing_csv_is_reported_not_raised(spark, tmp_path):
     st = bronze.ingest_csv(spark, "orders", str(tmp_path / "nope.csv"), str(tmp_path / "bronze"))
     assert not st.ok
@@ -83,7 +123,7 @@ def test_job_from_csv_files(spark, tmp_path):  # whole job (S1-S4, S8, S12, V1-V
         assert res.gold_rows[name] == qs[f"gold_{name}"](spark, SF).count()
     for name in ("orders", "customers", "order_items", "order_reviews"):
         assert res.silver_rows[name] == qs[f"silver_{name}"](spark, SF).count()
-    report = open(os.path.join(out, "reports", "data_health_summary.md")).read()
+    report = "\n".join(r.value for r in spark.read.text(os.path.join(out, "reports", "data_health_summary.md")).collect())
     assert "## 1. Executive Summary" in report and "| Relational |" in report
     silver_orders = spark.read.parquet(os.path.join(out, "silver", "orders_cleaned.parquet"))
     assert dict(silver_orders.dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
@@ -125,5 +165,10 @@ def test_cli_runs_the_job(spark, tmp_path):
     assert main(args) == 0
     assert len(os.listdir(out / "gold")) == 15
     assert (out / "reports" / "data_health_summary.md").exists()
+    # The scores, which pandas wrote as 4.0, are those of the given tables.
+    for table, column in (("order_reviews", "review_score"), ("order_payments", "payment_installments")):
+        written = spark.read.parquet(str(out / "silver" / f"{table}_cleaned.parquet"))
+        given = registry.silver_for(spark, SF)[table]
+        assert written.agg(F.sum(column), F.count(column)).collect() == given.agg(F.sum(column), F.count(column)).collect()
     # Without the prefix the table names do not resolve: a clean failure.
     assert main(args[:-2] + ["--out", str(tmp_path / "out2")]) == 1
