@@ -137,15 +137,15 @@ def test_counts_documented_for_the_stand_ins(spark):
     leads, deals = b["marketing_leads"], b["closed_deals"]
     assert (leads.count(), s["marketing_leads"].count()) == (199, 15)
     assert leads.where(c("origin").isNull()).count() == 42
-    assert (deals.count(), s["closed_deals"].count()) == (71, 5)
+    assert (deals.count(), s["closed_deals"].count()) == (202, 15)
     assert deals.where(c("won_date") == "not a date").count() == 12
     pay = b["order_payments"]
     assert (pay.count(), pay.where(c("payment_value") == 0).count()) == (1800, 30)
     rev = b["order_reviews"]
-    assert rev.where(c("review_score").isNull()).count() == 91
-    assert (rev.count(), rev.select("order_id").distinct().count()) == (1167, 1000)
+    assert rev.where(c("review_score").isNull()).count() == 137
+    assert (rev.count(), rev.select("order_id").distinct().count()) == (1667, 1500)
     assert s["order_reviews"].where(c("review_score") == 3.0).count() == (
-        rev.where(c("review_score") == 3).count() + 91)  # median 3.0 fills the nulls
+        rev.where(c("review_score") == 3).count() + 137)  # median 3.0 fills the nulls
     late = gold.delivery_reliability(s).agg(F.sum("total_late_orders")).collect()[0][0]
     after = s["orders"].where(c("order_delivered_customer_date") > c("order_estimated_delivery_date")).count()
     assert (after, late) == (165, 154)  # T1: after the estimate vs late by a whole day
