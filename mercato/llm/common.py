@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -72,12 +72,10 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
     vertex (combined map-side) joined back to the edges, so a vertex with
     very many neighbours is split like any skewed join key.  The edges of
     each round are written to the shared folder; only their number and one
-    checksum reach the driver.
+    checksum, taken as they are written, reach the driver.
     """
     spark = edges.sparkSession
     a, b = F.col("a"), F.col("b")
-    edges = written(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
-                    .distinct(), f"{name}-edges")
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         if large:  # every neighbour above u is linked to the smallest of u's neighbourhood
@@ -89,17 +87,20 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
         else:
             out = j.select(b.alias("a"), F.col("m").alias("b")).unionByName(
                 low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return out.where(a != b).distinct()
+        return out.where(a != b)
 
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def settled(e: DataFrame) -> tuple[DataFrame, tuple]:
+        seen, path = Observation(), scratch_path(spark, name)
+        e = e.distinct()
+        e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
+                  ).write.parquet(path)
+        return spark.read.schema(e.schema).parquet(path), (seen.get["n"], seen.get["sum"])
 
-    before = state(edges)
+    edges, before = settled(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")))
     for _ in range(max_rounds):
         if not before[0]:
             break
-        edges = written(star(star(edges, True), False), f"{name}-cc")
-        after = state(edges)
+        edges, after = settled(star(star(edges, True), False))
         if after == before:
             break
         before = after

@@ -9,12 +9,12 @@ one class; only classes are joined.
    classes are compared exhaustively by sketch; larger ones branch on another
    minwise token, now and then on two, so that a pair at the threshold
    expects to stay together in one branch at any depth.
-2. A node reports, for classes whose sketches agree, a spanning forest of at
-   most n - 1 links, never its pairs.  The components of these links hold
+2. A node reports the components of its classes whose sketches agree as
+   stars, at most n - 1 links, never its pairs.  The components of these links hold
    every linked pair that met in some tree.
 3. Within each component the full sets are compared.  A component of more
    than ``BLOCK`` classes is compared in pairs of blocks, each a task's group
-   of its own.  Again only spanning links leave a group.
+   of its own.  Again only stars leave a group.
 
 Recall: classes at the threshold similarity s meet in a tree with
 probability s at a first-level leaf, and miss each other in all trees with
@@ -25,8 +25,8 @@ probability below 1e-7.
 Defined cases: no words or null text: the empty set, linked with nothing;
 fewer than five words: the whole sequence is the one shingle; repeated rows
 are a class; null doc_ids are never the smallest of a component that has
-another id, and an unlinked one keeps a null component; other columns pass
-through ``near_duplicates`` untouched.
+another id, and a component without ids is null; other columns pass through
+``deduplicated`` untouched.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import chunks, connected_components, read_table, text_of, written
@@ -45,7 +45,7 @@ SHINGLE = 5
 THRESHOLD = 85  # per cent
 TOKENS = 64  # minwise tokens of a class
 TREES = 16
-LEAF = 512
+LEAF = 2048
 SPLIT_PER_CENT = 18  # nodes that branch twice: 1.18 branches * 0.85 = 1
 MAX_LEVELS = 48
 BLOCK = 2048
@@ -108,20 +108,21 @@ def minwise(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, cls, tokens) of every document."""
+    """(doc_id, hash: of the text, n_shingles, cls, tokens) of every document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
         for batch in chunks(batches, "text", SLICE_BYTES):
             sets = [shingle(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
+                [batch["doc_id"], batch["hash"], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([class_id(s) for s in sets], pa.binary()),
                  pa.array([minwise(s).tobytes() if len(s) else b"" for s in sets], pa.binary())],
-                names=["doc_id", "n_shingles", "cls", "tokens"])
+                names=["doc_id", "hash", "n_shingles", "cls", "tokens"])
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, cls binary, tokens binary")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("hash"),
+                       text_of(docs).alias("text"))
+    return rows.mapInArrow(sign, "doc_id long, hash long, n_shingles long, cls binary, tokens binary")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -179,42 +180,48 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def spanning(n: int, neighbours) -> list[tuple[int, int]]:
-    """A spanning forest; ``neighbours(i, rest)`` tells which of the vertices
-    ``rest`` are linked to vertex i.  Every vertex is compared with every one
-    outside its tree so far, so no component is missed."""
+def connected(n: int, neighbours) -> list[list[int]]:
+    """Components of two or more of the vertices 0..n-1; ``neighbours(i,
+    rest)`` tells which of the vertices ``rest`` are linked to vertex i.
+    Every vertex is compared with every one not reached yet."""
     rest, out = np.arange(n), []
     while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            i = queue.pop()
-            hit = neighbours(i, rest)
-            out.extend((i, int(j)) for j in rest[hit])
-            queue.extend(rest[hit].tolist())
+        members, at, rest = [int(rest[0])], 0, rest[1:]
+        while at < len(members) and len(rest):
+            hit = neighbours(members[at], rest)
+            members.extend(rest[hit].tolist())
             rest = rest[~hit]
+            at += 1
+        if len(members) > 1:
+            out.append(members)
+    return out
+
+
+def stars(components: list[list[int]], names) -> list[tuple]:
+    """Each component as links from its smallest name to the others."""
+    out = []
+    for members in components:
+        own = sorted({names[i] for i in members})
+        out.extend((own[0], other) for other in own[1:])
     return out
 
 
 def _leaf_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a, b = [], []
+    links: list[tuple[int, int]] = []
 
     def full() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)],
+                                          names=["a", "b"])
 
     for node in groups(batches, "node"):
         if node.num_rows < 2:
             continue
-        ids = node["id"].to_numpy()
         sketch = np.frombuffer(b"".join(node["sketch"].to_pylist()), np.uint8).reshape(-1, TOKENS)
-        if node.num_rows == 2:
-            links = [(0, 1)] if (sketch[0] == sketch[1]).sum() >= MATCHES else []
-        else:
-            links = spanning(len(ids), lambda i, rest: (sketch[rest] == sketch[i]).sum(1) >= MATCHES)
-        a.extend(ids[i] for i, _ in links)
-        b.extend(ids[j] for _, j in links)
-        if len(a) > 50_000:
+        links.extend(stars(connected(len(sketch), lambda i, rest: (sketch[rest] == sketch[i]).sum(1) >= MATCHES),
+                           node["id"].to_pylist()))
+        if len(links) > 50_000:
             yield full()
-            a, b = [], []
+            links = []
     yield full()
 
 
@@ -255,8 +262,8 @@ def jaccard_reaches(common: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray
     return 100 * common >= THRESHOLD * (n + sizes - common)
 
 
-def set_links(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning links of the exact similarity graph between sets of side 0
+def set_components(sets: list[np.ndarray], side: np.ndarray) -> list[list[int]]:
+    """Components of the exact similarity graph between sets of side 0
     and of side 1, or of all sets where every side is 0."""
     sizes = np.array([len(s) for s in sets])
     number = np.unique(np.concatenate(sets), return_inverse=True)[1]
@@ -274,21 +281,20 @@ def set_links(sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]
         hit = jaccard_reaches(common, sizes[i], sizes[rest])
         return hit & (side[rest] != side[i]) if both else hit
 
-    return spanning(len(sets), neighbours)
+    return connected(len(sets), neighbours)
 
 
 def _exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, "pair"):
         cls = group["cls"].to_pylist()
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
-        links = set_links(sets, group["side"].to_numpy())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([cls[i] for i, _ in links], pa.binary()), pa.array([cls[j] for _, j in links], pa.binary())],
-            names=["a", "b"])
+        links = stars(set_components(sets, group["side"].to_numpy()), cls)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)],
+                                         names=["a", "b"])
 
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Links (a, b) of classes with similar full sets, spanning the graph."""
+    """Links (a, b) with the components of the graph of similar full sets."""
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
@@ -303,7 +309,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) ->
     texts = docs.select(docs["doc_id"].cast("long").alias("of"), text_of(docs).alias("text"))
     wanted = members.select("doc_id").distinct()
     sets = texts.join(wanted, texts["of"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text").mapInArrow(
-        shingles, "cls binary, shingles binary")
+        shingles, "cls binary, shingles binary").groupBy("cls").agg(F.first("shingles").alias("shingles"))
     # Clusters of more than BLOCK classes are compared in pairs of blocks.
     count = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(count, "cluster").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
@@ -315,22 +321,45 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) ->
             .mapInArrow(_exact_links, "a binary, b binary"))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """Per document (doc_id, n_shingles, component_id, kept)."""
+def linked(docs: DataFrame) -> DataFrame:
+    """Per document (doc_id, hash, n_shingles, component): the smallest class
+    reachable, null for the empty set."""
     signed = written(signatures(docs), "signatures")
-    some = F.col("n_shingles") > 0
-    classes = written(signed.where(some).groupBy("cls").agg(
+    classes = written(signed.where("n_shingles > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")).withColumn(
         "id", F.xxhash64("cls")), "classes")
     clusters = candidate_clusters(classes.select("id", "tokens"))
     links = connected_components(confirmed_links(docs, classes, clusters), "classes")
-    linked = classes.join(links, classes["cls"] == links["v"], "left").select(
-        "cls", "doc_id", F.coalesce("c", "cls").alias("component"))
-    lowest = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of = linked.join(lowest, "component").select(F.col("cls").alias("of"), "component_id")
-    out = signed.join(of, signed["cls"] == of["of"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return signed.join(links, signed["cls"] == links["v"], "left").select(
+        "doc_id", "hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("c", "cls")).alias("component"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """Per document (doc_id, n_shingles, component_id, kept)."""
+    rows = written(linked(docs), "linked")
+    lowest = rows.where("component is not null").groupBy(F.col("component").alias("of")).agg(
+        F.min("doc_id").alias("lowest"))
+    out = rows.join(lowest, rows["component"] == lowest["of"], "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One document of each component, with its columns: the one of smallest
+    id (rows without id last), of repeated rows one."""
+    key = [F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("hash")]
+    rows = linked(docs).select(*key, "component")
+    first = written(rows.where("component is not null").groupBy("component").agg(
+        F.min(F.struct("no_id", "id", "hash")).alias("k")).select("k.*").unionByName(
+        rows.where("component is null").select("no_id", "id", "hash")).distinct(), "kept")
+    own = docs.select(F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("row"),
+                      docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("hash"))
+    same = ["no_id", "id", "hash"]
+    kept = own.select("row", *key).join(first, same, "left_semi")
+    once = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(1)))
+    return kept.withColumn("n", once).where("n = 1").select(
+        *(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
