@@ -37,7 +37,7 @@ WINDOW_WORDS = 8
 SHRINK = 20  # words added to every document's rates
 
 RATES = ("word_length", "symbols", "capitals", "marks", "repeats")
-SPREAD = (0.06, 0.04, 0.04, 0.08, 0.05)
+SPREAD = (0.06, 0.04, 0.04, 0.08, 0.15)
 PRIOR = 30
 GRID = 1000
 BINS = 16
@@ -154,16 +154,16 @@ def mcd(rows: DataFrame) -> DataFrame:
     def middle(values: dict[str, Column]) -> list[Column]:
         return [F.percentile(v, 0.5).alias(n) for n, v in values.items()]
 
-    medians = rows.groupBy("grp").agg(*middle({f"b{i}": F.col(f"x{i}") for i in range(P)}))
-    rows = rows.join(medians, "grp").select("grp", *((F.col(f"x{i}") - F.col(f"b{i}")).alias(f"y{i}") for i in range(P)))
+    medians = written(rows.groupBy("grp").agg(*middle({f"b{i}": F.col(f"x{i}") for i in range(P)})), "medians")
+    rows = written(rows.join(medians, "grp").select(
+        "grp", *((F.col(f"x{i}") - F.col(f"b{i}")).alias(f"y{i}") for i in range(P))), "offsets")
     rounded = {f"a{i}": F.round(F.abs(F.col(f"y{i}")) * GRID) / GRID for i in range(P)}
     spread = rows.groupBy("grp").agg(*middle(rounded))
-    start = spread.select("grp", *(F.lit(0.0).alias(f"m{i}") for i in range(P)),
-                          *((F.greatest(1.4826 * F.col(f"a{i}"), F.lit(SPREAD[i])) if i == j else F.lit(0.0))
-                            .alias(f"l{i}{j}") for i, j in PAIRS))
-    estimate = start
-    for _ in range(STEPS):
-        estimate = _concentrated(_distance(rows, estimate))
+    estimate = spread.select("grp", *(F.lit(0.0).alias(f"m{i}") for i in range(P)),
+                             *((F.greatest(1.4826 * F.col(f"a{i}"), F.lit(SPREAD[i])) if i == j else F.lit(0.0))
+                               .alias(f"l{i}{j}") for i, j in PAIRS))
+    for _ in range(STEPS):  # each estimate, a row per group, is written: plans stay as small as one step
+        estimate = written(_concentrated(_distance(rows, estimate)), "estimate")
     near = _distance(rows, estimate).where(F.col("d") <= REWEIGHT)
     # A group none of whose rows is that near keeps its last estimate.
     final = _factor(near.groupBy("grp").agg(*_moments(rows)), REWEIGHT_FACTOR)

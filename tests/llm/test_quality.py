@@ -1,0 +1,112 @@
+"""Operator 3's robust distances against a plain restatement in numpy."""
+
+import math
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mercato.llm import quality_rules as q
+from tests.llm.conftest import dicts
+
+P = q.P
+
+
+def rates(d):
+    n, chars = d["n_words"] + q.SHRINK, d["word_chars"] + 5 * q.SHRINK
+    x = (math.log(chars / n), math.sqrt(d["n_symbols"] / chars), math.sqrt(d["n_capitals"] / chars),
+         math.sqrt(d["n_marks"] / n), d["n_repeat_words"] / n)
+    return [math.floor(v * q.GRID + 0.5) / q.GRID for v in x]
+
+
+def factor(y, scale):
+    m = y.mean(0)
+    v = scale * (y.T @ y - len(y) * np.outer(m, m)) + np.diag([q.PRIOR * s * s for s in q.SPREAD])
+    return m, np.linalg.cholesky(v / (len(y) + q.PRIOR))
+
+
+def distance(y, estimate):
+    z = np.linalg.solve(estimate[1], (y - estimate[0]).T)
+    return (z * z).sum(0)
+
+
+def estimate(x):
+    b = np.median(x, axis=0)
+    y = x - b
+    a = np.median(np.floor(np.abs(y) * q.GRID + 0.5) / q.GRID, axis=0)
+    e = np.zeros(P), np.diag(np.maximum(1.4826 * a, q.SPREAD))
+    for _ in range(q.STEPS):
+        bins = np.floor(np.log(distance(y, e) + 1e-6) * q.BINS)
+        half, near, c = math.ceil((len(y) + P + 1) / 2), np.zeros(len(y), bool), 0
+        for k in np.unique(bins):
+            if c >= half:
+                break
+            near |= bins == k
+            c = near.sum()
+        e = factor(y[near], q.HALF_FACTOR)
+    near = distance(y, e) <= q.REWEIGHT
+    if near.any():
+        e = factor(y[near], q.REWEIGHT_FACTOR)
+    return e[0] + b, e[1]
+
+
+@pytest.fixture(scope="module", params=["documents", "edges"])
+def table(request, documents, edges):
+    return {"documents": documents, "edges": edges}[request.param]
+
+
+def test_distances(table):
+    carried = ["doc_id", "lang", "source"]
+    got = dicts(q.judged(table, carried))
+    stats = dicts(q.word_statistics(table, carried))
+    groups = defaultdict(list)
+    for d in stats:
+        if not d["base_failed"]:
+            groups[(d["row"]["lang"], d["row"]["source"])].append(rates(d))
+    fitted = {g: estimate(np.array(x)) for g, x in groups.items()}
+    expected = []
+    for d in stats:
+        e = fitted.get((d["row"]["lang"], d["row"]["source"]))
+        dist = None if e is None else float(distance(np.array([rates(d)]), e)[0])
+        expected.append((str(d["row"]), d["n_words"], not d["base_failed"] and dist <= q.CUTOFF, dist))
+    rows = [(str(d["row"]), d["n_words"], d["kept"], d["distance"]) for d in got]
+    order = lambda r: (r[0], r[1])
+    for r, e in zip(sorted(rows, key=order), sorted(expected, key=order), strict=True):
+        assert r[:3] == e[:3]
+        assert (r[3] is None) == (e[3] is None)
+        if r[3] is not None:
+            assert r[3] == pytest.approx(e[3], rel=1e-6, abs=1e-6)
+
+
+def test_junk_goes_and_clean_documents_stay(spark):
+    rng = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9)))
+                        + rng.choice(["", "", "", "", ".", ","]) for _ in range(n))
+
+    rows = [(i, prose(rng.randint(25, 400)), "en", f"s{i % 3}") for i in range(240)]
+    junk = [(1000 + i, " ".join(w + "$$$" for w in prose(100).split()), "en", f"s{i % 3}") for i in range(40)]
+    shout = [(2000 + i, prose(100).upper().replace(" ", "!! "), "en", f"s{i % 3}") for i in range(40)]
+    docs = spark.createDataFrame(rows + junk + shout, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in q.filtered(docs).collect()}
+    assert kept == set(range(240))
+
+
+def test_filter_keeps_columns_and_whole_rows(edges):
+    out = q.filtered(edges)
+    assert out.columns == edges.columns and out.schema == edges.schema
+    assert {str(d) for d in dicts(out)} <= {str(d) for d in dicts(edges)}
+    assert q.filtered(edges.limit(0)).collect() == []
+
+
+def test_no_python_in_the_plan(documents):
+    plan = q.judged(documents, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_one_source_with_most_rows(documents):
+    hot = documents.withColumn("source", F.lit("one"))
+    assert q.judged(hot, ["doc_id"]).count() == documents.count()
