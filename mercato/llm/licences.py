@@ -75,23 +75,26 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     units = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     units = units.select("doc_id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("line", "unit"))
     plain = F.regexp_replace(F.regexp_replace(F.lower("unit"), "[^a-z0-9.]+", " "), r"\.( |$)", " ")
-    # A unit of b bytes has fewer than b / 2 bigrams.
+    # A unit of b bytes has fewer than b / 2 bigrams.  What follows is chosen
+    # by WHEN and by the last explode, not by filters: those would be pushed
+    # down and evaluate the expressions below them again.
     units = units.where(F.octet_length("unit") >= 2 * least + 1)
-    units = units.select("doc_id", "line", F.split(F.btrim(plain), " +").alias("words")).where(
-        F.size("words") > least)
+    units = units.select("doc_id", "line", F.split(F.btrim(plain), " +").alias("words"))
     pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1),
                         lambda i: F.concat(F.get("words", i - 1), F.lit(" "), F.get("words", i)))
-    units = units.select("doc_id", "line", F.array_distinct(pairs).alias("pairs")).where(
-        F.size("pairs").between(least, most))
+    units = units.select("doc_id", "line", F.when(F.size("words") > least, F.array_distinct(pairs)).alias("pairs"))
     table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(len(b)).alias("n"),
                                F.array(*map(F.lit, b)).alias("pairs")) for n, b in known))
     n = F.size("pairs")
     near = F.filter(table, lambda t: (t["n"] * wide >= n - 1e-9) & (t["n"] <= n * wide + 1e-9))
     scored = F.transform(near, lambda t: F.struct(
         (2.0 * F.size(F.array_intersect("pairs", t["pairs"])) / (t["n"] + n)).alias("dice"), t["name"].alias("name")))
-    units = units.withColumn("best", F.array_max(scored)).where(F.col("best.dice") >= threshold)
-    return units.select("doc_id", F.col("line").cast("int").alias("line"), F.col("best.name").alias("licence"),
-                        F.col("best.dice").alias("dice"), n.alias("n_bigrams"))
+    units = units.select("doc_id", "line", n.alias("n"),
+                         F.when(n.between(least, most), F.array_max(scored)).alias("best"))
+    found = units.select("doc_id", "line", "n", F.explode(
+        F.when(F.col("best.dice") >= threshold, F.array("best"))).alias("best"))
+    return found.select("doc_id", F.col("line").cast("int").alias("line"), F.col("best.name").alias("licence"),
+                        F.col("best.dice").alias("dice"), F.col("n").alias("n_bigrams"))
 
 
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
