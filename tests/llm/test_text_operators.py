@@ -1,6 +1,9 @@
 """Operators 1, 3, 5, 7 and 10 against brute force."""
 
+from collections import Counter, defaultdict
+
 import pytest
+from pyspark.sql import functions as F
 
 from mercato.llm import ctw, decontaminate, neardup, quality_rules, substring
 from tests.llm import brute
@@ -49,8 +52,23 @@ def test_near_duplicates(table):
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == sorted(
         expected, key=str)
     for row in got.collect():
-        assert row["kept"] == (row["doc_id"] is None and row["component_id"] is None
-                               or row["doc_id"] == row["component_id"])
+        assert row["kept"] == (row["doc_id"] == row["component_id"])
+
+
+def test_one_document_of_each_component_stays(spark, table):
+    more = table.unionByName(table.where("doc_id is null or doc_id % 7 = 0").withColumn("doc_id", F.lit(None).cast("long")))
+    got = neardup.deduplicated(more)
+    assert got.schema == more.schema
+    docs, kept = dicts(more), dicts(got)
+    lowest = defaultdict(list)
+    for d, (_, n, c), in zip(docs, brute.near_components(docs)):
+        if n:
+            lowest[c if c is not None else d["text"]].append(d)
+    left = Counter(str(d) for d in kept if brute.shingles(d["text"]))
+    assert sum(left.values()) == len(lowest)
+    for members in lowest.values():
+        ids = [d["doc_id"] for d in members if d["doc_id"] is not None]
+        assert sum(left[s] for s in {str(d) for d in members if not ids or d["doc_id"] == min(ids)}) == 1
 
 
 def test_near_duplicates_with_branching_and_blocks(documents, monkeypatch):
@@ -82,6 +100,17 @@ def test_ctw_equals_its_definition(table):
         assert r[5:] == pytest.approx(e[5:], rel=1e-5, abs=1e-5)
 
 
+def test_ctw_by_requests_alone_and_by_small_parts(documents, monkeypatch):
+    """The broadcast part, the slices and the blocks change no score."""
+    small = documents.where("length(text) < 4000")
+    whole = {r["doc_id"]: tuple(r) for r in ctw.scores(small, 4).collect()}
+    for name, value in (("TOP_GRAMS", 40), ("TOP_WORDS", 0), ("BLOCK_BYTES", 30_000), ("COUNTED_BYTES", 20_000),
+                        ("SLICE_CODES", 5_000), ("TREE_GRAMS", 100)):
+        monkeypatch.setattr(ctw, name, value)
+    for r in ctw.scores(small, 4).collect():
+        assert tuple(r) == pytest.approx(whole[r["doc_id"]], rel=1e-6)
+
+
 def test_ctw_beats_the_word_model_on_held_out_texts(spark):
     held = ctw.scores(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
