@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import chunks, read_table, scratch_path, text_of
-from mercato.llm.tokens import Encoder
+from mercato.llm.tokens import worker_encoder
 
 BATCH_BYTES = 4 << 20
 ORC_OPTIONS = {
@@ -43,7 +43,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str | None = None) ->
     """Writes the ids of every document to ``path`` in ascending doc_id order."""
 
     def encode_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, start = Encoder(tokenizer), 0
+        encode, start = worker_encoder(tokenizer), 0
         for batch in chunks(batches, "text", BATCH_BYTES):
             ids = encode(batch["text"].to_pylist())
             sizes = np.array([len(x) // 4 for x in ids], np.int64)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import chunks, read_table, text_of, written
-from mercato.llm.tokens import Encoder
+from mercato.llm.tokens import worker_encoder
 
 MAX_LEN = 4096
 BATCH_BYTES = 4 << 20
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, max_len: int = MAX_LEN, tokenizer: str | None = None
     fields = [f for f in PIECES.split(", ") if keep_ids or not f.startswith("ids ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, step = Encoder(tokenizer), 4 * max_len
+        encode, step = worker_encoder(tokenizer), 4 * max_len
         for batch in chunks(batches, "text", BATCH_BYTES):
             rows: list[list] = [[] for _ in fields]
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist())):

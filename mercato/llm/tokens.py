@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 
 import numpy as np
 
@@ -29,6 +30,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def worker_encoder(path: str | None = None) -> Encoder:
+    """The encoder of this Python worker: later tasks find it, with its memo."""
+    held = sys.__dict__.setdefault("_mercato_encoders", {})
+    path = path or tokenizer_path()
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
