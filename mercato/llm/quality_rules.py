@@ -159,10 +159,13 @@ def mcd(rows: DataFrame) -> DataFrame:
         "grp", *((F.col(f"x{i}") - F.col(f"b{i}")).alias(f"y{i}") for i in range(P))), "offsets")
     rounded = {f"a{i}": F.round(F.abs(F.col(f"y{i}")) * GRID) / GRID for i in range(P)}
     spread = rows.groupBy("grp").agg(*middle(rounded))
-    estimate = spread.select("grp", *(F.lit(0.0).alias(f"m{i}") for i in range(P)),
-                             *((F.greatest(1.4826 * F.col(f"a{i}"), F.lit(SPREAD[i])) if i == j else F.lit(0.0))
-                               .alias(f"l{i}{j}") for i, j in PAIRS))
-    for _ in range(STEPS):  # each estimate, a row per group, is written: plans stay as small as one step
+    # Each estimate, a row per group, is written: plans stay as small as one
+    # step, and both sides of its join are plain shuffles, so a hot group splits.
+    estimate = written(spread.select(
+        "grp", *(F.lit(0.0).alias(f"m{i}") for i in range(P)),
+        *((F.greatest(1.4826 * F.col(f"a{i}"), F.lit(SPREAD[i])) if i == j else F.lit(0.0))
+          .alias(f"l{i}{j}") for i, j in PAIRS)), "estimate")
+    for _ in range(STEPS):
         estimate = written(_concentrated(_distance(rows, estimate)), "estimate")
     near = _distance(rows, estimate).where(F.col("d") <= REWEIGHT)
     # A group none of whose rows is that near keeps its last estimate.
