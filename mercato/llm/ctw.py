@@ -5,17 +5,18 @@ decisions; every decision keeps Krichevsky-Trofimov counts in the contexts of
 0 to ``DEPTH`` preceding bytes, and the weighting mixes the estimates of all
 depths:  P_w = 1/2 P_KT + 1/2 product of the children's P_w.
 
-1. *Gather*: tasks count, per block of documents, the distinct strings of
-   ``DEPTH`` + 1 bytes (grams) and words; training documents add counts, the
-   others only name what they will ask for.
-2. *Learn*: grams are summed over the corpus and dealt by their nearest
-   ``CUT`` context bytes, so that whole subtrees are in one task; those are
-   weighted bottom-up there.  The tree above has at most 256 * 255 nodes at
-   depth 1, whatever the corpus; these are summed by Spark and finished on
-   the driver.  Every gram gets its code length once.
-3. *Score*: the blocks' requests are joined with the code lengths and word
-   counts, and each block of about ``BLOCK_BYTES`` of text scores its
-   documents from its own part of the model.
+1. *Count*: tasks count the strings of ``DEPTH`` + 1 bytes (grams) and the
+   words of their training documents, combined before the shuffle; grams of
+   the other documents enter with count 0.
+2. *Learn*: grams are dealt by their nearest ``CUT`` context bytes, so that
+   whole subtrees are in one task; those are weighted bottom-up there.  The
+   tree above has at most 256 * 255 nodes at depth 1, whatever the corpus;
+   these are summed by Spark and finished on the driver.  Every gram gets its
+   code length once.
+3. *Score*: the most frequent grams and words, at most ``TOP_GRAMS`` and
+   ``TOP_WORDS`` of them, are broadcast.  Blocks of documents of about
+   ``BLOCK_BYTES`` of text ask for the others; the requests are joined with
+   the model and each block scores its documents from the two.
 
 Defined cases: null text is empty and codes its end symbol alone; a null
 doc_id counts as the empty text (held out); repeated rows learn and score
@@ -24,6 +25,8 @@ once each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,6 +42,8 @@ DEPTH = 5
 CUT = 2
 FOLDS = 10  # documents whose crc32(doc_id) is 0 modulo this are held out
 BLOCK_BYTES = 16 << 20
+COUNTED_BYTES = 48 << 20  # text whose counts a task combines before it sends them
+TOP_GRAMS, TOP_WORDS = 1_500_000, 750_000
 SLICE_CODES = 1 << 20
 TREE_GRAMS = 150_000  # grams weighted at a time
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
@@ -89,32 +94,68 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _features(depth: int):
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _by_block(batches):
-            trains, words, codes = block["train"].to_pylist(), Counter(), ([], [])
-            others: set[bytes] = set()
-            texts = [t.encode() for t in block["text"].to_pylist()]
-            for text, train in zip(texts, trains):
-                if train:
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of several counts and the sums of their counts."""
+    codes, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
+    return codes[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _kinds(codes: np.ndarray, keys: np.ndarray) -> pa.Array:
+    return pa.array(np.repeat(np.array([GRAM, WORD], np.int8), [len(codes), len(keys)]))
+
+
+def _counts(depth: int):
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, parts, size = Counter(), [], 0
+
+        def full() -> pa.RecordBatch:
+            codes, n = merged(parts)
+            keys = np.array([word_key(w) for w in words], np.uint64)
+            return pa.RecordBatch.from_arrays(
+                [_kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64)),
+                 pa.array(np.r_[n, np.array([*words.values()], np.int64)])], names=["kind", "key", "n"])
+
+        for batch in chunks(batches, "text", SLICE_CODES):
+            texts, train = [t.encode() for t in batch["text"].to_pylist()], batch["train"].to_pylist()
+            for text, learns in zip(texts, train):
+                if learns:
                     words.update(words_of(text))
-                else:
-                    others.update(words_of(text))
-            train, held = (grams([t for t, x in zip(texts, trains) if x is side], depth) for side in (True, False))
-            del texts
-            codes, counts = counted(train)
-            more = np.setdiff1d(counted(held)[0], codes, assume_unique=True)
-            del train, held
-            others.difference_update(words)
-            keys = np.array([word_key(w) for w in [*words, *others]], np.uint64)
-            kinds = np.r_[np.full(len(codes) + len(more), GRAM, np.int8), np.full(len(keys), WORD, np.int8)]
-            n = np.r_[counts, np.zeros(len(more), np.int64), np.array([*words.values()], np.int64),
-                      np.zeros(len(others), np.int64)]
-            at = np.full(len(n), block["block"][0].as_py(), np.int32)
+            parts.append(counted(grams([t for t, x in zip(texts, train) if x], depth)))
+            asked = counted(grams([t for t, x in zip(texts, train) if not x], depth))[0]
+            parts.append((asked, np.zeros(len(asked), np.int64)))
+            if len(parts) > 16:
+                parts = [merged(parts)]
+            size += sum(map(len, texts))
+            if size > COUNTED_BYTES:
+                yield full()
+                words, parts, size = Counter(), [], 0
+        if parts:
+            yield full()
+    return counts
+
+
+def _requests(depth: int, top):
+    def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams_held, words_held = held_model(top)
+        for block in _by_block(batches):
+            words, parts = set(), []
+            for batch in chunks(iter(block.to_batches()), "text", SLICE_CODES):
+                texts = [t.encode() for t in batch["text"].to_pylist()]
+                codes = counted(grams(texts, depth))[0]
+                codes = codes[~grams_held.holds(codes)]
+                parts.append((codes, codes))
+                words.update(*map(words_of, texts))
+            codes = merged(parts)[0]
+            keys = np.array([word_key(w) for w in words], np.uint64)
+            keys = keys[~words_held.holds(keys)]
+            at = np.full(len(codes) + len(keys), block["block"][0].as_py(), np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(kinds), pa.array(np.r_[codes, more, keys].view(np.int64)), pa.array(n)],
-                names=["block", "kind", "key", "n"])
-    return features
+                [pa.array(at), _kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64))],
+                names=["block", "kind", "key"])
+    return requests
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -192,8 +233,9 @@ def _subtrees(depth: int):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[codes, keys].view(np.int64)),
                  pa.array([packed[32 * i:32 * i + 32] for i in range(g)] + [None] * k, pa.binary()),
+                 pa.array(np.r_[table["n"].to_numpy(), np.zeros(k, np.int64)]),
                  *(pa.array(np.r_[nothing, x]) for x in (zeros, ones, log_w))],
-                names=["key", "p", "a", "b", "log_w"])
+                names=["key", "p", "n", "a", "b", "log_w"])
 
         held, size, last = [], 0, None
         for batch in batches:
@@ -238,27 +280,31 @@ def _code_lengths(top):
             for d, (keys, one, stop) in zip((1, 0), top):
                 where = np.searchsorted(keys, node_keys(codes, node, d))
                 p = stop[where] * np.where(bit, one[where], 1 - one[where]) + (1 - stop[where]) * p
-            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(np.log2(p).sum(1))], names=["key", "value"])
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["n"], pa.array(np.log2(p).sum(1))],
+                                             names=["key", "n", "value"])
     return lengths
 
 
 def code_lengths(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(key, value): log2 probability of each gram's symbol in its context,
+    """(key, n, value): log2 probability of each gram's symbol in its context,
     from the corpus counts (key, n)."""
     tree = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * CUT) - 1))
     dealt = counts.withColumn("tree", tree).repartition("tree").sortWithinPartitions("tree")
-    model = written(dealt.mapInArrow(_subtrees(depth), "key long, p binary, a double, b double, log_w double"), "ctw")
+    model = written(dealt.mapInArrow(_subtrees(depth), "key long, p binary, n long, a double, b double, log_w double"), "ctw")
     # A node's key holds its context above the decision number; depth 1 keeps the nearest byte.
     parent = F.col("key").bitwiseAND(F.lit(0xFFFF))
     depth1 = model.where("p is null").groupBy(parent.alias("key")).agg(F.sum("a"), F.sum("b"), F.sum("log_w"))
     top = top_of_tree([tuple(r) for r in depth1.collect()])  # at most 256 * 255 rows
-    return model.where("p is not null").select("key", "p").mapInArrow(_code_lengths(top), "key long, value double")
+    return model.where("p is not null").select("key", "p", "n").mapInArrow(
+        _code_lengths(top), "key long, n long, value double")
 
 
 class Lookup:
     """Values by 64-bit key: tables of hashed slots, each with the keys that
     found their slot taken in those before."""
 
+    ABSENT = -1e300
+
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.levels, salt = [], 0x9E3779B97F4A7C15
         while len(keys):
@@ -276,8 +322,11 @@ class Lookup:
     def slots(keys: np.ndarray, salt: int, bits: int) -> np.ndarray:
         return ((keys * np.uint64(salt)) >> np.uint64(64 - bits)).astype(np.int64)
 
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        out, rest = np.zeros(len(keys)), None
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        return self(keys, self.ABSENT) != self.ABSENT
+
+    def __call__(self, keys: np.ndarray, absent: float = 0.0) -> np.ndarray:
+        out, rest = np.full(len(keys), absent), None
         for salt, bits, held, value in self.levels:
             asked = keys if rest is None else keys[rest]
             slot = self.slots(asked, salt, bits)
@@ -293,16 +342,47 @@ class Lookup:
         return out
 
 
+def held_model(top) -> tuple[Lookup, Lookup]:
+    """The broadcast part of the model, built once in a Python worker."""
+    held = sys.__dict__.setdefault("_mercato_ctw", {})
+    if top.value["id"] not in held:
+        held.clear()
+        held[top.value["id"]] = tuple(Lookup(*top.value[k]) for k in ("grams", "words"))
+    return held[top.value["id"]]
+
+
+def frequent(values: DataFrame):
+    """Threshold bins on a log scale of counts: at most ``TOP_GRAMS`` grams and
+    ``TOP_WORDS`` words lie above theirs.  Returns the condition and the rows
+    that meet it, as sorted-out arrays per kind."""
+    scale = F.floor(F.log2(F.col("n") + 1) * 16).cast("int")
+    sizes = values.groupBy("kind", scale.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()  # <= 2 * 16 * 64
+    above = F.lit(False)
+    for kind, most in ((GRAM, TOP_GRAMS), (WORD, TOP_WORDS)):
+        least, held = 10_000, 0
+        for b, n in sorted(((r["bin"], r["n"]) for r in sizes if r["kind"] == kind), reverse=True):
+            if held + n > most:
+                break
+            least, held = b, held + n
+        above = above | ((F.col("kind") == kind) & (scale >= least))
+    rows = values.where(above).select("kind", "key", "value").toArrow()
+    kind, key = rows["kind"].to_numpy(), rows["key"].to_numpy().view(np.uint64)
+    value = rows["value"].to_numpy()
+    return above, {"id": uuid.uuid4().hex, **{
+        name: (key[kind == k], value[kind == k]) for name, k in (("grams", GRAM), ("words", WORD))}}
+
+
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double, n_bytes long, bits_per_byte double")
 
 
-def _score(n_train: int, n_distinct: int, n_docs: int, depth: int):
+def _score(n_train: int, n_distinct: int, n_docs: int, depth: int, top):
     def score(docs: pa.Table, model: pa.Table) -> pa.Table:
         kind, key = model["kind"].to_numpy(), model["key"].to_numpy().view(np.uint64)
         value = model["value"].to_numpy()
-        bits = Lookup(key[kind == GRAM], value[kind == GRAM])
-        count = Lookup(key[kind == WORD], value[kind == WORD])
+        own = [Lookup(key[kind == k], value[kind == k]) for k in (GRAM, WORD)]
+        # A key is held by the broadcast part or by the block's, never by both.
+        bits, count = (lambda x, a=a, b=b: a(x) + b(x) for a, b in zip(held_model(top), own))
         total = n_train + 0.1 * (n_distinct + 1)
         end = (np.log10((n_docs + 0.1) / total), n_docs > 0)
         columns: list[list] = [[] for _ in SCORES.split(", ")]
@@ -318,7 +398,7 @@ def _score(n_train: int, n_distinct: int, n_docs: int, depth: int):
             for i, ws in enumerate(words):
                 known = [memo[w] for w in ws]
                 values = (batch["doc_id"][i].as_py(), not batch["train"][i].as_py(), len(ws) + 1,
-                          sum(k for _, k in known) + end[1], n_train, sum(x for x, _ in known) + end[0],
+                          sum([k for _, k in known]) + end[1], n_train, sum([x for x, _ in known]) + end[0],
                           length[i] * np.log10(2), int(sizes[i]) - 1, -length[i] / sizes[i])
                 for column, v in zip(columns, values):
                     column.append(v)
@@ -330,24 +410,29 @@ def _score(n_train: int, n_distinct: int, n_docs: int, depth: int):
 
 def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """Every document under the model of the training documents."""
-    blocks = block_count(docs, BLOCK_BYTES)
+    spark = docs.sparkSession
     doc_id = docs["doc_id"].cast("long")
     train = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS != 0
     rows = docs.select(doc_id.alias("doc_id"), text_of(docs).alias("text"), train.alias("train"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    asked = written(rows.select("block", "train", "text").repartition("block").sortWithinPartitions("block")
-                    .mapInArrow(_features(depth), "block int, kind byte, key long, n long"), "features")
-    counts = written(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    counts = written(rows.select("train", "text").mapInArrow(_counts(depth), "kind byte, key long, n long")
+                     .groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     word = F.col("kind") == WORD
-    n_words, distinct = counts.where(word).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    n_words, distinct = counts.where(word).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n_docs = rows.where("train").count()
     n_train, n_distinct = n_words + n_docs, distinct + (n_docs > 0)
-    grams_only = counts.where(~word).select("key", "n")
-    values = code_lengths(grams_only, depth).select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value").unionByName(
-        counts.where(word).select("kind", "key", F.col("n").cast("double").alias("value")))
-    model = asked.select("block", "kind", "key").join(values, ["kind", "key"])
-    return rows.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
-        _score(n_train, n_distinct, n_docs, depth), SCORES)
+    values = written(code_lengths(counts.where(~word).select("key", "n"), depth).select(
+        F.lit(GRAM).cast("byte").alias("kind"), "key", "n", "value"), "lengths").unionByName(
+        counts.where(word).withColumn("value", F.col("n").cast("double")))
+    above, held = frequent(values)
+    top = spark.sparkContext.broadcast(held)
+    blocks = block_count(docs, BLOCK_BYTES)
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+    # The requests and the scoring read the same shuffle of the documents.
+    dealt = rows.withColumn("block", block).repartition("block")
+    asked = dealt.sortWithinPartitions("block").mapInArrow(_requests(depth, top), "block int, kind byte, key long")
+    model = asked.join(values.where(~above).select("kind", "key", "value"), ["kind", "key"])
+    return dealt.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
+        _score(n_train, n_distinct, n_docs, depth, top), SCORES)
 
 
 def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
