@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int) -> Iter
     of rows in an Arrow batch."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > max_bytes:

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         halves = np.stack([repeated["hi"].to_numpy(), repeated["lo"].to_numpy()], 1).astype("<i8").tobytes()
         first = {halves[16 * i:16 * i + 16]: where for i, where in enumerate(
             zip(repeated["first_key"].to_pylist(), repeated["first_at"].to_pylist()))}
-        docs = docs.take(pa.compute.sort_indices(docs["key"]))
+        docs = docs.take(pc.sort_indices(docs["key"]))
         seen, out, texts = set(), [[], [], [], []], [t.encode() for t in docs["text"].to_pylist()]
         for text, key, ends in zip(texts, docs["key"].to_pylist(), chunk_ends(texts)):
             runs, n_repeated, begin = [], 0, None
