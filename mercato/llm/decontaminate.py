@@ -197,29 +197,43 @@ def phrase_groups(benchmark: DataFrame, window: int = WINDOW) -> Iterator[Phrase
         yield Phrases([(r["item"], r["text"]) for r in part.collect()], window)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (row: the document, n_words, hit: the hit words' numbers as
-    ranges [begin, end, begin, end, ...], item_ids found)."""
+def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, Phrases]:
+    """``split_rows`` searched for all groups of phrases but the last, and
+    that one: the caller's pass over the documents searches it too."""
     out = split_rows(docs).withColumns({"n_words": F.lit(None).cast("long"), "hit": F.lit(None).cast("array<bigint>"),
                                         "item_ids": F.lit(None).cast("array<string>")})
-    kind = out.schema
-    for phrases in [*phrase_groups(benchmark, window)] or [Phrases([])]:
-        out = out.mapInArrow(_search(phrases), kind)
-    return out
+    kind, last = out.schema, Phrases([])
+    for i, phrases in enumerate(phrase_groups(benchmark, window)):
+        if i:
+            out = out.mapInArrow(_search(last), kind)
+        last = phrases
+    return out, last
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows (row, text and had of ``split_rows``, n_words, hit: the hit words'
+    numbers as ranges [begin, end, begin, end, ...], item_ids found)."""
+    rows, last = _searched(docs, benchmark, window)
+    return rows.mapInArrow(_search(last), rows.schema)
+
+
+def _merged_hits(batch: pa.RecordBatch, phrases: Phrases) -> tuple[list[bytes], list[np.ndarray], list[list[str]]]:
+    """The texts of a shard with their hit words and items, those of earlier
+    groups of phrases included."""
+    texts = [t.encode() for t in batch["text"].to_pylist()]
+    covered, found = hits(texts, phrases)
+    for hit, items, old, had in zip(covered, found, batch["hit"].to_pylist(), batch["item_ids"].to_pylist()):
+        for i in range(0, len(old or ()), 2):
+            hit[old[i]:old[i + 1]] = True
+        items[:] = sorted({*items, *(had or ())})
+    return texts, covered, found
 
 
 def _search(phrases: Phrases):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", SHARD_BYTES):
-            texts = [t.encode() for t in batch["text"].to_pylist()]
-            covered, found = hits(texts, phrases)
-            ranges, items = [], []
-            for hit, new, old, had in zip(covered, found, batch["hit"].to_pylist(),
-                                          batch["item_ids"].to_pylist()):
-                for i in range(0, len(old or ()), 2):
-                    hit[old[i]:old[i + 1]] = True
-                ranges.append(np.flatnonzero(np.diff(np.concatenate([[0], hit, [0]]).astype(np.int8))))
-                items.append(sorted({*new, *(had or ())}))
+            _, covered, items = _merged_hits(batch, phrases)
+            ranges = [np.flatnonzero(np.diff(np.concatenate([[0], c, [0]]).astype(np.int8))) for c in covered]
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["text"], batch["had"], pa.array([len(c) for c in covered], pa.int64()),
                  pa.array(ranges, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
@@ -227,6 +241,23 @@ def _search(phrases: Phrases):
     return search
 
 
+def _cut(phrases: Phrases):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text", SHARD_BYTES):
+            texts, covered, _ = _merged_hits(batch, phrases)
+            for i, hit in enumerate(covered):
+                if hit.any():
+                    at, parts = 0, []
+                    for begin, end in spans(texts[i], hit):
+                        parts.append(texts[i][at:begin])
+                        at = end
+                    texts[i] = b"".join([*parts, texts[i][at:]])
+            yield pa.RecordBatch.from_arrays(
+                [batch["row"], pa.array([t.decode() for t in texts], pa.string()), batch["had"]],
+                names=["row", "text", "had"])
+    return cut
+
+
 def report(found: DataFrame) -> DataFrame:
     """One row per document: hit words and the digest of the items found."""
     n_hit = F.aggregate(F.transform("hit", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)),
@@ -241,26 +272,8 @@ def report(found: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with every hit span cut out of their texts; the other
     columns are kept, ``n_chars`` is counted anew where it is present."""
-    found = contamination(docs, benchmark, window)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch["text"].to_pylist()
-            for i, ranges in enumerate(batch["hit"].to_pylist()):
-                if ranges:
-                    text, n = texts[i].encode(), batch["n_words"][i].as_py()
-                    hit = np.zeros(n, bool)
-                    for k in range(0, len(ranges), 2):
-                        hit[ranges[k]:ranges[k + 1]] = True
-                    at, parts = 0, []
-                    for begin, end in spans(text, hit):
-                        parts.append(text[at:begin])
-                        at = end
-                    texts[i] = b"".join([*parts, text[at:]]).decode()
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string()), batch["had"]],
-                                             names=["row", "text", "had"])
-
-    return joined_rows(found.mapInArrow(cut, found.select("row", "text", "had").schema), docs.columns)
+    rows, last = _searched(docs, benchmark, window)
+    return joined_rows(rows.mapInArrow(_cut(last), rows.select("row", "text", "had").schema), docs.columns)
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
