@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import chunks, read_table
 
-SAMPLE_PAGES = 300
+SAMPLE_PAGES, N_LAYOUTS = 300, 400
 TREES, TREE_DEPTH, SEED = 20, 4, 11
 BATCH_BYTES = 4 << 20
 
@@ -335,7 +335,7 @@ def training_rows(sources: list[str], seed: int = SEED) -> tuple[np.ndarray, np.
     """Features and labels of the sampled pages and of layouts of their text."""
     rng, pages = random.Random(seed), [Page(s) for s in sources]
     texts = [r[0] for p in pages for r in p.run if r and len(r[0]) > 20] or ["some text, as pages have it. " * 5]
-    layouts = [Page(layout(rng, texts)) for _ in range(2 * SAMPLE_PAGES)]
+    layouts = [Page(layout(rng, texts)) for _ in range(N_LAYOUTS)]
     for page in layouts:
         page.label[0] = 1
         for i, run in enumerate(page.run):
@@ -354,8 +354,8 @@ def fit(pages: DataFrame) -> Trees:
                           F.xxhash64("url", "html").alias("h")).orderBy("h", "html").limit(SAMPLE_PAGES)
     rows, labels = training_rows([r["html"] for r in lowest.collect()])
     spark = pages.sparkSession
-    data = spark.createDataFrame([(Vectors.dense(x), float(y)) for x, y in zip(rows.tolist(), labels)],
-                                 ["features", "label"]).coalesce(4)
+    held = ((Vectors.sparse(len(x), np.flatnonzero(x), x[x != 0].astype(float)), float(y)) for x, y in zip(rows, labels))
+    data = spark.createDataFrame(list(held), ["features", "label"]).coalesce(4)
     model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.3, seed=SEED).fit(data)
     return Trees([t.toDebugString for t in model.trees], model.treeWeights)
 
