@@ -6,10 +6,10 @@ its first occurrence (smallest doc_id, then place) stays.  A run of
 neighbouring repeated chunks is cut out when it has ``min_run`` bytes at
 least, so that short common phrases stay.
 
-1. Tasks chunk whole texts and send one row per digest and slice of
-   documents (a digest within a slice is combined before the shuffle).
-2. Rows meet by digest in a window over their order of occurrence; all but
-   the first go back to the block of documents they came from.
+1. Tasks chunk whole texts and send one row per digest, slice of documents
+   and block with the digest (combined within a slice before the shuffle).
+2. Rows meet by digest in a window over their order of occurrence; every
+   block but that of the first occurrence is told of it.
 3. Each block, of about ``BLOCK_BYTES`` of text, meets its repeated digests
    and cuts them out.
 
@@ -34,7 +34,8 @@ from mercato.llm.common import block_count, chunks, joined_rows, read_table, spl
 
 MIN_CHUNK, MAX_CHUNK, MASK_BITS = 24, 256, 5  # about 56 bytes on average
 MIN_RUN = 100
-BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 8 << 20  # of a scan partition, combined before the shuffle
+BLOCK_BYTES = 8 << 20  # of text that a cutting group holds
 GAP = 32  # bytes a 32-bit gear hash depends on
 
 
@@ -84,28 +85,30 @@ def digests(text: bytes, ends: list[int]) -> list[bytes]:
 
 
 def _first_in_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches, "text", BLOCK_BYTES):
+    for batch in chunks(batches, "text", SLICE_BYTES):
         texts, keys, first = [t.encode() for t in batch["text"].to_pylist()], batch["key"].to_pylist(), {}
-        for text, key, ends in zip(texts, keys, chunk_ends(texts)):
+        for text, key, block, ends in zip(texts, keys, batch["block"].to_pylist(), chunk_ends(texts)):
             for digest, at in zip(digests(text, ends), [0, *ends]):
-                old = first.get(digest)
+                old = first.get((digest, block))
                 if old is None or (key, at) < old:
-                    first[digest] = (key, at)
-        halves = np.frombuffer(b"".join(first), "<i8").reshape(-1, 2)
+                    first[digest, block] = (key, at)
+        halves = np.frombuffer(b"".join(d for d, _ in first), "<i8").reshape(-1, 2)
+        blocks = np.array([b for _, b in first], np.int32)
         where = np.array(list(first.values()), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(c)) for c in (halves[:, 0], halves[:, 1], where[:, 0], where[:, 1])],
-            names=["hi", "lo", "key", "at"])
+            [pa.array(np.ascontiguousarray(c)) for c in (halves[:, 0], halves[:, 1], blocks, where[:, 0], where[:, 1])],
+            names=["hi", "lo", "block", "key", "at"])
 
 
 def repeated_chunks(rows: DataFrame, blocks: int) -> DataFrame:
-    """Per block the digests whose first occurrence (key, at) lies before the
-    block's own."""
-    seen = rows.select("key", "text").mapInArrow(_first_in_slice, "hi long, lo long, key long, at long")
+    """Per block the digests whose first occurrence (key, at) lies in another
+    block.  ``rows`` has the block of each document."""
+    seen = rows.select("key", "block", "text").mapInArrow(
+        _first_in_slice, "hi long, lo long, block int, key long, at long")
     order = Window.partitionBy("hi", "lo").orderBy("key", "at")
-    return (seen.withColumns({"n": F.row_number().over(order), "first_key": F.first("key").over(order),
-                              "first_at": F.first("at").over(order)}).where("n > 1")
-            .select(block_of(F.col("key"), blocks).alias("block"), "hi", "lo", "first_key", "first_at"))
+    return (seen.withColumns({"first_key": F.first("key").over(order), "first_at": F.first("at").over(order)})
+            .where(F.col("block") != block_of(F.col("first_key"), blocks))
+            .select("block", "hi", "lo", "first_key", "first_at"))
 
 
 def block_of(key, blocks: int):
@@ -118,9 +121,9 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     blocks = block_count(docs, BLOCK_BYTES)
     rows = split_rows(docs)
     key = F.coalesce(F.col("row.doc_id").cast("long"), F.xxhash64("text"))
-    rows = rows.withColumn("key", key)
+    rows = rows.withColumn("key", key).withColumn("block", block_of(F.col("key"), blocks))
     spans = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
-    kind = T.StructType([*rows.drop("key").schema, T.StructField("n_chunks", T.LongType()),
+    kind = T.StructType([*rows.drop("key", "block").schema, T.StructField("n_chunks", T.LongType()),
                          T.StructField("n_repeated", T.LongType()), T.StructField("spans", spans)])
 
     def cut(docs: pa.Table, repeated: pa.Table) -> pa.Table:
@@ -158,9 +161,8 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
              pa.array(out[2], pa.int64()), pa.array(out[3], spans_kind)],
             names=["row", "text", "had", "n_chunks", "n_repeated", "spans"])
 
-    left = rows.withColumn("block", block_of(F.col("key"), blocks)).groupBy("block")
     right = repeated_chunks(rows, blocks).groupBy("block")
-    return left.cogroup(right).applyInArrow(cut, kind)
+    return rows.groupBy("block").cogroup(right).applyInArrow(cut, kind)
 
 
 def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:

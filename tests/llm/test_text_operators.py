@@ -147,6 +147,14 @@ def test_substrings(documents):
     assert all(r["n_chars"] == len(r["text"]) for r in got.collect())
 
 
+def test_substrings_with_many_blocks_in_a_slice(documents, monkeypatch):
+    docs = dicts(documents)
+    expected = sorted((d["doc_id"], t) for d, t in zip(docs, brute_substrings(docs)))
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 20_000)
+    got = substring.dedup_substrings(documents.coalesce(1))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == expected
+
+
 def test_substrings_edges(edges):
     got = substring.dedup_substrings(edges)
     assert got.dtypes == edges.dtypes
