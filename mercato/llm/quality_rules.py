@@ -14,8 +14,9 @@ holds a third of all rows costs what its rows cost.  Rates are rounded to
 ``GRID``, which bounds the state of the exact medians.
 
 Scatter is shrunk towards ``SPREAD`` squared on the diagonal with the weight
-of ``PRIOR`` documents: rates that are zero in most clean documents have no
-variance to divide by, and small groups have too few rows.
+of ``PRIOR`` documents, as small groups have too few rows, but never with less
+than ``LEAST_SHARE``: rates that are zero in most clean documents have no
+variance to divide by, however many rows there are.
 
 Defined cases: null text has no words and fails the base rules; null lang or
 source form a group of their own; repeated rows count once each; an empty
@@ -39,6 +40,7 @@ SHRINK = 20  # words added to every document's rates
 RATES = ("word_length", "symbols", "capitals", "marks", "repeats")
 SPREAD = (0.06, 0.04, 0.04, 0.08, 0.15)
 PRIOR = 30
+LEAST_SHARE = 0.1  # of the prior, from 270 rows on
 GRID = 1000
 BINS = 16
 STEPS = 4
@@ -110,9 +112,10 @@ def _factor(moments: DataFrame, factor: float) -> DataFrame:
     from count c, sums s0.. and products q00.. of offsets from the medians."""
     c = F.col("c")
     out = moments.withColumns({f"m{i}": F.col(f"s{i}") / c for i in range(P)})
-    out = out.withColumns({f"v{i}{j}": (factor * (F.col(f"q{i}{j}") - c * F.col(f"m{i}") * F.col(f"m{j}"))
-                                        + (PRIOR * SPREAD[i] ** 2 if i == j else 0.0)) / (c + PRIOR)
-                           for i, j in PAIRS})
+    out = out.withColumn("share", F.greatest(PRIOR / (c + PRIOR), F.lit(LEAST_SHARE)))
+    share = F.col("share")
+    out = out.withColumns({f"v{i}{j}": (1 - share) * factor * (F.col(f"q{i}{j}") / c - F.col(f"m{i}") * F.col(f"m{j}"))
+                           + share * (SPREAD[i] ** 2 if i == j else 0.0) for i, j in PAIRS})
     for i in range(P):
         for j in range(i + 1):
             inner = reduce(add, (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))

@@ -95,6 +95,24 @@ def test_junk_goes_and_clean_documents_stay(spark):
     assert kept == set(range(240))
 
 
+def test_replicated_groups_keep_their_verdicts(spark):
+    rng = random.Random(5)
+    x = [(i, rng.gauss(1.7, 0.03), 0.035 * (i % 11 == 0), rng.gauss(0.12, 0.02), rng.gauss(0.3, 0.03),
+          0.2 * (i % 13 == 0)) for i in range(600)]
+    x += [(600 + i, 2.3, 0.6, 0.1, 0.3, 0.0) for i in range(20)]
+    docs = spark.createDataFrame([(i, *(round(v, 3) for v in r)) for i, *r in x],
+                                 "i int, " + ", ".join(f"x{k} double" for k in range(P)))
+    times = docs.withColumn("n", F.explode(F.array(F.lit(1), F.lit(30), F.lit(1000)))).withColumn(
+        "grp", F.col("n").cast("string"))
+    estimate = q.mcd(times.withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).select(
+        "grp", *(f"x{k}" for k in range(P))))
+    scored = q._distance(times.withColumnsRenamed({f"x{k}": f"y{k}" for k in range(P)}), estimate)
+    kept = defaultdict(set)
+    for r in scored.where(F.col("d") <= q.CUTOFF).collect():
+        kept[r["grp"]].add(r["i"])
+    assert kept == {g: set(range(600)) for g in ("1", "30", "1000")}
+
+
 def test_filter_keeps_columns_and_whole_rows(edges):
     out = q.filtered(edges)
     assert out.columns == edges.columns and out.schema == edges.schema
