@@ -8,7 +8,9 @@ one class; only classes are joined.
    with a probability equal to their similarity.  Nodes of at most ``LEAF``
    classes are compared exhaustively by sketch; larger ones branch on another
    minwise token, now and then on two, so that a pair at the threshold
-   expects to stay together in one branch at any depth.
+   expects to stay together in one branch at any depth.  Near copies hardly
+   part that way: what is larger after ``MAX_LEVELS`` is compared
+   exhaustively as well, in pairs of blocks.
 2. A node reports the components of its classes whose sketches agree as
    stars, at most n - 1 links, never its pairs.  The components of these links hold
    every linked pair that met in some tree.
@@ -47,7 +49,7 @@ TOKENS = 64  # minwise tokens of a class
 TREES = 16
 LEAF = 2048
 SPLIT_PER_CENT = 18  # nodes that branch twice: 1.18 branches * 0.85 = 1
-MAX_LEVELS = 48
+MAX_LEVELS = 6
 BLOCK = 2048
 MATCHES = 38  # of 64 sketch bytes; a pair at 0.85 expects 54.5, deviation 2.9
 SLICE_BYTES = 4 << 20
@@ -225,6 +227,15 @@ def _leaf_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield full()
 
 
+def in_pairs_of_blocks(nodes: DataFrame) -> DataFrame:
+    """Rows (node, id) of nodes of n > ``LEAF`` classes, dealt so that any two
+    classes of a node meet in a node of about 2 ``LEAF``."""
+    blocks = F.ceil(F.col("n") / LEAF).cast("int")
+    dealt = nodes.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block != other")
+    return dealt.select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("node"), "id")
+
+
 def candidate_clusters(classes: DataFrame) -> DataFrame:
     """(v, c): the classes (by 64-bit id) that may have a link, and a number
     of the cluster each belongs to.  ``classes``: id, tokens."""
@@ -236,6 +247,11 @@ def candidate_clusters(classes: DataFrame) -> DataFrame:
                 [batch["id"], pa.array([rows[i:i + TOKENS] for i in range(0, len(rows), TOKENS)], pa.binary())],
                 names=["id", "sketch"])
 
+    def compared(nodes: DataFrame) -> DataFrame:
+        found = (nodes.join(sketches, "id").select("node", "id", "sketch").repartition("node")
+                 .sortWithinPartitions("node").mapInArrow(_leaf_links, "a long, b long"))
+        return written(found.distinct(), "leaf-links")
+
     sketches = classes.mapInArrow(low_bytes, "id long, sketch binary")
     above, links = classes, None
     for level in range(MAX_LEVELS):
@@ -244,17 +260,14 @@ def candidate_clusters(classes: DataFrame) -> DataFrame:
             nodes = written(nodes, "nodes")
         sizes = nodes.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sizes = written(sizes, "node-sizes")
-        small = nodes.join(sizes.where(F.col("n") <= LEAF), "node").join(sketches, "id")
-        found = (small.select("node", "id", "sketch").repartition("node").sortWithinPartitions("node")
-                 .mapInArrow(_leaf_links, "a long, b long"))
-        found = written(found.distinct(), "leaf-links")
+        found = compared(nodes.join(sizes.where(F.col("n") <= LEAF), "node"))
         links = found if links is None else links.unionByName(found)
         large = sizes.where(F.col("n") > LEAF)
         if large.isEmpty():
             break
         above = nodes.join(large, "node").join(classes, "id").select("node", "id", "tokens")
     else:
-        raise RuntimeError(f"nodes of more than {LEAF} classes after {MAX_LEVELS} levels")
+        links = links.unionByName(compared(in_pairs_of_blocks(nodes.join(large, "node"))))
     return connected_components(links, "clusters")
 
 

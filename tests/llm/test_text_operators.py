@@ -80,6 +80,15 @@ def test_near_duplicates_with_branching_and_blocks(documents, monkeypatch):
     assert sorted(map(tuple, got.collect())) == expected
 
 
+def test_more_near_copies_than_a_leaf_that_never_part(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LEAF", 4)
+    monkeypatch.setattr(neardup, "MAX_LEVELS", 2)
+    rows = [(i, bytes(4 * neardup.TOKENS)) for i in range(30)]
+    rows += [(100 + i, bytes([i + 1] * 4 * neardup.TOKENS)) for i in range(5)]
+    got = neardup.candidate_clusters(spark.createDataFrame(rows, "id long, tokens binary"))
+    assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(30)]
+
+
 def test_word_statistics(table):
     rows = quality_rules.word_statistics(table, ["doc_id"]).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
