@@ -38,10 +38,10 @@ SAMPLE_PAGES, N_LAYOUTS = 300, 400
 TREES, TREE_DEPTH, SEED = 20, 4, 11
 BATCH_BYTES = 4 << 20
 
-# Elements whose content is no text of the page, whole.
+# Elements whose content is no text of the page, whole; a self-closed svg has none.
 DROPPED = "script|style|noscript|template|svg|iframe|select|textarea|button|object|canvas|title"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{DROPPED})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{DROPPED})(?=[\s/>])(?!(?<=svg)[^>]*/>)[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)

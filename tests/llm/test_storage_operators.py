@@ -268,6 +268,12 @@ def test_pages_with_odd_markup(spark, trees):
     assert html_text.extracted(df.limit(0)).collect() == []
 
 
+def test_text_after_self_closed_and_custom_elements_stays():
+    page = html_text.Page("<p>a <svg class=icon /> b</p><title-card>c</title-card><p>d</p><svg><path/>no</svg>"
+                          "<script src=x />no</script><SVG/><p>e</p>")
+    assert " ".join(run[0] for run in page.run if run).split() == ["a", "b", "c", "d", "e"]
+
+
 def test_decoding_keeps_no_node_inside_a_dropped_one(trees):
     page = html_text.Page("<div class='sidebar'><p>inner</p></div><article><h1>t</h1><p>text</p></article>")
     odds = np.full(len(page.parent), 1.0)
