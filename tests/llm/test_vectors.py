@@ -1,0 +1,121 @@
+"""Operators 11 and 12 against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from mercato.llm import cover_tree
+from tests.llm.conftest import SF, dicts
+
+NAN, INF = float("nan"), float("inf")
+SCHEMA = "vec_id long, embedding array<double>, label int, cls string, n int"
+
+
+def clustered(seed, groups=12, width=8):
+    """Groups of near copies of very different size and spread, and loose points."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for k in range(groups):
+        centre, spread = rng.normal(size=width), rng.choice([0.01, 0.05, 0.12, 0.3, 0.6])
+        out += [centre + spread * rng.normal(size=width) for _ in range(int(rng.integers(1, 60)))]
+    out += list(rng.normal(size=(60, width)))
+    return [x.tolist() for x in out]
+
+
+@pytest.fixture(scope="module")
+def odd_vectors(spark):
+    """Nulls, zeros, non-finite components, other lengths, ties, repeated rows and ids."""
+    vectors = clustered(5)
+    vectors += [None, [], [0.0] * 8, [-0.0] * 8, [NAN] + [1.0] * 7, [INF] + [1.0] * 7, [None] + [1.0] * 7,
+                [1.0, 0.0], [2.0, 0.0], [1.0], [-1.0], [5.0], vectors[0], vectors[0], [3 * x for x in vectors[0]],
+                [1e-200] * 8, [1e200] * 8, [1.0] * 8, [-1.0] * 8]
+    rng = random.Random(2)
+    rows = [(i, x, rng.choice([0, 1, 1, 1, 2, 3, None]), "c", 1) for i, x in enumerate(vectors)]
+    rows += [rows[7], rows[7], (None, vectors[3], 1, "c", 1), (None, vectors[3], 2, "c", 1), (-14, vectors[1], 1, "c", 1),
+             (2**62, vectors[2], 2, "c", 1), (70, [9.0] * 8, 5, "c", 1), (100, vectors[20], 1, "c", 1)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def usable(x):
+    return x is not None and all(v is not None and math.isfinite(v) for v in x) and any(x)
+
+
+def linked(rows):
+    """(vec_id, n_links, component_id, kept) of every row, pair by pair."""
+    unit = []
+    for r in rows:
+        x = r["embedding"]
+        if usable(x):
+            x = np.array(x) / max(map(abs, x))
+            x = x / np.linalg.norm(x)
+        unit.append(x if usable(r["embedding"]) else None)
+    near = [[j for j in range(len(rows)) if j != i and x is not None and unit[j] is not None
+             and len(x) == len(unit[j]) and x @ unit[j] >= 0.9] for i, x in enumerate(unit)]
+    out = []
+    for i, r in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            todo += (new := set(near[todo.pop()]) - seen)
+            seen |= new
+        low = min((rows[j]["vec_id"] for j in seen if rows[j]["vec_id"] is not None), default=None)
+        out.append((r["vec_id"], len(near[i]), low, r["vec_id"] == low))
+    return out
+
+
+def test_links_of_the_table(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    got = cover_tree.near_duplicates(table)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect())) == sorted(linked(dicts(table)))
+
+
+@pytest.mark.parametrize("block_bytes", [4 << 20, 2000])  # one block, and many pairs of blocks
+def test_links_of_odd_vectors(odd_vectors, monkeypatch, block_bytes):
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", block_bytes)
+    got = cover_tree.near_duplicates(odd_vectors)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(linked(dicts(odd_vectors)), key=str)
+    assert cover_tree.near_duplicates(odd_vectors.limit(0)).collect() == []
+    unusable = odd_vectors.where("embedding is null or size(embedding) = 0")
+    assert {(r["n_links"], r["kept"]) for r in cover_tree.near_duplicates(unusable).collect()} == {(0, True)}
+
+
+def test_one_group_holds_a_third_of_the_rows(spark, monkeypatch):
+    """A dense group over several blocks, with copies and links on both sides of the threshold."""
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", 4000)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=16)
+    x = [centre + s * rng.normal(size=16) for s in [0.02] * 60 + [0.3] * 120] + list(rng.normal(size=(300, 16)))
+    rows = [(i, v.tolist(), 0, "c", 1) for i, v in enumerate(x + x[:1] * 80)]
+    got = cover_tree.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    expected = linked([{"vec_id": r[0], "embedding": r[1]} for r in rows])
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_the_tree_keeps_its_bounds():
+    x = np.array(clustered(9, groups=25))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tree = cover_tree.Tree(x)
+    assert sorted(tree.point) == list(range(len(x)))
+    depth = cover_tree.depths(tree.size)
+    for p in range(len(x)):
+        below = np.arange(p, p + tree.size[p])
+        assert (depth[below[1:]] > depth[p]).all()
+        far = cover_tree.chord(x[tree.point[below]] @ x[tree.point[p]])
+        assert far.max() <= tree.radius[p] + cover_tree.SLACK
+
+
+def test_dense_groups_are_linked_whole(monkeypatch):
+    """Subtrees inside the threshold are linked without looking at their pairs."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=4) + 0.01 * rng.normal(size=(3000, 4))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tree = cover_tree.Tree(x)
+    looked = []
+    visit = cover_tree.Join.tile
+    monkeypatch.setattr(cover_tree.Join, "tile", lambda self, a, ab, b, bb, once: (
+        looked.append(len(a) * len(b)), visit(self, a, ab, b, bb, once)))
+    found = cover_tree.Join(x[tree.point], tree.size, tree.radius, cover_tree.depths(tree.size), np.ones(len(x)), len(x))
+    assert (found.links == len(x) - 1).all() and (found.roots(np.arange(len(x))) == 0).all()
+    assert sum(looked) < len(x)
