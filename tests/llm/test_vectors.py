@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from mercato.llm import cover_tree
+from mercato.llm import cover_tree, hard_negatives
 from tests.llm.conftest import SF, dicts
 
 NAN, INF = float("nan"), float("inf")
@@ -119,3 +119,73 @@ def test_dense_groups_are_linked_whole(monkeypatch):
     found = cover_tree.Join(x[tree.point], tree.size, tree.radius, cover_tree.depths(tree.size), np.ones(len(x)), len(x))
     assert (found.links == len(x) - 1).all() and (found.roots(np.arange(len(x))) == 0).all()
     assert sum(looked) < len(x)
+
+
+def mined(rows):
+    """Rows of operator 11 straight from its contract."""
+    use = [(r["vec_id"], (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"],
+            [math.floor(256 * v) for v in r["embedding"]]) for r in rows
+           if r["vec_id"] is not None and r["label"] is not None and r["embedding"] is not None
+           and all(v is not None and math.isfinite(v) and abs(v) < 65536 for v in r["embedding"])]
+    out = []
+    for a, label, q in use:
+        if a % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(q, p)), i, other == label) for i, other, p in use
+                        if len(p) == len(q) and (i != a or other != label))
+        for score, i, same in [s for s in scored if s[2]][:5]:
+            hits = [s for s in scored if not s[2] and 30 * -score <= 100 * -s[0] <= 90 * -score][:10]
+            out += [(a, i, k, s[1], -score, -s[0]) for k, s in enumerate(hits, 1)]
+    return out
+
+
+def test_hard_negatives_of_the_table(spark):
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    got = hard_negatives.hard_negatives(table)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(map(tuple, got.collect())) == sorted(mined(dicts(table)))
+
+
+@pytest.mark.parametrize("small", [False, True])  # one round and bucket, or many
+def test_hard_negatives_of_odd_vectors(odd_vectors, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(hard_negatives, "ROUND_ANCHORS", 2)
+        monkeypatch.setattr(hard_negatives, "BUCKET_ROWS", 40)
+        monkeypatch.setattr(hard_negatives, "SEED_ROWS", 60)
+        monkeypatch.setattr(hard_negatives, "TILE", 500)
+    got = hard_negatives.hard_negatives(odd_vectors)
+    assert sorted(map(tuple, got.collect())) == sorted(mined(dicts(odd_vectors)))
+    assert hard_negatives.hard_negatives(odd_vectors.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("spread", [0.1, 1.0, 40.0])
+def test_pruning_keeps_every_row_that_counts(spread):
+    """Candidates hold all pairs over the bound, and few others where vectors are alike."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 16)) * 100
+    p = np.floor(centres[rng.integers(0, 20, 1500)] + spread * rng.normal(size=(1500, 16)))
+    p[:40] *= rng.integers(0, 9, (40, 1))
+    q = np.floor(centres + rng.normal(size=(20, 16)))
+    length = np.sqrt((p * p).sum(1))
+    order = np.argsort(length)
+    bucket = hard_negatives.Bucket(p[order], length[order])
+    exact = (q @ p[order].T).astype(np.int64)
+    for least in (np.quantile(exact, 0.99, axis=1).astype(np.int64), np.full(20, -5), exact.max(1), exact.max(1) + 1):
+        got = {(int(i), int(j), int(s)) for part in bucket.candidates(q, np.sqrt((q * q).sum(1)), least)
+               for i, j, s in zip(*part)}
+        assert got == {(int(i), int(j), int(exact[i, j])) for i, j in zip(*np.nonzero(exact >= least[:, None]))}
+
+
+def test_coordinate_ranges_prune(monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 16))
+    centres *= 400 / np.linalg.norm(centres, axis=1)[:, None]
+    p = np.floor(centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 16)))
+    bucket = hard_negatives.Bucket(p, np.sqrt((p * p).sum(1)))
+    scored = []
+    plain = hard_negatives.row_scores
+    monkeypatch.setattr(hard_negatives, "row_scores", lambda q, p: (scored.append(len(q)), plain(q, p))[1])
+    monkeypatch.setattr(hard_negatives, "scores", None)  # no anchor needs the whole bucket
+    least = np.quantile(centres @ p.T, 0.98, axis=1).astype(np.int64)
+    found = sum(len(part[0]) for part in bucket.candidates(centres, np.sqrt((centres * centres).sum(1)), least))
+    assert found and sum(scored) < 0.2 * 20 * 2000
