@@ -8,10 +8,11 @@ pipeline does not name stay text.  Doubled quotes are unescaped; a quoted
 empty string stays an empty string, and text such as ``007`` stays text.
 
 A table is one file, a folder or a list of files, listed by Spark on any file
-system.  Quoted fields may span lines, so by default a file cannot be split:
-each *file* is read by one task, and a table's parallelism is its number of
-files.  A table known to have no line breaks inside quotes is read with
-``multiline=False``; Spark then splits its files.
+system.  Quoted fields may span lines.  Files of more than one scan split are
+read in many tasks by ``split_csv``; a table with a quote where the format
+has none is read in one task per *file*, as are small files.  A table known
+to have no line breaks inside quotes is read with ``multiline=False``; Spark
+then splits its files.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.sources import parquet
+from mercato.sources import parquet, split_csv
 
 log = logging.getLogger("mercato")
 
@@ -107,13 +108,36 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
-def read_text(spark: SparkSession, path: Paths, multiline: bool = True) -> DataFrame:
-    """The fields of raw CSV files as text, named by the header."""
+def largest_file(spark: SparkSession, path: Paths) -> int:
+    """Bytes of the largest file of a table (only file metadata is read)."""
+    paths = path if isinstance(path, str) else list(path)
+    files = spark.read.format("binaryFile").load(paths)
+    return files.agg(F.max("length")).first()[0] or 0
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    # Spark's own setting: a number with an optional unit, or bytes.
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(size[-1:], 0)
+    return int(size[:-1] if unit else size) << unit
+
+
+def read_text(spark: SparkSession, path: Paths, multiline: bool = True, split: bool | None = None) -> DataFrame:
+    """The fields of raw CSV files as text, named by the header.
+
+    ``split`` reads files whose fields span lines in many tasks per file; by
+    default where a file is larger than one scan split.  Then a column
+    ``split_csv.ODD`` marks the records whose quotes do not allow that."""
     paths = path if isinstance(path, str) else list(path)
     # Only a header line is read to learn the names.
     names = spark.read.options(**_options(multiline)).csv(paths).columns
-    df = spark.read.options(**_options(multiline)).schema(
-        T.StructType([T.StructField(c, S) for c in names])).csv(paths)
+    if split is None:
+        split = multiline and largest_file(spark, paths) > _split_bytes(spark)
+    if split:
+        df = split_csv.read_text(spark, paths, names, CSV_OPTIONS)
+    else:
+        df = spark.read.options(**_options(multiline)).schema(
+            T.StructType([T.StructField(c, S) for c in names])).csv(paths)
     return df.withColumns({c: F.when(F.col(c) == _QUOTED_EMPTY, F.lit("")).otherwise(F.col(c)) for c in names})
 
 
@@ -122,9 +146,14 @@ def _declared(df: DataFrame, table: str) -> dict[str, T.DataType]:
     return {c: types[c] for c in df.columns if c in types and types[c] != S}
 
 
-def read_csv(spark: SparkSession, path: Paths, table: str, multiline: bool = True) -> DataFrame:
-    """A raw table as a DataFrame with declared types."""
-    df = read_text(spark, path, multiline)
+def read_csv(spark: SparkSession, path: Paths, table: str, multiline: bool = True,
+             split: bool | None = None) -> DataFrame:
+    """A raw table as a DataFrame with declared types.  Read in splits, a
+    record with odd quotes raises; ``split=False`` reads such a table."""
+    df = read_text(spark, path, multiline, split)
+    if split_csv.ODD in df.columns:
+        odd = F.raise_error(F.lit(f"{table}: odd quotes, read it with split=False"))
+        df = df.where(F.when(F.col(split_csv.ODD), odd.cast("boolean")).otherwise(F.lit(True))).drop(split_csv.ODD)
     return df.withColumns({c: _typed(F.col(c), t) for c, t in _declared(df, table).items()})
 
 
@@ -139,11 +168,15 @@ class IngestStatus:
 
 
 def ingest_csv(spark: SparkSession, table: str, csv_path: Paths, bronze_dir: str,
-               multiline: bool = True) -> IngestStatus:
+               multiline: bool = True, split: bool | None = None) -> IngestStatus:
     """S3: load one raw table into its bronze table, replacing it.  A missing
-    file or a failure is reported and skipped, not raised."""
+    file or a failure is reported and skipped, not raised.  A table read in
+    splits whose quotes turn out odd is loaded again, one task a file."""
     try:
-        df = read_text(spark, csv_path, multiline)
+        df = read_text(spark, csv_path, multiline, split)
+    except split_csv.UnbalancedQuotesError as e:
+        log.warning("%s; one task reads each file of %s", e, table)
+        return ingest_csv(spark, table, csv_path, bronze_dir, multiline, split=False)
     except Exception as e:  # noqa: BLE001 - reported as a status row
         log.error("Failed to read %s: %s", csv_path, e)
         return IngestStatus(table, csv_path, None, False, f"read failed: {e}")
@@ -151,9 +184,14 @@ def ingest_csv(spark: SparkSession, table: str, csv_path: Paths, bronze_dir: str
     bad = sum((F.coalesce((F.trim(c) != "") & _typed(F.col(c), t).isNull(), F.lit(False)).cast("int") for c, t in declared.items()), F.lit(0))
     # Counted on the text before it is cast; null and blank text are no bad values.
     counted = df.withColumns({"__bad": bad, **{c: _typed(F.col(c), t) for c, t in declared.items()}})
+    odd = F.count_if(F.col(split_csv.ODD)) if split_csv.ODD in df.columns else F.max(F.lit(0))
     try:
-        found = parquet.write_observed(counted, parquet.bronze_path(bronze_dir, table), table, drop=("__bad",),
-                                       rows=F.count(F.lit(1)), bad=F.sum("__bad"))
+        found = parquet.write_observed(counted, parquet.bronze_path(bronze_dir, table), table,
+                                       drop=("__bad", split_csv.ODD), rows=F.count(F.lit(1)), bad=F.sum("__bad"),
+                                       odd=odd)
+        if found["odd"]:
+            log.warning("%d records of %s have odd quotes; one task reads each of its files", found["odd"], table)
+            return ingest_csv(spark, table, csv_path, bronze_dir, multiline, split=False)
     except Exception as e:  # noqa: BLE001
         log.error("Failed to load %s: %s", table, e)
         return IngestStatus(table, csv_path, None, False, f"load failed: {e}")
