@@ -7,11 +7,13 @@ silver table, gold report, quality suite or audit.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.plans import gold, quality, silver, verify
+from mercato.plans import activity, gold, quality, silver, verify
+from mercato.session import scratch_dir
 from mercato.sources import bronze as bronze_src
 from mercato.sources import testdata
 from mercato.sources.lazy import LazyTables
@@ -105,6 +107,23 @@ def verify_gold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.row_counts({name: build(s) for name, build in gold.REPORTS.items()})
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.table(spark, sf_dir, "events")
+
+
+ACTIVITY: dict[str, Query] = {
+    "activity_visits": lambda spark, sf_dir: activity.visits(_events(spark, sf_dir)),
+    "activity_last_touch": lambda spark, sf_dir: activity.last_touch(_events(spark, sf_dir)),
+    "activity_last_order": lambda spark, sf_dir: activity.last_order(
+        _events(spark, sf_dir), silver_for(spark, sf_dir)["orders"]),
+    "activity_orders_during_delivery": lambda spark, sf_dir: activity.orders_during_delivery(
+        silver_for(spark, sf_dir)["orders"]),
+    "activity_incidents": lambda spark, sf_dir: activity.incidents(_events(spark, sf_dir)),
+    "activity_streamed_hours": lambda spark, sf_dir: activity.streamed_hours(
+        spark, f"{sf_dir}/events.parquet", scratch_dir(spark, f"stream-{uuid.uuid4().hex}")),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in silver.SILVER_TABLES:
@@ -120,4 +139,4 @@ def queries() -> dict[str, Query]:
     out["preview_orders"] = preview_orders
     out["quality_row_counts"] = quality_row_counts
     out["verify_gold_counts"] = verify_gold_counts
-    return out
+    return out | ACTIVITY

@@ -178,6 +178,11 @@ def _view(read: _Reader, name: str) -> DataFrame:
     return out
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as it is."""
+    return _Reader(spark, sf_dir)(name)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _view(_Reader(spark, sf_dir), name)
 
