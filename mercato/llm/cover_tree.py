@@ -168,8 +168,10 @@ class Join:
         self.parent = np.arange(n)
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.held_rows = 0
+        self.parents()
         if split < n:
-            self.visit(*self.node(0), *self.node(split))
+            pair = [np.array([p]) for p in (0, split)]
+            self.visit(pair[0], np.array([False]), pair[1], np.array([False]))
         else:
             self.within(0)
         self.flush()
@@ -177,15 +179,25 @@ class Join:
         glued = np.flatnonzero(np.cumsum(self.glued)[:n])  # united with the node before
         self.unite(glued, glued - 1)
 
-    @staticmethod
-    def node(p: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.array([p]), np.array([False])
-
-    def opened(self, p: int) -> tuple[np.ndarray, np.ndarray]:
-        """A node as its point and its children: (nodes, is a bare point)."""
-        inside = self.depth[p + 1:p + self.size[p]]
-        children = p + 1 + np.flatnonzero(inside == self.depth[p] + 1)
-        return np.r_[p, children], np.r_[True, self.size[children] == 1]
+    def parents(self) -> None:
+        """The children of every node, in order: ``child[first[p]:first[p + 1]]``."""
+        n, above = len(self.x), np.full(len(self.x), -1)
+        at = np.flatnonzero(self.depth == 0)
+        for level in range(1, int(self.depth.max(initial=0)) + 1):
+            below = np.flatnonzero(self.depth == level)
+            above[below] = at[np.searchsorted(at, below) - 1]
+            at = below
+        self.child = np.argsort(above, kind="stable")
+        self.first = np.searchsorted(above[self.child], np.arange(n + 1))
+
+    def opened(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes as their points and their children: (node, is a bare point,
+        which of ``nodes`` it is from)."""
+        many = self.first[nodes + 1] - self.first[nodes]
+        of = np.repeat(np.arange(len(nodes)), many)
+        children = self.child[np.arange(len(of)) - (np.cumsum(many) - many)[of] + self.first[nodes][of]]
+        return (np.r_[nodes, children], np.r_[np.ones(len(nodes), bool), self.size[children] == 1],
+                np.r_[np.arange(len(nodes)), of])
 
     def roots(self, x: np.ndarray) -> np.ndarray:
         r = self.parent[x]
@@ -237,26 +249,45 @@ class Join:
             self.glued[p + 1] += 1
             self.glued[p + self.size[p]] -= 1
             return
-        nodes, bare = self.opened(p)
+        nodes, bare, _ = self.opened(np.array([p]))
         self.visit(nodes, bare, nodes, bare, once=True)
         for child in nodes[~bare].tolist():
             self.within(child)
 
-    def visit(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: bool = False) -> None:
-        """Links between the subtrees (or bare points) a and b; ``once``: of a
-        list with itself, each pair once."""
+    def visit(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: bool = False,
+              a_of: np.ndarray | None = None, b_of: np.ndarray | None = None, pairs: np.ndarray | None = None) -> None:
+        """Links between the subtrees (or bare points) a and b, of those pairs
+        whose origins ``pairs`` names; ``once``: of a list with itself, each
+        pair once."""
         tile = max(1, TILE // len(b))
         for at in range(0, len(a), tile):
-            self.tile(a[at:at + tile], a_bare[at:at + tile], b, b_bare, at if once else None)
-
-    def tile(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: int | None) -> None:
+            some = slice(at, at + tile)
+            todo = self.tile(a[some], a_bare[some], b, b_bare, at if once else None,
+                             None if pairs is None else pairs[a_of[some]][:, b_of])
+            for one, other, mine, theirs, their_bare in todo:
+                # the nodes of one side are opened against all their partners together
+                opens, i = np.unique(one, return_inverse=True)
+                others, j = np.unique(other, return_inverse=True)
+                asked = np.zeros((len(opens), len(others)), bool)
+                asked[i, j] = True
+                nodes, bare, of = self.opened(mine[opens])
+                del i, j, one, other
+                self.visit(nodes, bare, theirs[others], their_bare[others], False, of, np.arange(len(others)), asked)
+
+    def tile(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: int | None,
+             asked: np.ndarray | None) -> list[tuple]:
+        """Decides the pairs that can be decided; the others, as (rows of the
+        side to open, rows of the other side, the sides' nodes)."""
         ra, rb = np.where(a_bare, 0.0, self.radius[a]), np.where(b_bare, 0.0, self.radius[b])
         cosine = self.x[a] @ self.x[b].T
         if ra.any() or rb.any():
             least = 1 - np.minimum(2.0, self.reach + SLACK + ra[:, None] + rb) ** 2 / 2
-            i, j = np.nonzero(cosine >= np.minimum(least, self.threshold))
+            near = cosine >= np.minimum(least, self.threshold)
         else:
-            i, j = np.nonzero(cosine >= self.threshold)
+            near = cosine >= self.threshold
+        if asked is not None:
+            near &= asked
+        i, j = np.nonzero(near)
         if once is not None:
             i, j = i[j > i + once], j[j > i + once]
         near = cosine[i, j]
@@ -270,13 +301,8 @@ class Join:
         i, j = i[~whole], j[~whole]
         # the larger side is opened; a bare point never is
         open_a = ~a_bare[i] & (b_bare[j] | (ra[i] >= rb[j]))
-        for one, other, mine, theirs, their_bare in (
-                (i[open_a], j[open_a], a, b, b_bare), (j[~open_a], i[~open_a], b, a, a_bare)):
-            order = np.argsort(one, kind="stable")
-            one, other = one[order], other[order]
-            edges = np.r_[np.flatnonzero(np.r_[True, one[1:] != one[:-1]][:len(one)]), len(one)]
-            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                self.visit(*self.opened(int(mine[one[s]])), theirs[other[s:e]], their_bare[other[s:e]])
+        todo = [(i[open_a], j[open_a], a, b, b_bare), (j[~open_a], i[~open_a], b, a, a_bare)]
+        return [t for t in todo if len(t[0])]
 
 
 def depths(size: np.ndarray) -> np.ndarray:
