@@ -8,13 +8,14 @@ log-odds among those that contain every kept node's ancestors, so that no
 node is kept inside a dropped one, nor a container without content.
 
 The classifier is fitted on at most ``SAMPLE_PAGES`` pages of the table, those
-with the lowest hash of their url: once as they are where they mark their
+with the lowest hash of their url and markup: once as they are where they mark their
 article, and once as new layouts in which the same text fills articles,
 menus, side bars, notices, adverts, forms and comments with common names.
 Every page of the table is extracted.
 
 Defined cases: null html is empty and has no text; markup that is cut off or
-never closed is read as far as it goes; a page without main text gives the
+never closed is read as far as it goes; a quote that opens an attribute value
+and is never closed takes the rest of the page into its tag, as in HTML; a page without main text gives the
 empty string; null page ids and urls and repeated rows are kept; other columns
 are ignored; an empty table gives no rows.
 """
@@ -42,9 +43,12 @@ BATCH_BYTES = 4 << 20
 DROPPED = "script|style|noscript|template|svg|iframe|select|textarea|button|object|canvas|title"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{DROPPED})(?=[\s/>])(?!(?<=svg)[^>]*/>)[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|(?P<text>[^<]+|<)",
+    # A quote counts after "=" only; a value that is not closed goes on to the next quote or the end of the page.
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"?+|'[^']*+'?+)?+)*+)(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^\s>]++)))?+", re.S)
+NAMES = frozenset(("class", "id", "role"))
+LABEL = "data-y"  # in the layouts made here only; an attribute of that name in a page has no meaning
 NAME = re.compile("[a-z]+")
 
 TAGS = ("html", "body", "main", "article", "section", "div", "p", "h", "ul", "ol", "li", "dl", "dt", "dd", "table",
@@ -66,9 +70,10 @@ N_SHAPE = 13
 
 
 class Page:
-    """Block elements (0 is the root) and text runs of one page, in order."""
+    """Block elements (0 is the root) and text runs of one page, in order;
+    ``labelled``: with the labels of a layout."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = False):
         self.parent, self.tag, self.words, self.label, self.run = [-1], [0], [()], [None], [None]
         open_at, open_names, text, links, link = [0], ["html"], [], 0, 0
 
@@ -118,11 +123,11 @@ class Page:
             rest, words, label = m["rest"], (), None
             if "=" in rest:
                 for a in ATTRIBUTE.finditer(rest):
-                    value = a[2] or a[3] or a[4] or ""
-                    if a[1].lower() == "data-y":
-                        label = int(value)
-                    else:
+                    name_of, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+                    if name_of in NAMES:
                         words += tuple(WORD_AT[w] for w in NAME.findall(value.lower()) if w in WORD_AT)
+                    elif labelled and name_of == LABEL:
+                        label = int(value)
             open_at.append(self.add(open_at[-1], BLOCKS[name], words, label, None))
             open_names.append(name)
         close_run()
@@ -275,7 +280,7 @@ def layout(rng: random.Random, texts: list[str]) -> str:
         return html.escape(" ".join(words[at:at + n] or words[:n]))
 
     def element(opening: str, y: int, inner: str) -> str:
-        return f'<{opening} data-y="{y}">{inner}</{opening.split()[0]}>'
+        return f'<{opening} {LABEL}="{y}">{inner}</{opening.split()[0]}>'
 
     def boilerplate() -> str:
         kind = rng.choice(("links", "words", "words", "talk"))
@@ -335,7 +340,7 @@ def training_rows(sources: list[str], seed: int = SEED) -> tuple[np.ndarray, np.
     """Features and labels of the sampled pages and of layouts of their text."""
     rng, pages = random.Random(seed), [Page(s) for s in sources]
     texts = [r[0] for p in pages for r in p.run if r and len(r[0]) > 20] or ["some text, as pages have it. " * 5]
-    layouts = [Page(layout(rng, texts)) for _ in range(N_LAYOUTS)]
+    layouts = [Page(layout(rng, texts), labelled=True) for _ in range(N_LAYOUTS)]
     for page in layouts:
         page.label[0] = 1
         for i, run in enumerate(page.run):
@@ -350,9 +355,12 @@ def fit(pages: DataFrame) -> Trees:
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.linalg import Vectors
 
-    lowest = pages.select(F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
-                          F.xxhash64("url", "html").alias("h")).orderBy("h", "html").limit(SAMPLE_PAGES)
-    rows, labels = training_rows([r["html"] for r in lowest.collect()])
+    hashed = pages.select(F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
+                          F.xxhash64("url", "html").alias("h"))
+    # The hashes alone tell which pages; of equal pages one is sent.
+    lowest = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
+    sample = hashed.where(F.col("h") <= max(lowest, default=0)).groupBy("h").agg(F.min("html").alias("html"))
+    rows, labels = training_rows([r["html"] for r in sample.orderBy("h").collect()])
     spark = pages.sparkSession
     held = ((Vectors.sparse(len(x), np.flatnonzero(x), x[x != 0].astype(float)), float(y)) for x, y in zip(rows, labels))
     data = spark.createDataFrame(list(held), ["features", "label"]).coalesce(4)

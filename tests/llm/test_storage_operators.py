@@ -246,7 +246,7 @@ def test_held_out_layouts(trees):
     texts = ["Some prose of a page, with commas and stops. It goes on for a while, and then it ends. " * 8]
     right = total = 0
     for _ in range(300):
-        page = html_text.Page(html_text.layout(rng, texts))
+        page = html_text.Page(html_text.layout(rng, texts), labelled=True)
         odds = trees(html_text.features([page]))
         kept = set(html_text.decoded(page, odds).split("\n"))
         for i, run in enumerate(page.run):
