@@ -25,10 +25,9 @@ once each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import sys
-import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +40,9 @@ from mercato.llm.common import block_count, chunks, read_table, text_of, written
 DEPTH = 5
 CUT = 2
 FOLDS = 10  # documents whose crc32(doc_id) is 0 modulo this are held out
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 COUNTED_BYTES = 48 << 20  # text whose counts a task combines before it sends them
-TOP_GRAMS, TOP_WORDS = 1_500_000, 750_000
+TOP_GRAMS, TOP_WORDS = 1 << 20, 1 << 19
 SLICE_CODES = 1 << 20
 TREE_GRAMS = 150_000  # grams weighted at a time
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
@@ -139,7 +138,7 @@ def _counts(depth: int):
 
 def _requests(depth: int, top):
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams_held, words_held = held_model(top)
+        grams_held, words_held = top.value  # sent as the tables to look in; a worker holds nothing beside them
         for block in _by_block(batches):
             words, parts = set(), []
             for batch in chunks(iter(block.to_batches()), "text", SLICE_CODES):
@@ -301,17 +300,17 @@ def code_lengths(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 class Lookup:
     """Values by 64-bit key: tables of hashed slots, each with the keys that
-    found their slot taken in those before."""
+    found their slot taken in those before.  A table has two to four slots a key."""
 
-    ABSENT = -1e300
+    ABSENT = -1e30
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.levels, salt = [], 0x9E3779B97F4A7C15
         while len(keys):
-            bits = max(4, int(2 * len(keys)).bit_length())
+            bits = max(4, (2 * len(keys) - 1).bit_length())
             salt = salt * 0xD1342543DE82EF95 % (1 << 64) | 1
             slot = self.slots(keys, salt, bits)
-            held, value = np.full(1 << bits, np.uint64((1 << 64) - 1)), np.zeros(1 << bits)
+            held, value = np.full(1 << bits, np.uint64((1 << 64) - 1)), np.zeros(1 << bits, values.dtype)
             held[slot] = keys
             placed = held[slot] == keys
             value[slot[placed]] = values[placed]
@@ -342,19 +341,18 @@ class Lookup:
         return out
 
 
-def held_model(top) -> tuple[Lookup, Lookup]:
-    """The broadcast part of the model, built once in a Python worker."""
-    held = sys.__dict__.setdefault("_mercato_ctw", {})
-    if top.value["id"] not in held:
-        held.clear()
-        held[top.value["id"]] = tuple(Lookup(*top.value[k]) for k in ("grams", "words"))
-    return held[top.value["id"]]
+def found(first: Lookup, second: Lookup, keys: np.ndarray) -> np.ndarray:
+    """Values from one table, those absent there from the other, else 0."""
+    out = first(keys, Lookup.ABSENT)
+    rest = np.flatnonzero(out == Lookup.ABSENT)
+    out[rest] = second(keys[rest])
+    return out
 
 
 def frequent(values: DataFrame):
     """Threshold bins on a log scale of counts: at most ``TOP_GRAMS`` grams and
     ``TOP_WORDS`` words lie above theirs.  Returns the condition and the rows
-    that meet it, as sorted-out arrays per kind."""
+    that meet it, as one table per kind."""
     scale = F.floor(F.log2(F.col("n") + 1) * 16).cast("int")
     sizes = values.groupBy("kind", scale.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()  # <= 2 * 16 * 64
     above = F.lit(False)
@@ -368,8 +366,8 @@ def frequent(values: DataFrame):
     rows = values.where(above).select("kind", "key", "value").toArrow()
     kind, key = rows["kind"].to_numpy(), rows["key"].to_numpy().view(np.uint64)
     value = rows["value"].to_numpy()
-    return above, {"id": uuid.uuid4().hex, **{
-        name: (key[kind == k], value[kind == k]) for name, k in (("grams", GRAM), ("words", WORD))}}
+    return above, (Lookup(key[kind == GRAM], value[kind == GRAM].astype(np.float32)),
+                   Lookup(key[kind == WORD], value[kind == WORD]))
 
 
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -381,8 +379,7 @@ def _score(n_train: int, n_distinct: int, n_docs: int, depth: int, top):
         kind, key = model["kind"].to_numpy(), model["key"].to_numpy().view(np.uint64)
         value = model["value"].to_numpy()
         own = [Lookup(key[kind == k], value[kind == k]) for k in (GRAM, WORD)]
-        # A key is held by the broadcast part or by the block's, never by both.
-        bits, count = (lambda x, a=a, b=b: a(x) + b(x) for a, b in zip(held_model(top), own))
+        bits, count = (partial(found, *tables) for tables in zip(top.value, own))
         total = n_train + 0.1 * (n_distinct + 1)
         end = (np.log10((n_docs + 0.1) / total), n_docs > 0)
         columns: list[list] = [[] for _ in SCORES.split(", ")]
