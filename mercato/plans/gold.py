@@ -157,25 +157,28 @@ def category_performance(t: Tables) -> DataFrame:
     distinct products.  An item is repeated once per review of its order, and
     its revenue with it.
 
-    Items become one row per (order, product) and reviews one per order before
-    they meet; the repetition is a factor.  Distinct orders and products are
-    row counts of two further reductions, so no row is expanded.
+    Items meet their product, become one row per (category, order), combined
+    map-side, and then meet their order's reviews, of which there is one row;
+    the repetition is a factor.  Distinct orders are row counts of that table;
+    distinct products come from the product ids alone, which are reduced
+    map-side before they move.
     """
-    products = t["products"].select("product_id", "product_category_name_english")
-    rows = (_order_products(t, *money_parts("price", "price"))
-            .join(products, "product_id", "inner").join(_order_reviews(t), "order_id", "left")
-            .withColumn("times", F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1))))
     by = "product_category_name_english"
-    sums = rows.groupBy(by, "product_id").agg(
+    products = t["products"].select("product_id", by)
+    per_order = (t["order_items"].join(products, "product_id", "inner").groupBy(by, "order_id")
+                 .agg(F.count(F.lit(1)).alias("items"), *money_parts("price", "price")))
+    rows = per_order.join(_order_reviews(t), "order_id", "left").withColumn(
+        "times", F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1)))
+    sums = rows.groupBy(by).agg(
         *money_merged("price", "times"),
         F.sum(F.col("score_sum") * F.col("items")).alias("score_sum"),
-        F.sum(F.col("score_n") * F.col("items")).alias("score_n")).groupBy(by).agg(
-        money_total("price").alias("total_revenue"),
-        F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
-        F.count(F.lit(1)).alias("product_count"))
-    orders = rows.groupBy(by, "order_id").agg(F.lit(1).alias("one")).groupBy(F.col(by).alias("of")).agg(
-        F.count(F.lit(1)).alias("order_count"))
-    return (sums.join(orders, F.col(by).eqNullSafe(F.col("of")), "inner")
+        F.sum(F.col("score_n") * F.col("items")).alias("score_n"),
+        F.count(F.lit(1)).alias("orders")).groupBy(by).agg(
+        money_total("price").alias("total_revenue"), F.sum("orders").alias("order_count"),
+        F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"))
+    sold = t["order_items"].select("product_id").distinct().join(products.distinct(), "product_id", "inner")
+    counts = sold.groupBy(F.col(by).alias("of")).agg(F.count(F.lit(1)).alias("product_count"))
+    return (sums.join(counts, F.col(by).eqNullSafe(F.col("of")), "inner")
             .select(by, "total_revenue", "order_count", "average_review_score", "product_count")
             .orderBy(_desc("total_revenue")))
 

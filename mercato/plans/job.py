@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.plans import gold, quality, silver, verify
 from mercato.session import initial_partitions, partitions_for, table_bytes
 from mercato.sources import bronze as bronze_src
-from mercato.sources import parquet
+from mercato.sources import parquet, versions
 
 log = logging.getLogger("mercato")
 
@@ -125,7 +125,8 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, bronz
     # sized to the largest table, so no task has to sort or aggregate far
     # more than fits its memory.
     if shuffle_partitions is None:
-        shuffle_partitions = partitions_for(spark, max(table_bytes(spark, bronze_dir).values(), default=0))
+        folders = {t: versions.live_path(spark, parquet.bronze_path(bronze_dir, t)) for t in b}
+        shuffle_partitions = partitions_for(spark, max(table_bytes(spark, folders).values(), default=0))
     result.shuffle_partitions = shuffle_partitions
     with initial_partitions(spark, shuffle_partitions):
         result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)

@@ -7,7 +7,7 @@ session's time zone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -49,13 +49,14 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def table_bytes(spark: SparkSession, path: str) -> dict[str, int]:
-    """Bytes of each table folder below ``path``, from a file listing by Spark
-    (works on any file system; only file metadata is read)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    table = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)
-    return {r["table"]: int(r["n"]) for r in
-            files.groupBy(table.alias("table")).agg(F.sum("length").alias("n")).collect()}
+def table_bytes(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, int]:
+    """Bytes of each table, ``{name: folder of its files}``, from a file listing
+    by Spark (works on any file system; only file metadata is read)."""
+    files = spark.read.format("binaryFile").load(list(paths.values()))
+    folder = F.regexp_extract("path", r"([^/]+/[^/]+)/[^/]+$", 1)
+    sizes = {r["folder"]: int(r["n"]) for r in
+             files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("n")).collect()}
+    return {name: sizes.get("/".join(path.rstrip("/").split("/")[-2:]), 0) for name, path in paths.items()}
 
 
 def partitions_for(spark: SparkSession, data_bytes: int) -> int:

@@ -1,6 +1,7 @@
 """Parquet sources and sinks for the silver and gold layers.
 
-Row counts are taken with an ``Observation`` on the write itself, so saving
+Tables are replaced by version (``versions``): a write that fails leaves the
+old table in place, and readers follow to the live one.  Row counts are taken with an ``Observation`` on the write itself, so saving
 and counting is one job, not two.  Outputs keep their natural partitioning
 (never ``coalesce(1)``): the wide reports are as large as the fact tables.
 """
@@ -13,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.sources import versions
+
 log = logging.getLogger("mercato")
 
 
@@ -33,10 +36,11 @@ def bronze_path(bronze_dir: str, name: str) -> str:
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    """Read a Parquet table; None when its path does not exist (S9).  Any
-    other failure (a folder without files, say) is raised."""
+    """Read a Parquet table, its live version where it has versions; None when
+    its path does not exist (S9).  Any other failure (a folder without files,
+    say) is raised."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(versions.live_path(spark, path))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -56,16 +60,21 @@ def read_required(spark: SparkSession, path: str, what: str) -> DataFrame:
 
 
 def write_observed(df: DataFrame, path: str, name: str, drop: tuple[str, ...] = (), **metrics: Column) -> dict[str, int]:
-    """Overwrite ``path`` with ``df``; the ``metrics`` are counted as it is
-    written.  Columns in ``drop`` only serve the metrics."""
+    """Replace the table at ``path`` by ``df``; the ``metrics`` (``rows`` is one)
+    are counted as it is written.  Columns in ``drop`` only serve the metrics."""
     obs = Observation(f"rows_{name}")
     exprs = [m.alias(k) for k, m in metrics.items()]
-    df.observe(obs, *exprs).drop(*drop).write.mode("overwrite").parquet(path)
+
+    def write(folder: str) -> int:
+        df.observe(obs, *exprs).drop(*drop).write.parquet(folder)
+        return int(obs.get["rows"] or 0)
+
+    versions.replace(df.sparkSession, path, write)
     return {k: int(v or 0) for k, v in obs.get.items()}
 
 
 def write_counted(df: DataFrame, path: str, name: str) -> int:
-    """Overwrite ``path`` with ``df`` and return the rows written."""
+    """Replace the table at ``path`` by ``df`` and return the rows written."""
     return write_observed(df, path, name, rows=F.count(F.lit(1)))["rows"]
 
 

@@ -170,7 +170,7 @@ def test_shuffle_sizing(spark, tmp_path):
         spark.conf.unset(session.INITIAL_PARTITIONS)
     for name in ("a", "b"):
         spark.range(10).write.parquet(str(tmp_path / name))
-    sizes = session.table_bytes(spark, str(tmp_path))
+    sizes = session.table_bytes(spark, {name: str(tmp_path / name) for name in ("a", "b")})
     assert set(sizes) == {"a", "b"} and min(sizes.values()) > 0
 
 

@@ -29,7 +29,7 @@ def test_empty_report_is_written_then_raises(spark, tmp_path):  # F9
     items = spark.createDataFrame([], "order_id int, product_id int, seller_id int, price double")
     with pytest.raises(parquet.EmptyReportError):
         parquet.write_gold(gold.seller_rankings({"order_items": items}), str(tmp_path), "seller_rankings")
-    assert spark.read.parquet(parquet.gold_path(str(tmp_path), "seller_rankings")).count() == 0
+    assert parquet.try_read(spark, parquet.gold_path(str(tmp_path), "seller_rankings")).count() == 0
 
 
 def test_orders_flags_and_open_columns(spark):  # C2, F6

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from mercato.plans import job, registry
-from mercato.sources import bronze, geo, testdata
+from mercato.sources import bronze, geo, parquet, testdata
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,7 +43,7 @@ def test_numbers_in_other_forms_survive_and_misfits_are_counted(spark, tmp_path)
     p = tmp_path / "order_reviews.csv"
     p.write_text("review_id,order_id,review_score,note\n1,a,4.0,x\n2,b,5,x\n3,c,,x\n4,d,five,x\n5,e,2.5,\n")
     st = bronze.ingest_csv(spark, "order_reviews", str(p), str(tmp_path / "bronze"))
-    rows = spark.read.parquet(str(tmp_path / "bronze" / "order_reviews.parquet")).orderBy("review_id").collect()
+    rows = parquet.try_read(spark, str(tmp_path / "bronze" / "order_reviews.parquet")).orderBy("review_id").collect()
     assert [r.review_score for r in rows] == [4, 5, None, None, None]
     assert (st.ok, st.rows, st.bad_values) == (True, 5, 2) and "__bad" not in rows[0].asDict()
 
@@ -125,7 +125,7 @@ def test_job_from_csv_files(spark, tmp_path):  # whole job (S1-S4, S8, S12, V1-V
         assert res.silver_rows[name] == qs[f"silver_{name}"](spark, SF).count()
     report = "\n".join(r.value for r in spark.read.text(os.path.join(out, "reports", "data_health_summary.md")).collect())
     assert "## 1. Executive Summary" in report and "| Relational |" in report
-    silver_orders = spark.read.parquet(os.path.join(out, "silver", "orders_cleaned.parquet"))
+    silver_orders = parquet.try_read(spark, os.path.join(out, "silver", "orders_cleaned.parquet"))
     assert dict(silver_orders.dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
     assert silver_orders.where(F.col("order_purchase_timestamp").isNull()).count() == 0
 
@@ -167,7 +167,7 @@ def test_cli_runs_the_job(spark, tmp_path):
     assert (out / "reports" / "data_health_summary.md").exists()
     # The scores, which pandas wrote as 4.0, are those of the given tables.
     for table, column in (("order_reviews", "review_score"), ("order_payments", "payment_installments")):
-        written = spark.read.parquet(str(out / "silver" / f"{table}_cleaned.parquet"))
+        written = parquet.try_read(spark, str(out / "silver" / f"{table}_cleaned.parquet"))
         given = registry.silver_for(spark, SF)[table]
         assert written.agg(F.sum(column), F.count(column)).collect() == given.agg(F.sum(column), F.count(column)).collect()
     # Without the prefix the table names do not resolve: a clean failure.
