@@ -9,6 +9,8 @@ here again (money as decimals), not taken from the Spark code.
 from __future__ import annotations
 
 from mercato.plans.oracle_activity import ACTIVITY_SQL
+from mercato.plans.oracle_insight import INSIGHT_SQL
+from mercato.plans.oracle_layers import layer_sql
 from mercato.sources.testdata import raw_ctes
 
 # The Unicode White_Space code points.
@@ -356,7 +358,7 @@ def oracle_queries() -> dict[str, str]:
     out["verify_silver_counts"] = with_ctes(VERIFY_COUNTS_SQL)
     out["verify_gold_counts"] = with_ctes(VERIFY_GOLD_COUNTS_SQL)
     out["quality_row_counts"] = with_ctes(ROW_COUNTS_SQL)
-    for name, sql in ACTIVITY_SQL.items():
+    for name, sql in (ACTIVITY_SQL | INSIGHT_SQL | layer_sql(GOLD_SQL)).items():
         out[name] = with_ctes(f"SELECT * FROM ({sql})")
     out["preview_orders"] = with_ctes("SELECT * FROM raw_orders ORDER BY order_id LIMIT 5")
     return out

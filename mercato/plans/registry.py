@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.plans import activity, gold, quality, silver, verify
+from mercato.plans import activity, gold, insight, layers, quality, silver, verify
 from mercato.session import scratch_dir
 from mercato.sources import bronze as bronze_src
 from mercato.sources import testdata
@@ -124,6 +124,24 @@ ACTIVITY: dict[str, Query] = {
 }
 
 
+def _insight_query(report: Callable[[LazyTables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(silver_for(spark, sf_dir))
+
+
+INSIGHT: dict[str, Query] = {
+    "insight_payment_totals": _insight_query(insight.payment_totals),
+    "insight_category_calendar": _insight_query(insight.category_calendar),
+    "insight_top_products": _insight_query(insight.top_products),
+    "insight_moving_revenue": _insight_query(insight.moving_revenue),
+    "insight_distinct_customers": _insight_query(insight.distinct_customers),
+    "insight_price_quantiles": _insight_query(insight.price_quantiles),
+    "insight_cleaned_away": lambda spark, sf_dir: insight.cleaned_away(
+        bronze_for(spark, sf_dir), silver_for(spark, sf_dir)),
+    "insight_item_balance": lambda spark, sf_dir: insight.item_balance(
+        bronze_for(spark, sf_dir), silver_for(spark, sf_dir)),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for name in silver.SILVER_TABLES:
@@ -139,4 +157,4 @@ def queries() -> dict[str, Query]:
     out["preview_orders"] = preview_orders
     out["quality_row_counts"] = quality_row_counts
     out["verify_gold_counts"] = verify_gold_counts
-    return out | ACTIVITY
+    return out | ACTIVITY | INSIGHT | layers.QUERIES

@@ -115,8 +115,8 @@ def largest_file(spark: SparkSession, path: Paths) -> int:
     return files.agg(F.max("length")).first()[0] or 0
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    # Spark's own setting: a number with an optional unit, or bytes.
+def split_bytes(spark: SparkSession) -> int:
+    """``spark.sql.files.maxPartitionBytes``: bytes, or a number with a unit."""
     size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
     unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(size[-1:], 0)
     return int(size[:-1] if unit else size) << unit
@@ -132,7 +132,7 @@ def read_text(spark: SparkSession, path: Paths, multiline: bool = True, split: b
     # Only a header line is read to learn the names.
     names = spark.read.options(**_options(multiline)).csv(paths).columns
     if split is None:
-        split = multiline and largest_file(spark, paths) > _split_bytes(spark)
+        split = multiline and largest_file(spark, paths) > split_bytes(spark)
     if split:
         df = split_csv.read_text(spark, paths, names, CSV_OPTIONS)
     else:
