@@ -34,10 +34,15 @@ def build_session(master: str | None = None, app: str = "mercato",
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables below the shared folder that the
     cluster names in ``spark.checkpoint.dir``; where that is unset, below the
-    warehouse, which driver and executors share as well."""
+    warehouse, if that is shared too.  On a cluster whose warehouse is a local
+    folder the setting is required."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        local_folder = "://" not in warehouse and (":" not in warehouse or warehouse.startswith("file:"))
+        if local_folder and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = warehouse + "/_scratch"
     return f"{base.rstrip('/')}/{name}"
 
 

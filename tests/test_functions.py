@@ -174,6 +174,22 @@ def test_shuffle_sizing(spark, tmp_path):
     assert set(sizes) == {"a", "b"} and min(sizes.values()) > 0
 
 
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from mercato import session
+
+    def cluster(warehouse, **conf):
+        held = {"spark.sql.warehouse.dir": warehouse, **conf}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: held.get(key, default)),
+                               sparkContext=SimpleNamespace(master="spark://host:7077"))
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.scratch_dir(cluster("file:/home/x/spark-warehouse"), "a")
+    assert session.scratch_dir(cluster("hdfs://n/warehouse"), "a") == "hdfs://n/warehouse/_scratch/a"
+    assert session.scratch_dir(cluster("file:/x", **{"spark.checkpoint.dir": "/shared/"}), "a") == "/shared/a"
+
+
 def test_left_join_split_nulls(spark):
     from mercato.operators import left_join_split_nulls
 
