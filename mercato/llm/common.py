@@ -1,9 +1,8 @@
 """Helpers shared by the training-data operators.
 
 Intermediate tables go to the shared folder that the cluster names in
-``spark.checkpoint.dir`` (read from the session); where it is unset, below
-the warehouse folder, which driver and executors share as well.  A written
-table cuts lineage and survives lost executors.
+``spark.checkpoint.dir`` (``mercato.session.scratch_dir``).  A written table
+cuts lineage and survives lost executors.
 """
 
 from __future__ import annotations
@@ -16,13 +15,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.session import scratch_dir
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for one intermediate table."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
