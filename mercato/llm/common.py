@@ -23,11 +23,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_scratch(df: DataFrame, path: str) -> None:
+    """Writes ``df``; the shuffle files of that job are removed at its end, as
+    the written table stands for them."""
+    spark = df.sparkSession
+    old = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if old is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, old)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    write_scratch(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,8 +109,8 @@ def connected_components(edges: DataFrame, name: str, max_rounds: int = 60) -> D
     def settled(e: DataFrame) -> tuple[DataFrame, tuple]:
         seen, path = Observation(), scratch_path(spark, name)
         e = e.distinct()
-        e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
-                  ).write.parquet(path)
+        write_scratch(e.observe(seen, F.count(F.lit(1)).alias("n"),
+                                F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), path)
         return spark.read.schema(e.schema).parquet(path), (seen.get["n"], seen.get["sum"])
 
     edges, before = settled(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")))
