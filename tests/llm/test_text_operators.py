@@ -125,28 +125,89 @@ def test_ctw_beats_the_word_model_on_held_out_texts(spark):
     assert held["sum(score)"] > held["sum(base_score)"]
 
 
+def own_chunks(text):
+    """Chunk ends byte by byte: a gear hash of the last 32 bytes, 24 to 256 bytes a chunk."""
+    gear, state, ends, at = substring.gear_table().tolist(), 0, [], 0
+
+    def long_chunks(end):
+        nonlocal at
+        while end - at > 256:
+            at += 256
+            while text[at] & 0xC0 == 0x80:
+                at -= 1
+            ends.append(at)
+
+    for i, byte in enumerate(text):
+        state = (2 * state + gear[byte]) % 2**32
+        end = i + 1
+        if end < len(text) and state >> 27 == 0 and text[end] & 0xC0 != 0x80 and end - at >= 24:
+            long_chunks(end)
+            if end - at >= 24:
+                ends.append(end)
+                at = end
+    long_chunks(len(text))
+    return ends + ([len(text)] if at < len(text) else [])
+
+
 def brute_substrings(docs):
-    """First occurrences by digest over whole chunk lists, in doc order."""
-    rows = sorted(enumerate(docs), key=lambda x: x[1]["doc_id"])
-    seen, out = set(), {}
-    for i, d in rows:
-        text = (d["text"] or "").encode()
-        ends, runs, last = substring.chunk_ends([text])[0], [], None
-        for digest, a, b in zip(substring.digests(text, ends), [0, *ends], ends):
-            if digest in seen:
-                if last == a:
-                    runs[-1][1] = b
-                else:
-                    runs.append([a, b])
-                last = b
-            seen.add(digest)
-        for a, b in reversed(runs):
-            if b - a >= substring.MIN_RUN:
-                text = text[:a] + text[b:]
+    """Runs of chunks seen before, extended to agree with their first
+    occurrence, over whole chunk lists in doc order."""
+    first, out, texts = {}, {}, {}
+    space = lambda b: b in b" \t\n\r\x0b\x0c"
+    for i, d in sorted(enumerate(docs), key=lambda x: x[1]["doc_id"]):
+        text = texts[i] = (d["text"] or "").encode()
+        runs, last, starts = [], None, [0, *own_chunks(text)]
+        for a, b in zip(starts, starts[1:]):
+            chunk = text[a:b]
+            if chunk not in first:
+                first[chunk] = (i, a)
+                continue
+            j, at = first[chunk]
+            if last == a:
+                runs[-1][1], runs[-1][3] = b, (j, at + b - a)
+            else:
+                runs.append([a, b, (j, at), (j, at + b - a)])
+            last = b
+        spans = []
+        for a, b, (j, x), (k, y) in runs:
+            floor = spans[-1][1] if spans else 0
+            for n in range(256):
+                if a - 1 < floor or x - 1 < 0 or text[a - 1] != texts[j][x - 1]:
+                    break
+                a, x = a - 1, x - 1
+            for n in range(256):
+                if b >= len(text) or y >= len(texts[k]) or text[b] != texts[k][y]:
+                    break
+                b, y = b + 1, y + 1
+            a, b = max(a, floor), max(b, floor)
+            if spans and a == floor:
+                spans[-1][1] = b
+            else:
+                spans.append([a, b])
+
+        def at_word(p):
+            return p in (0, len(text)) or space(text[p - 1]) or space(text[p])
+
+        for a, b in reversed(spans):
+            begin = next((p for p in range(a, min(b, a + 64) + 1) if at_word(p)), None)
+            if begin is None:
+                begin = next((p for p in range(a, b + 1) if p == b or text[p] & 0xC0 != 0x80))
+            end = next((p for p in range(b, max(begin, b - 64) - 1, -1) if at_word(p)), None)
+            if end is None:
+                end = next(p for p in range(b, begin - 1, -1) if p in (begin, len(text)) or text[p] & 0xC0 != 0x80)
+            if begin < end - 1 and space(text[begin]) and space(text[end - 1]):
+                begin += 1
+            if end - begin >= substring.MIN_RUN:
+                text = text[:begin] + text[end:]
         out[i] = text.decode()
     return [out[i] for i in range(len(docs))]
 
 
+def test_chunks_are_those_of_a_byte_loop(documents):
+    texts = [(d["text"] or "").encode() for d in dicts(documents)[:60]] + [b"", b"a", b"x" * 3000, "é".encode() * 700]
+    assert substring.chunk_ends(texts) == [own_chunks(t) for t in texts]
+
+
 def test_substrings(documents):
     docs = dicts(documents)
     got = substring.dedup_substrings(documents)
@@ -174,21 +235,60 @@ def test_substrings_edges(edges):
     assert substring.dedup_substrings(edges.limit(0)).collect() == []
 
 
-def test_passage_repeated_across_documents_is_cut_from_all_but_one(spark):
-    import random
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
 
-    rng = random.Random(3)
 
-    def prose(n):
-        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+@pytest.mark.parametrize("n_words", [52, 60, 120, 900])
+def test_passages_are_cut_whole_from_all_but_the_first(spark, n_words, monkeypatch):
+    import random
 
-    passage = prose(60)
-    docs = spark.createDataFrame([(i, f"{prose(80 + i)} {passage} {prose(90)}") for i in range(20)],
-                                 "doc_id long, text string")
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 30_000)
+    rng = random.Random(n_words)
+    passages = [prose(rng, n_words) for _ in range(8)]
+    texts = [f"{prose(rng, 80 + i)} {passages[i % 8]} {prose(rng, 90)}" for i in range(48)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     out = {r["doc_id"]: r["text"] for r in substring.dedup_substrings(docs).collect()}
-    middle = " ".join(passage.split()[20:40])
-    assert [i for i in range(20) if middle in out[i]] == [0]
-    assert all(len(out[i].split()) >= 170 + i for i in range(20))
+    left = total = 0
+    for i, text in enumerate(texts):
+        passage, rest = passages[i % 8], text.replace(passages[i % 8], "").split()
+        if i < 8:
+            assert out[i] == text
+            continue
+        total += len(passage)
+        left += max(0, len(out[i]) - len(" ".join(rest)))
+        assert [w for w in rest if w not in out[i].split()] == []  # nothing else is lost
+    assert left <= 0.05 * total
+
+
+def test_a_passage_in_every_document_is_no_hot_group(spark, monkeypatch):
+    """A digest of all documents is joined, not gathered; places are read once."""
+    import random
+
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 20_000)
+    rng = random.Random(1)
+    passage = prose(rng, 100)
+    docs = spark.createDataFrame([(i, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for i in range(400)],
+                                 "doc_id long, text string").repartition(8)
+    out = {r["doc_id"]: r["text"] for r in substring.dedup_substrings(docs).collect()}
+    assert [i for i in out if passage in out[i]] == [0] and all(len(out[i]) < 500 for i in range(1, 400))
+    plan = substring.deduplicated(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_texts_of_one_id_and_without_id(spark):
+    """Equal ids with different texts, null ids, and repeated rows."""
+    import random
+
+    rng = random.Random(2)
+    passage = prose(rng, 80)
+    rows = [(1, f"{prose(rng, 40)} {passage}") for _ in range(6)] + [(None, f"{passage} {prose(rng, 40)}") for _ in range(3)]
+    rows += [(2, prose(rng, 90))] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = [r["text"] for r in substring.dedup_substrings(docs).collect()]
+    assert len(out) == len(rows)
+    assert sum(passage in t for t in out) == 1  # whichever comes first by hash
+    assert sum(t == rows[-1][1] for t in out) == 1 and out.count("") == 4
 
 
 def test_chunks_resist_an_insertion():
@@ -199,6 +299,5 @@ def test_chunks_resist_an_insertion():
     text = bytes(rng.choice(b"abcdefgh ") for _ in range(5000))
     plain, shifted = (set(substring.digests(t, substring.chunk_ends([t])[0])) for t in (text, b"zz" + text))
     assert len(plain & shifted) >= 0.9 * len(plain)
-    assert all(len(e) == 0 or e[-1] == n for n, e in ((0, substring.chunk_ends([b""])[0]),))
     ends = substring.chunk_ends(["é".encode() * 4000])[0]
     assert ends[-1] == 8000 and all(e % 2 == 0 for e in ends)
