@@ -1,21 +1,29 @@
 """Licence scan by Dice coefficient over word bigrams (operator 8), DataFrame
 only.
 
-Every line of a document, and the whole text, is normalised and cut into its
-set of word bigrams.  A template of s bigrams can reach the threshold t with a
-unit of u only if u t / (2 - t) <= s <= u (2 - t) / t, so most units have no
-candidate and are dropped before any comparison.  Rows are exploded, filtered
-and compared in place; nothing is shuffled.
-
-Defined cases: null and empty texts have no units; a unit of fewer than two
-words has no bigrams; equal scores take the template of the greatest name;
-repeated rows are reported once each; other columns are ignored.
+The whole text is normalised to words, so a notice is found in running text
+and over line breaks.  A template of L words is compared with the windows of L
+words that begin with one of its bigrams, by the Dice coefficient of the two
+bigram sets.  Of hits that overlap the best one stays: by score, then length,
+then place, then name.
+
+Size bounds prune twice before any window is compared.  A template of s
+bigrams reaches the threshold t only with s t / (2 - t) of them at least; so a
+text without one word of each of the rarest s - s t / (2 - t) + 1 bigrams
+cannot match (a plain search in the text), nor one that holds fewer of its
+bigrams.  Everything is evaluated in place; nothing is shuffled.
+
+Defined cases: null and empty texts have no words; a text of fewer than two
+words has no bigrams; a window at the end of the text may be shorter; repeated
+rows are reported once each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,48 +61,113 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Parts of full licence texts (fixed values).
+_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+    "SOFTWARE.")
+_NOTICE_KEPT = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution.")
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_ISC_END = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE.")
+_BY_NAME = dict(TEMPLATES)
+TEMPLATES += (
+    ("BSD-2-Clause-text", f"{_BSD_START} {_BSD_END}"),
+    ("BSD-3-Clause-text", f"{_BSD_START} {_BSD_THIRD} {_BSD_END}"),
+    ("ISC-text", f"{_BY_NAME['ISC']} {_ISC_END}"),
+    ("MIT-text", f"{_BY_NAME['MIT-grant'].removesuffix('.')}, subject to the following conditions: {_NOTICE_KEPT} {_WARRANTY}"),
+)
+
 
 def normalised(text: str) -> list[str]:
     """Words of a template: lower case, letters, digits and inner dots."""
     return re.sub(r"\.( |$)", " ", re.sub("[^a-z0-9.]+", " ", text.lower())).split()
 
 
-def template_bigrams(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
-    return [(name, sorted({f"{a} {b}" for a, b in zip(w, w[1:])}))
-            for name, w in ((n, normalised(t)) for n, t in templates)]
+class Template:
+    """A template's words as a sorted set of bigrams, and its bounds."""
+
+    def __init__(self, name: str, text: str, threshold: float):
+        words = normalised(text)
+        self.name, self.pairs, self.n_words = name, sorted({f"{a} {b}" for a, b in zip(words, words[1:])}), len(words)
+        self.fewest = math.ceil(len(self.pairs) * threshold / (2 - threshold) - 1e-9)  # bigrams that a match shares
+        # Of these bigrams a match has one at least, so a text without their longest words has none.
+        missing = len(self.pairs) - self.fewest + 1
+        longest = sorted((max(p.split(), key=len) for p in self.pairs), key=lambda w: (-len(w), w))
+        self.keys = sorted(set(longest[:missing]))
+
+
+def _found(template: Template, pairs, threshold: float):
+    """Array of the hits (begin, end, dice, name) of one template; ``pairs``:
+    the text's bigrams, by place."""
+    own = F.array(*map(F.lit, template.pairs))
+    places = F.filter(F.transform(pairs, lambda p, i: F.when(F.array_contains(own, p), i)), lambda i: i.isNotNull())
+
+    def hit(i):
+        window = F.slice(pairs, i + 1, template.n_words - 1)
+        shared = 2.0 * F.size(F.array_intersect(window, own))
+        return F.struct(i.alias("begin"), F.least(i + template.n_words, F.size(pairs) + 1).alias("end"),
+                        (shared / (F.size(F.array_distinct(window)) + len(template.pairs))).alias("dice"),
+                        F.lit(template.name).alias("name"))
+
+    hits = F.filter(F.transform(places, hit), lambda h: h["dice"] >= threshold)
+    return F.when(F.size(places) >= template.fewest, hits)
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per unit that matches: doc_id, line (0 the whole text, else
-    the line's number), licence, dice, n_bigrams."""
-    known = template_bigrams(templates)
-    wide = (2 - threshold) / threshold
-    fewest = min(len(b) for _, b in known)
-    least = math.ceil(fewest / wide - 1e-9)
-    most = math.floor(max(len(b) for _, b in known) * wide + 1e-9)
-    units = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
-    units = units.select("doc_id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("line", "unit"))
-    plain = F.regexp_replace(F.regexp_replace(F.lower("unit"), "[^a-z0-9.]+", " "), r"\.( |$)", " ")
-    # A unit of b bytes has fewer than b / 2 bigrams.  What follows is chosen
-    # by WHEN and by the last explode, not by filters: those would be pushed
-    # down and evaluate the expressions below them again.
-    units = units.where(F.octet_length("unit") >= 2 * least + 1)
-    units = units.select("doc_id", "line", F.split(F.btrim(plain), " +").alias("words"))
-    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1),
-                        lambda i: F.concat(F.get("words", i - 1), F.lit(" "), F.get("words", i)))
-    units = units.select("doc_id", "line", F.when(F.size("words") > least, F.array_distinct(pairs)).alias("pairs"))
-    table = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(len(b)).alias("n"),
-                               F.array(*map(F.lit, b)).alias("pairs")) for n, b in known))
-    n = F.size("pairs")
-    near = F.filter(table, lambda t: (t["n"] * wide >= n - 1e-9) & (t["n"] <= n * wide + 1e-9))
-    scored = F.transform(near, lambda t: F.struct(
-        (2.0 * F.size(F.array_intersect("pairs", t["pairs"])) / (t["n"] + n)).alias("dice"), t["name"].alias("name")))
-    units = units.select("doc_id", "line", n.alias("n"),
-                         F.when(n.between(least, most), F.array_max(scored)).alias("best"))
-    found = units.select("doc_id", "line", "n", F.explode(
-        F.when(F.col("best.dice") >= threshold, F.array("best"))).alias("best"))
-    return found.select("doc_id", F.col("line").cast("int").alias("line"), F.col("best.name").alias("licence"),
-                        F.col("best.dice").alias("dice"), F.col("n").alias("n_bigrams"))
+    """One row per hit: doc_id, word (the first word's number), n_words,
+    licence, dice."""
+    known = [Template(name, text, threshold) for name, text in templates]
+    rows = docs.select(docs["doc_id"].alias("doc_id"), F.lower(text_of(docs)).alias("text"))
+
+    def has_key(t: Template):
+        return reduce(or_, (F.contains("text", F.lit(k)) for k in t.keys))
+
+    keys = sorted({k for t in known for k in t.keys})
+    rows = rows.where(reduce(or_, (F.contains("text", F.lit(k)) for k in keys)))
+    plain = F.regexp_replace(F.regexp_replace("text", "[^a-z0-9.]+", " "), r"\.( |$)", " ")
+    rows = rows.select("doc_id", F.array(*map(has_key, known)).alias("asked"), F.split(F.btrim(plain), " +").alias("words"))
+    # Nothing is filtered from here on: a filter would be pushed down and evaluate what it reads again.
+    pairs = F.transform(F.slice("words", 2, F.greatest(F.lit(0), F.size("words") - 1)),
+                        lambda w, i: F.concat(F.get("words", i), F.lit(" "), w))
+    rows = rows.select("doc_id", "asked", pairs.alias("pairs"))
+    nothing = F.array().cast("array<struct<begin:int,end:int,dice:double,name:string>>")
+    hits = F.flatten(F.array(*(F.coalesce(F.when(F.get("asked", F.lit(k)), _found(t, F.col("pairs"), threshold)), nothing)
+                               for k, t in enumerate(known))))
+    rows = rows.select("doc_id", hits.alias("hits"))
+
+    def better(a, b):
+        length = (a["end"] - a["begin"]) - (b["end"] - b["begin"])
+        later = (a["begin"] < b["begin"]) | (a["begin"] == b["begin"]) & (a["name"] < b["name"])
+        longer = (length > 0) | (length == 0) & later
+        return (a["dice"] > b["dice"]) | (a["dice"] == b["dice"]) & longer
+
+    best = F.filter("hits", lambda h: ~F.exists("hits", lambda g: (g["begin"] < h["end"]) & (h["begin"] < g["end"]) & better(g, h)))
+    return rows.select("doc_id", F.explode(best).alias("h")).select(
+        "doc_id", F.col("h.begin").alias("word"), (F.col("h.end") - F.col("h.begin")).alias("n_words"),
+        F.col("h.name").alias("licence"), F.col("h.dice").alias("dice"))
 
 
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,19 +175,36 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    values = ", ".join("('{}', [{}])".format(n, ", ".join(f"'{p}'" for p in b)) for n, b in template_bigrams(templates))
+    """Windows as joins of numbered bigrams, without the bounds."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    notices = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in templates)
+    plain = ("string_split_regex(trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9.]+', ' ', 'g'), "
+             "'\\.( |$)', ' ', 'g')), ' +')")
     return f"""
-WITH templates(name, pairs) AS (VALUES {values}),
-units AS (SELECT doc_id, unnest(list_concat([text], string_split(text, chr(10)))) AS unit,
-                 unnest(range(0, len(string_split(text, chr(10))) + 1)) AS line FROM documents WHERE text IS NOT NULL),
-words AS (SELECT doc_id, line, string_split_regex(trim(regexp_replace(regexp_replace(lower(unit),
-          '[^a-z0-9.]+', ' ', 'g'), '\\.( |$)', ' ', 'g')), ' +') AS w FROM units),
-bigrams AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
-            AS pairs FROM words WHERE len(w) > 1),
-scored AS (SELECT doc_id, line, name, len(b.pairs) AS n,
-                  2.0::DOUBLE * len(list_intersect(b.pairs, t.pairs)) / (len(t.pairs) + len(b.pairs)) AS dice
-           FROM bigrams b, templates t)
-SELECT doc_id, CAST(line AS INTEGER) AS line, arg_max(name, (dice, name)) AS licence, max(dice) AS dice,
-       CAST(any_value(n) AS INTEGER) AS n_bigrams
-FROM scored WHERE dice >= {threshold} GROUP BY doc_id, line
+WITH notices(name, body) AS (VALUES {notices}),
+shapes AS (SELECT name, {plain.format('body')} AS w FROM notices),
+parts AS (SELECT name, len(w) AS size, unnest(list_distinct(list_transform(range(1, len(w)),
+            lambda i: w[i] || ' ' || w[i + 1]))) AS pair FROM shapes),
+sizes AS (SELECT name, any_value(size) AS size, count(*) AS s FROM parts GROUP BY name),
+texts AS (SELECT row_number() OVER () AS r, doc_id, {plain.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+pairs AS (SELECT r, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair,
+            unnest(range(0, len(w) - 1)) AS place FROM texts WHERE len(w) > 1),
+held AS (SELECT r, place, name, size, p.pair FROM pairs p JOIN parts USING (pair)),
+often AS (SELECT r, name FROM held GROUP BY r, name
+          HAVING count(DISTINCT pair) >= {threshold} / 2 * any_value((SELECT s FROM sizes z WHERE z.name = held.name))),
+starts AS (SELECT h.r, h.name, h.size, h.place FROM held h SEMI JOIN often USING (r, name)),
+shared AS (SELECT a.r, a.name, a.place, count(DISTINCT b.pair) AS c FROM starts a
+           JOIN held b ON a.r = b.r AND a.name = b.name AND b.place BETWEEN a.place AND a.place + a.size - 2
+           GROUP BY ALL),
+widths AS (SELECT a.r, a.name, a.place, count(DISTINCT b.pair) AS u, max(b.place) + 2 AS last FROM starts a
+           JOIN pairs b ON a.r = b.r AND b.place BETWEEN a.place AND a.place + a.size - 2 GROUP BY ALL),
+hits AS (SELECT r, name, place AS b, last AS e, 2.0::DOUBLE * c / (u + s) AS dice
+         FROM shared JOIN widths USING (r, name, place) JOIN sizes USING (name)
+         WHERE 2.0::DOUBLE * c / (u + s) >= {threshold})
+SELECT doc_id, CAST(h.b AS INTEGER) AS word, CAST(h.e - h.b AS INTEGER) AS n_words, h.name AS licence, h.dice
+FROM hits h JOIN texts USING (r)
+WHERE NOT EXISTS (SELECT 1 FROM hits g WHERE g.r = h.r AND g.b < h.e AND h.b < g.e
+  AND (-g.dice, g.b - g.e, g.b, g.name) < (-h.dice, h.b - h.e, h.b, h.name))
 """

@@ -164,7 +164,8 @@ def test_written_shards(spark, edges, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_registered_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for view in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SF}/{view}.parquet')")
     expected = con.execute(ORACLE_SQL[name])
     names = [d[0] for d in expected.description]
     got = QUERIES[name](spark, SF)
@@ -181,32 +182,63 @@ def test_shards_against_sql_with_a_small_limit(spark, documents):
 
 
 def brute_licences(docs, threshold=licences.THRESHOLD):
+    """Every window of every template, word by word."""
     import re
 
-    known, out = licences.template_bigrams(), []
+    def cut(text):
+        return re.sub(r"\.( |$)", " ", re.sub("[^a-z0-9.]+", " ", text.lower())).split()
+
+    def bigrams(w):
+        return [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+    known, out = [(n, cut(t), set(bigrams(cut(t)))) for n, t in licences.TEMPLATES], []
     for d in docs:
-        text = d["text"]
-        if text is None:
+        w, hits = cut(d["text"] or ""), []
+        if not any(k in (d["text"] or "").lower() for k in ("licen", "permission", "permitted", "public", "author")):
             continue
-        for line, unit in enumerate([text, *text.split("\n")]):
-            w = re.sub(r"\.( |$)", " ", re.sub("[^a-z0-9.]+", " ", unit.lower())).split()
-            pairs = {f"{a} {b}" for a, b in zip(w, w[1:])}
-            if pairs:
-                dice, name = max((2 * len(pairs & set(b)) / (len(pairs) + len(b)), n) for n, b in known)
-                if dice >= threshold:
-                    out.append((d["doc_id"], line, name, dice, len(pairs)))
+        for name, own, pairs in known:
+            for i, first in enumerate(bigrams(w)):
+                if first in pairs:
+                    window = bigrams(w[i:i + len(own)])
+                    dice = 2 * len(pairs & set(window)) / (len(pairs) + len(set(window)))
+                    if dice >= threshold:
+                        end = min(len(w), i + len(own))
+                        hits.append((-dice, i - end, i, name, end))
+        for h in hits:
+            if not any(g[2] < h[4] and h[2] < g[4] and g < h for g in hits):
+                out.append((d["doc_id"], h[2], h[4] - h[2], h[3], -h[0]))
     return out
 
 
+def wrapped(text, width):
+    import textwrap
+
+    return "\n".join(f" * {line}" for line in textwrap.wrap(text, width))
+
+
 def test_licences(spark, table):
-    more = spark.createDataFrame([(5000, "X\nreleased under the  MIT license\nnot a licence at all"),
-                                  (5001, licences.TEMPLATES[15][1].replace(",", "\t")),
-                                  (5002, "Licensed under the Apache License, Version 2.0. twice over and over again"),
-                                  (5003, "Released under the MIT License.")], "doc_id long, text string")
-    docs = table.select("doc_id", "text").unionByName(more)
+    full, words = dict(licences.TEMPLATES), "some other words of the file itself"
+    more = spark.createDataFrame([
+        (5000, "X\nreleased under the  MIT license\nnot a licence at all"), (5001, full["MIT-grant"].replace(",", "\t")),
+        (5002, "Licensed under the Apache License, Version 2.0. twice over and over again"),
+        (5003, "Released under the MIT License."), (5004, "Copyright 2021 Acme. Released under the MIT License."),
+        (5005, f"{words}\n{wrapped(full['AGPL-3.0'], 40)}\n{words}"), (5006, wrapped("MIT License " + full["MIT-text"], 60)),
+        (5007, f"{words}. {full['BSD-3-Clause-text']} {words}. {full['Apache-2.0-header']}"),
+        (5008, wrapped(full["ISC-text"].replace("THE SOFTWARE", "THIS SOFTWARE"), 72)),
+        (5009, "Released under the MIT License. Released under the BSD 2-Clause License. Licensed under CC BY 4.0."),
+        (5010, "The license of the driver was taken; permission to copy it was not granted, in public.")],
+        "doc_id long, text string")
+    docs = table.withColumn("words", F.lit("clash")).withColumn("pairs", F.lit(1)).unionByName(more, allowMissingColumns=True)
     got = licences.scan(docs)
+    assert got.columns == ["doc_id", "word", "n_words", "licence", "dice"]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_licences(dicts(docs)), key=str)
-    assert {r.doc_id for r in got.collect()} >= {5000, 5001, 5003}
+    found = {}
+    for r in got.where("doc_id >= 5000 and doc_id < 6000").orderBy("word").collect():
+        found.setdefault(r.doc_id, []).append(r.licence)
+    assert found == {5000: ["MIT"], 5001: ["MIT-grant"], 5002: ["Apache-2.0"], 5003: ["MIT"], 5004: ["MIT"], 5005: ["AGPL-3.0"],
+                     5006: ["MIT-text"], 5007: ["BSD-3-Clause-text", "Apache-2.0-header"], 5008: ["ISC"],  # its unchanged part
+                     5009: ["MIT", "BSD-2-Clause", "CC-BY-4.0"]}
+    assert licences.scan(docs.limit(0)).collect() == []
     plan = licences.op8_licence_scan(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
 
