@@ -9,8 +9,9 @@ every ``SAMPLE`` places; all phrases are searched backward together, and
 occurrences are located by stepping to the next sample.  Spans of hit words
 are merged per document.  Nothing is shuffled.
 
-The test phrases are taken in groups of at most ``GROUP_BYTES`` of text, one
-pass over the documents each, so what a task holds of them is bounded.
+The test phrases are taken in groups of about ``GROUP_BYTES`` of text, one
+pass over the documents each; the passes but the last are written, so a plan,
+a task and the driver hold the phrases of one group.
 
 A phrase is ``WINDOW`` consecutive words of an item, or all words of a
 shorter one.  Words: letters a-z (A-Z lower-cased), digits and every
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import chunks, joined_rows, read_table, split_rows
+from mercato.llm.common import chunks, joined_rows, read_table, split_rows, written
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -205,7 +206,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataF
     kind, last = out.schema, Phrases([])
     for i, phrases in enumerate(phrase_groups(benchmark, window)):
         if i:
-            out = out.mapInArrow(_search(last), kind)
+            out = written(out.mapInArrow(_search(last), kind), "searched")
         last = phrases
     return out, last
 
