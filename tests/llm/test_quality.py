@@ -21,10 +21,13 @@ def rates(d):
     return [math.floor(v * q.GRID + 0.5) / q.GRID for v in x]
 
 
-def factor(y, scale):
-    m = y.mean(0)
-    v = scale * (y.T @ y - len(y) * np.outer(m, m)) + np.diag([q.PRIOR * s * s for s in q.SPREAD])
-    return m, np.linalg.cholesky(v / (len(y) + q.PRIOR))
+def factor(y, scale, about=None):
+    """Centre and Cholesky factor, shrunk as the operator states it."""
+    m = y.mean(0) if about is None else np.zeros(P)
+    unit = np.ones(P) if about is None else about
+    share = max(q.PRIOR / (len(y) + q.PRIOR), q.LEAST_SHARE)
+    v = (1 - share) * scale * np.outer(unit, unit) * (y.T @ y / len(y) - np.outer(m, m))
+    return m, np.linalg.cholesky(v + share * np.diag(np.square(q.SPREAD)))
 
 
 def distance(y, estimate):
@@ -36,22 +39,73 @@ def estimate(x):
     b = np.median(x, axis=0)
     y = x - b
     a = np.median(np.floor(np.abs(y) * q.GRID + 0.5) / q.GRID, axis=0)
-    e = np.zeros(P), np.diag(np.maximum(1.4826 * a, q.SPREAD))
-    for _ in range(q.STEPS):
-        bins = np.floor(np.log(distance(y, e) + 1e-6) * q.BINS)
-        half, near, c = math.ceil((len(y) + P + 1) / 2), np.zeros(len(y), bool), 0
-        for k in np.unique(bins):
-            if c >= half:
-                break
-            near |= bins == k
-            c = near.sum()
-        e = factor(y[near], q.HALF_FACTOR)
+    w = np.maximum(1.4826 * a, q.SPREAD)
+    scaled = y / w
+    norm = np.linalg.norm(scaled, axis=1)[:, None]
+    ends = []
+    for e in ((np.zeros(P), np.diag(w)), factor(np.tanh(scaled), 2.5, w),
+              factor(np.divide(scaled, norm, out=np.zeros_like(scaled), where=norm > 0), P, w)):
+        for _ in range(q.STEPS):
+            bins = np.floor(np.log(distance(y, e) + 1e-6) * q.BINS)
+            half, near, c = math.ceil((len(y) + P + 1) / 2), np.zeros(len(y), bool), 0
+            for k in np.unique(bins):
+                if c >= half:
+                    break
+                near |= bins == k
+                c = near.sum()
+            e = factor(y[near], q.HALF_FACTOR)
+        ends.append(e)
+    e = min(ends, key=lambda e: round(float(np.log(np.diag(e[1])).sum()), 9))
     near = distance(y, e) <= q.REWEIGHT
     if near.any():
         e = factor(y[near], q.REWEIGHT_FACTOR)
     return e[0] + b, e[1]
 
 
+def test_the_least_determinant_of_all_subsets_on_small_groups(spark):
+    """Against every half of small groups: outliers end outside of the same estimate."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(3)
+    rows, clean = [], {}
+    for g in range(6):
+        x = np.array([1.7, 0.02, 0.3, 0.3, 0.02]) + rng.normal(size=(12, P)) * np.array(q.SPREAD) * 0.3
+        x[9:] += np.array([0.9, 0.5, 0.4, 0.6, 0.7]) * (1 + g % 3)
+        x = np.round(x, 3)
+        h = math.ceil((len(x) + P + 1) / 2)
+        ends = [(np.linalg.slogdet(np.cov(x[list(s)].T, bias=True) + 0.8 * np.diag(np.square(q.SPREAD)))[1], s)
+                for s in combinations(range(len(x)), h)]
+        best = x[list(min(ends)[1])]
+        scatter = np.cov(best.T, bias=True) * q.HALF_FACTOR + np.diag(np.square(q.SPREAD))
+        d = np.einsum("ij,jk,ik->i", x - best.mean(0), np.linalg.inv(scatter), x - best.mean(0))
+        clean[str(g)] = {i for i in range(len(x)) if d[i] <= q.CUTOFF}
+        rows += [(str(g), i, *map(float, r)) for i, r in enumerate(x)]
+    names = [f"x{k}" for k in range(P)]
+    df = spark.createDataFrame(rows, "grp string, i int, " + ", ".join(f"{n} double" for n in names))
+    scored = q._distance(df.withColumnsRenamed({f"x{k}": f"y{k}" for k in range(P)}), q.mcd(df.select("grp", *names)))
+    kept = defaultdict(set)
+    for r in scored.where(F.col("d") <= q.CUTOFF).collect():
+        kept[r["grp"]].add(r["i"])
+    assert dict(kept) == clean == {str(g): set(range(9)) for g in range(6)}
+
+
+def test_the_smallest_of_several_ends_counts(spark):
+    """Two clusters: starts that end at the wide one lose against the tight one."""
+    est = [("g", s, *[0.0] * P, *[size if i == j else 0.0 for i, j in q.PAIRS]) for s, size in enumerate((0.3, 0.1, 0.1))]
+    df = spark.createDataFrame(est, "grp string, start int, " + ", ".join(f"{c} double" for c in q.ESTIMATE))
+    got = q.least_determinant(df).collect()
+    assert len(got) == 1 and got[0]["l00"] == 0.1
+
+
+def test_rows_are_not_shuffled_by_group(documents, monkeypatch):
+    """Few estimates are broadcast; with many the join is left to Spark."""
+    plan = q.judged(documents, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = {str(r) for r in q.judged(documents, ["doc_id"]).select("row", "kept", F.round("distance", 6)).collect()}
+    monkeypatch.setattr(q, "SMALL", 0)
+    assert {str(r) for r in q.judged(documents, ["doc_id"]).select("row", "kept", F.round("distance", 6)).collect()} == few
+
+
 @pytest.fixture(scope="module", params=["documents", "edges"])
 def table(request, documents, edges):
     return {"documents": documents, "edges": edges}[request.param]
