@@ -15,8 +15,8 @@ one class; only classes are joined.
    stars, at most n - 1 links, never its pairs.  The components of these links hold
    every linked pair that met in some tree.
 3. Within each component the full sets are compared.  A component of more
-   than ``BLOCK`` classes is compared in pairs of blocks, each a task's group
-   of its own.  Again only stars leave a group.
+   than ``BLOCK`` classes, or ``SET_BYTES`` of sets, is compared in pairs of
+   blocks, each a task's group of its own.  Again only stars leave a group.
 
 Recall: classes at the threshold similarity s meet in a tree with
 probability s at a first-level leaf, and miss each other in all trees with
@@ -50,7 +50,8 @@ TREES = 16
 LEAF = 2048
 SPLIT_PER_CENT = 18  # nodes that branch twice: 1.18 branches * 0.85 = 1
 MAX_LEVELS = 6
-BLOCK = 2048
+BLOCK = 2048  # classes that one side of an exact comparison holds at most, about
+SET_BYTES = 32 << 20  # and bytes of their shingle sets
 MATCHES = 38  # of 64 sketch bytes; a pair at 0.85 expects 54.5, deviation 2.9
 SLICE_BYTES = 4 << 20
 
@@ -317,14 +318,17 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame) ->
                 [pa.array([class_id(s) for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["cls", "shingles"])
 
-    members = classes.join(clusters, classes["id"] == clusters["v"]).select("cls", "doc_id", F.col("c").alias("cluster"))
+    members = classes.join(clusters, classes["id"] == clusters["v"]).select(
+        "cls", "doc_id", "n_shingles", F.col("c").alias("cluster"))
     members = written(members, "members")
     texts = docs.select(docs["doc_id"].cast("long").alias("of"), text_of(docs).alias("text"))
     wanted = members.select("doc_id").distinct()
     sets = texts.join(wanted, texts["of"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text").mapInArrow(
         shingles, "cls binary, shingles binary").groupBy("cls").agg(F.first("shingles").alias("shingles"))
-    # Clusters of more than BLOCK classes are compared in pairs of blocks.
-    count = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # Large clusters are compared in pairs of blocks.
+    by_bytes = F.ceil(F.sum("n_shingles") * 8 / SET_BYTES)
+    count = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), by_bytes).cast("int").alias("blocks"))
     dealt = members.join(count, "cluster").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cls", F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("pair"),
@@ -339,7 +343,8 @@ def linked(docs: DataFrame) -> DataFrame:
     reachable, null for the empty set."""
     signed = written(signatures(docs), "signatures")
     classes = written(signed.where("n_shingles > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")).withColumn(
+        F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"),
+        F.first("tokens").alias("tokens")).withColumn(
         "id", F.xxhash64("cls")), "classes")
     clusters = candidate_clusters(classes.select("id", "tokens"))
     links = connected_components(confirmed_links(docs, classes, clusters), "classes")

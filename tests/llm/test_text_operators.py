@@ -71,6 +71,14 @@ def test_one_document_of_each_component_stays(spark, table):
         assert sum(left[s] for s in {str(d) for d in members if not ids or d["doc_id"] == min(ids)}) == 1
 
 
+def test_near_duplicates_with_blocks_by_bytes(documents, monkeypatch):
+    monkeypatch.setattr(neardup, "SET_BYTES", 4000)  # two or three sets
+    got = neardup.components(documents)
+    expected = brute.near_components(dicts(documents))
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == sorted(
+        expected, key=str)
+
+
 def test_near_duplicates_with_branching_and_blocks(documents, monkeypatch):
     expected = sorted(brute.near_components(dicts(documents)))
     monkeypatch.setattr(neardup, "LEAF", 2)
