@@ -101,6 +101,11 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], int]) -> int:
     return rows
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder and all below it."""
+    _Files(spark, path).delete("")
+
+
 def history(spark: SparkSession, path: str) -> list[Version]:
     """The versions that can still be read, oldest first."""
     return _versions(_Files(spark, path))
