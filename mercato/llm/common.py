@@ -16,11 +16,26 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.session import scratch_dir
+from mercato.sources import versions
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for one intermediate table."""
-    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    scratch_made(spark).append(path)
+    return path
+
+
+def scratch_made(spark: SparkSession) -> list[str]:
+    """The scratch folders of this session that are still there, in order."""
+    return spark.__dict__.setdefault("_mercato_scratch", [])
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Removes scratch folders whose tables nobody reads any more."""
+    for path in paths:
+        versions.remove(spark, path)
+        scratch_made(spark).remove(path)
 
 
 SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

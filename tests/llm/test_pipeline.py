@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import os
 import re
 from collections import Counter
 
@@ -8,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from mercato.llm import quality_rules as q
+from mercato.llm.common import scratch_made
 from tests.llm import brute
 from tests.llm.conftest import SF, dicts
 from tests.llm.test_quality import distance, estimate, rates
@@ -88,8 +90,13 @@ def test_columns_are_kept(results):
 
 
 def test_run_returns_the_last_stage(spark, results):
+    before = list(scratch_made(spark))
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == results[5].columns and got.count() == results[5].count()
+    left = [p for p in scratch_made(spark) if p not in before]
+    assert len(left) == 1 and "best-fit-packing" in left[0]  # the others are removed
+    folders = os.listdir(spark.conf.get("spark.checkpoint.dir"))
+    assert not [f for f in folders if f.startswith(("quality-rules", "MinHash", "substring-dedup", "benchmark"))]
 
 
 def test_stages_take_edges_and_an_empty_table(spark, edges):
