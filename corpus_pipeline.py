@@ -2,8 +2,9 @@
 
 ``STAGES`` are applied in order; each result is written as Parquet to the
 shared folder and read back as the next stage's documents, so a lost executor
-costs the tasks of one stage.  All stages but the last return the columns of
-the documents they were given.
+costs the tasks of one stage.  When it is written, the stage's own scratch
+tables and the documents it was given are removed.  All stages but the last
+return the columns of the documents they were given.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm import decontaminate, neardup, packing, quality_rules, substring
-from mercato.llm.common import read_table, written
+from mercato.llm.common import read_table, remove_scratch, scratch_made, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, given = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
+        before = len(scratch_made(spark)) - len(given)
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        *done, output = scratch_made(spark)[before:]
+        remove_scratch(spark, done)
+        given = [output]
     return docs
