@@ -9,8 +9,8 @@ then place, then name.
 
 Size bounds prune twice before any window is compared.  A template of s
 bigrams reaches the threshold t only with s t / (2 - t) of them at least; so a
-text without one word of each of the rarest s - s t / (2 - t) + 1 bigrams
-cannot match (a plain search in the text), nor one that holds fewer of its
+text without both words of one of any s - s t / (2 - t) + 1 of its bigrams
+cannot match (a plain search in the text for those of the longest words), nor one that holds fewer of its
 bigrams.  Everything is evaluated in place; nothing is shuffled.
 
 Defined cases: null and empty texts have no words; a text of fewer than two
@@ -113,10 +113,22 @@ class Template:
         words = normalised(text)
         self.name, self.pairs, self.n_words = name, sorted({f"{a} {b}" for a, b in zip(words, words[1:])}), len(words)
         self.fewest = math.ceil(len(self.pairs) * threshold / (2 - threshold) - 1e-9)  # bigrams that a match shares
-        # Of these bigrams a match has one at least, so a text without their longest words has none.
+        # Of these bigrams a match has one at least: the text holds both its words, the longer one first here.
         missing = len(self.pairs) - self.fewest + 1
-        longest = sorted((max(p.split(), key=len) for p in self.pairs), key=lambda w: (-len(w), w))
-        self.keys = sorted(set(longest[:missing]))
+        both = sorted((sorted(p.split(), key=lambda w: (-len(w), w)) for p in self.pairs),
+                      key=lambda w: (-len(w[0]), w[0], -len(w[1]), w[1]))
+        self.keys: dict[str, set[str]] = {}
+        for long, short in both[:missing]:
+            self.keys.setdefault(long, set()).add(short)
+
+
+def _has_key(keys: dict[str, set[str]]):
+    """Whether a text holds a longer word and one of those beside it."""
+    def any_of(conditions):
+        return reduce(or_, conditions)
+
+    return any_of(F.contains("text", F.lit(long)) & any_of(F.contains("text", F.lit(w)) for w in sorted(short))
+                  for long, short in sorted(keys.items()))
 
 
 def _found(template: Template, pairs, threshold: float):
@@ -142,13 +154,13 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     known = [Template(name, text, threshold) for name, text in templates]
     rows = docs.select(docs["doc_id"].alias("doc_id"), F.lower(text_of(docs)).alias("text"))
 
-    def has_key(t: Template):
-        return reduce(or_, (F.contains("text", F.lit(k)) for k in t.keys))
-
-    keys = sorted({k for t in known for k in t.keys})
-    rows = rows.where(reduce(or_, (F.contains("text", F.lit(k)) for k in keys)))
+    every: dict[str, set[str]] = {}
+    for t in known:
+        for long, short in t.keys.items():
+            every.setdefault(long, set()).update(short)
+    rows = rows.where(_has_key(every))
     plain = F.regexp_replace(F.regexp_replace("text", "[^a-z0-9.]+", " "), r"\.( |$)", " ")
-    rows = rows.select("doc_id", F.array(*map(has_key, known)).alias("asked"), F.split(F.btrim(plain), " +").alias("words"))
+    rows = rows.select("doc_id", F.array(*(_has_key(t.keys) for t in known)).alias("asked"), F.split(F.btrim(plain), " +").alias("words"))
     # Nothing is filtered from here on: a filter would be pushed down and evaluate what it reads again.
     pairs = F.transform(F.slice("words", 2, F.greatest(F.lit(0), F.size("words") - 1)),
                         lambda w, i: F.concat(F.get("words", i), F.lit(" "), w))
