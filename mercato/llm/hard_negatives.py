@@ -75,7 +75,7 @@ def prepared(vectors: DataFrame) -> DataFrame:
     vec_id, label, x = vectors["vec_id"].cast("long"), vectors["label"].cast("int"), vectors["embedding"]
     small = F.forall(x, lambda v: F.abs(v.cast("double")) < LARGEST)
     rows = vectors.where(vec_id.isNotNull() & label.isNotNull() & finite(x) & small).select(
-        vec_id.alias("vec_id"), F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        vec_id.alias("vec_id"), F.when(vec_id % 7 == 0, ((label.cast("long") + 1) % 10).cast("int")).otherwise(label).alias("label"),
         x.alias("embedding"))
     return rows.mapInArrow(scale, "vec_id long, label int, length double, vec binary")
 
@@ -313,10 +313,10 @@ def hard_negatives(vectors: DataFrame) -> DataFrame:
             held = shared.value
             for batch in batches:
                 at, k = np.divmod(batch["list"].to_numpy(), POSITIVES)
-                named = pa.RecordBatch.from_arrays(
+                rows = pa.RecordBatch.from_arrays(
                     [pa.array(held.ids[at]), pa.array(held.positives[0][at, k]), batch["rank"], batch["id"],
                      pa.array(held.positives[1][at, k]), batch["score"]], names=[c.split()[0] for c in RESULT.split(", ")])
-                yield named.take(pa.array(np.repeat(np.arange(len(at)), held.copies[at])))
+                yield rows.take(pa.array(np.repeat(np.arange(len(at)), held.copies[at])))
 
         top(searched("best_negatives", shared), NEGATIVES).mapInArrow(named, RESULT).write.mode("append").parquet(path)
         shared.destroy()

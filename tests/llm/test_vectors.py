@@ -34,7 +34,8 @@ def odd_vectors(spark):
     rng = random.Random(2)
     rows = [(i, x, rng.choice([0, 1, 1, 1, 2, 3, None]), "c", 1) for i, x in enumerate(vectors)]
     rows += [rows[7], rows[7], (None, vectors[3], 1, "c", 1), (None, vectors[3], 2, "c", 1), (-14, vectors[1], 1, "c", 1),
-             (2**62, vectors[2], 2, "c", 1), (70, [9.0] * 8, 5, "c", 1), (100, vectors[20], 1, "c", 1)]
+             (2**62, vectors[2], 2, "c", 1), (70, [9.0] * 8, 5, "c", 1), (100, vectors[20], 1, "c", 1),
+             (49, vectors[21], 2**31 - 1, "c", 1)]
     return spark.createDataFrame(rows, SCHEMA).repartition(5)
 
 
