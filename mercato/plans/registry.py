@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import activity, gold, insight, layers, quality, silver, verify
-from mercato.session import scratch_dir
+from mercato.session import input_bytes, scratch_dir, shared_partitions
 from mercato.sources import bronze as bronze_src
 from mercato.sources import testdata
 from mercato.sources.lazy import LazyTables
@@ -34,7 +34,10 @@ def _defined(spark: SparkSession, sf_dir: str) -> dict:
     per_session = spark.__dict__.setdefault("_mercato_defined", {})
     if key not in per_session:
         b = testdata.bronze_tables(spark, sf_dir)
-        s = silver.build_silver(b, testdata.DEDUPE_ORDER).with_table("geo", lambda: b["geo"])
+        s = silver.build_silver(
+            b, testdata.DEDUPE_ORDER,
+            item_partitions=lambda: shared_partitions(spark, input_bytes(spark, [
+                testdata.path(sf_dir, t) for t in ("lineitem", "orders")]))).with_table("geo", lambda: b["geo"])
         per_session[key] = {"bronze": b, "silver": s,
                             "derived": LazyTables({"guards": lambda: quality.run_guards(b)})}
     return per_session[key]

@@ -7,7 +7,7 @@ session's time zone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -71,6 +71,28 @@ def partitions_for(spark: SparkSession, data_bytes: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
+# Steps that share one shuffle sort and aggregate each partition several times;
+# a partition of this much compressed input keeps such a task below 1 GB.
+SHARED_PARTITION_BYTES = 4 * 1024 * 1024
+SHARED_FROM_BYTES = 64 * 1024 * 1024  # smaller tables are left to adaptive execution
+
+
+def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Bytes of the files of tables, each a file or a folder (only file
+    metadata is read)."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    return int(files.agg(F.sum("length")).first()[0] or 0)
+
+
+def shared_partitions(spark: SparkSession, data_bytes: int) -> int | None:
+    """Partitions of a shuffle that several steps share, in proportion to the
+    input and without an upper limit; None for small tables.  Not fewer than
+    the session's shuffles have, so that other sides follow this one."""
+    if data_bytes < SHARED_FROM_BYTES:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-data_bytes // SHARED_PARTITION_BYTES))
+
+
 @contextmanager
 def initial_partitions(spark: SparkSession, count: int) -> Iterator[None]:
     """Shuffles start with ``count`` partitions inside; adaptive execution

@@ -146,6 +146,10 @@ DEDUPE_ORDER = {
 # The cache hangs on the session and goes with it.
 
 
+def path(sf_dir: str, table: str) -> str:
+    return f"{sf_dir}/{table}.parquet"
+
+
 class _Reader:
     """Reads test tables, each resolved at most once per session."""
 
@@ -154,10 +158,10 @@ class _Reader:
         self._seen = spark.__dict__.setdefault("_mercato_test_tables", {})
 
     def __call__(self, table: str) -> DataFrame:
-        path = f"{self.sf_dir}/{table}.parquet"
-        if path not in self._seen:
-            self._seen[path] = self.spark.read.parquet(path)
-        return self._seen[path]
+        at = path(self.sf_dir, table)
+        if at not in self._seen:
+            self._seen[at] = self.spark.read.parquet(at)
+        return self._seen[at]
 
 
 def _part_df(read: _Reader, part: Part) -> DataFrame:
