@@ -135,10 +135,25 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | Sequence[str], left_t
 
 
 MAX_LEVEL = 62
+#: Columns that name the place where a span meets its points.
+PLACE = ("__level", "__bucket")
+#: Comparisons that one task of a join by place is to make.
+TASK_COMPARISONS = 4_000_000
+
+
+def _comparisons(spans: DataFrame, points: DataFrame, at: list[str], finest: int, levels: Sequence[int]) -> int:
+    """Pairs that meet at a place; ``points`` have one row per keys and bucket
+    of the finest level, with their number."""
+    here = points.withColumn("__level", F.explode(F.array(*(F.lit(n) for n in levels))))
+    bucket = F.call_function("shiftright", F.col("__fine"), F.col("__level") - finest)
+    here = here.withColumn("__bucket", F.explode(F.array(bucket, bucket - 1)))
+    met = spans.groupBy(*at).agg(F.count(F.lit(1)).alias("__spans")).join(
+        here.groupBy(*at).agg(F.sum("__n").alias("__points")), at)
+    return int(met.agg(F.sum(F.col("__spans").cast("double") * F.col("__points"))).first()[0] or 0)
 
 
 def interval_join(spans: DataFrame, points: DataFrame, start: str, end: str, ts: str,
-                  by: str | Sequence[str] = (), rare: float = 0.01) -> DataFrame:
+                  by: str | Sequence[str] = (), rare: float = 0.01, until: str | None = None) -> DataFrame:
     """Pairs of spans and points with start <= time <= end, and equal keys
     where ``by`` names some: all columns of the span, then the point's (its
     keys are left out, clashing names get the suffix ``_right``).
@@ -151,14 +166,27 @@ def interval_join(spans: DataFrame, points: DataFrame, start: str, end: str, ts:
     the spans have are merged upwards; which are in use is one aggregate of at
     most 63 rows.  Rows without key, start, end or time match nothing, nor do
     spans that end before they start.
+
+    With ``until``, a span's column that is not before its end, all spans of
+    one start and one such time meet their points at one place, and the columns
+    ``PLACE`` that name it come last.  An aggregate by span and place, and by
+    more columns, then runs in the tasks of the join: the pairs, which may be
+    many times the input, are never moved.  For that a point is sent to two
+    buckets of each width, and the partitions follow the comparisons to make,
+    counted first.
     """
     keys = _names(by)
+    placed = until is not None
     usable = F.lit(True)
     for c in keys:
         usable = usable & F.col(c).isNotNull()
     length = micros(spans, end) - micros(spans, start)
-    level = F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(length.cast("double") + 1)).cast("int") + 1)
-    wide = spans.where(usable & (length >= 0)).withColumn("__level", level)
+    wide = spans.where(usable & (length >= 0))
+    if placed:  # wider than the span, so it ends in the bucket after its own at the latest
+        level = F.length(F.bin(micros(spans, until) - micros(spans, start)))
+    else:
+        level = F.ceil(F.log2(length.cast("double") + 1)).cast("int") + 1
+    wide = wide.withColumn("__level", F.least(F.lit(MAX_LEVEL), level))
     counts = dict(wide.groupBy("__level").count().collect())  # at most 63 rows
     kept: list[int] = []
     for n in sorted(counts, reverse=True):
@@ -173,16 +201,27 @@ def interval_join(spans: DataFrame, points: DataFrame, start: str, end: str, ts:
     def bucket(c: Column) -> Column:
         return F.call_function("shiftright", c, F.col("__level"))
 
+    at = [*keys, *PLACE]
     wide = wide.withColumn("__level", above).select(
-        F.struct(*(F.col(c).alias(c) for c in spans.columns)).alias("__span"), *keys, "__level",
+        *(F.col(c).alias(f"__s{i}") for i, c in enumerate(spans.columns)), *keys, "__level",
         micros(spans, start).alias("__from"), micros(spans, end).alias("__to"))
-    wide = wide.withColumn("__bucket", F.explode(F.array_distinct(F.array(bucket(F.col("__from")), bucket(F.col("__to"))))))
+    first, last = bucket(F.col("__from")), bucket(F.col("__to"))
+    wide = wide.withColumn("__bucket", first if placed else F.explode(F.array_distinct(F.array(first, last))))
     others = [c for c in points.columns if c not in keys]
-    some = points.where(usable & F.col(ts).isNotNull()).select(
-        F.struct(*(F.col(c).alias(c) for c in others)).alias("__point"), *keys, micros(points, ts).alias("__at"),
+    seen = points.where(usable & F.col(ts).isNotNull())
+    some = seen.select(
+        *(F.col(c).alias(f"__p{i}") for i, c in enumerate(others)), *keys, micros(points, ts).alias("__at"),
         F.explode(F.array(*(F.lit(n) for n in kept))).alias("__level"))
-    some = some.withColumn("__bucket", bucket(F.col("__at")))
-    joined = wide.join(some, [*keys, "__level", "__bucket"]).where("__at between __from and __to")
+    here = bucket(F.col("__at"))
+    some = some.withColumn("__bucket", F.explode(F.array(here, here - 1)) if placed else here)
+    if placed:
+        fine = seen.groupBy(*keys, F.call_function("shiftright", micros(points, ts), F.lit(kept[0])).alias("__fine"))
+        n = -(-_comparisons(wide, fine.agg(F.count(F.lit(1)).alias("__n")), at, kept[0], kept) // TASK_COMPARISONS)
+        if n > 1:
+            n = max(n, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            wide, some = wide.repartition(n, *at), some.repartition(n, *at)
+    joined = wide.join(some, at).where("__at between __from and __to")
     taken = set(spans.columns)
-    return joined.select("__span.*", *(F.col("__point").getField(c).alias(c + RIGHT_SUFFIX if c in taken else c)
-                                       for c in others))
+    return joined.select(*(F.col(f"__s{i}").alias(c) for i, c in enumerate(spans.columns)),
+                         *(F.col(f"__p{i}").alias(c + RIGHT_SUFFIX if c in taken else c) for i, c in enumerate(others)),
+                         *(PLACE if placed else ()))

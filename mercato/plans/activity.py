@@ -7,10 +7,10 @@ number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.temporal import asof_join, interval_join, micros, session_windows, without_zone
+from mercato.operators.temporal import PLACE, asof_join, interval_join, micros, session_windows, without_zone
 from mercato.streaming import event_stream
 
 VISIT_GAP = 6 * 3600  # seconds without an event that end a visit
@@ -65,11 +65,16 @@ def incidents(events: DataFrame) -> DataFrame:
     opened = _of_type(events, "error").select(
         F.col("event_id").alias("incident_id"), F.col("ts").alias("opened"),
         (F.col("ts") + F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))).alias("closed"))
-    inside = interval_join(opened, events.select("event_id", "user_id", "ts"), "opened", "closed", "ts")
-    per_user = inside.where("event_id <> incident_id").groupBy("incident_id", "opened", "user_id").agg(
-        F.count(F.lit(1)).alias("n"))
-    return per_user.groupBy("incident_id", "opened").agg(F.sum("n").alias("n_events"),
-                                                         F.count(F.lit(1)).alias("n_users"))
+    # An incident that comes in several rows is one: they meet the events at one place.
+    rows = opened.where("incident_id is not null and closed >= opened").groupBy("incident_id", "opened", "closed").agg(
+        F.count(F.lit(1)).alias("times"))
+    same = Window.partitionBy("incident_id", "opened")
+    spans = rows.withColumn("until", F.max("closed").over(same))
+    inside = interval_join(spans, events.select("event_id", "user_id", "ts"), "opened", "closed", "ts", until="until")
+    per_user = inside.where("event_id <> incident_id").groupBy(*PLACE, "incident_id", "opened", "user_id").agg(
+        F.sum("times").alias("n"))
+    return per_user.groupBy(*PLACE, "incident_id", "opened").agg(
+        F.sum("n").alias("n_events"), F.count(F.lit(1)).alias("n_users")).drop(*PLACE)
 
 
 def streamed_hours(spark: SparkSession, events_path: str, folder: str) -> DataFrame:

@@ -153,3 +153,45 @@ def test_times_before_1970_and_with_a_zone(spark):
     spans = df.select("id", F.col("ts").alias("a"), (F.col("ts") + F.expr("interval 15 seconds")).alias("b"))
     assert sorted(tuple(r) for r in temporal.interval_join(spans, df, "a", "b", "ts").select("id", "id_right").collect()
                   ) == [(1, 1), (1, 2), (2, 2)]
+
+
+def test_incidents_move_no_pairs(spark, monkeypatch):
+    """A brute count, with incidents in several rows, and no exchange above the join."""
+    from mercato.plans import activity
+
+    monkeypatch.setattr(temporal, "TASK_COMPARISONS", 500)  # many partitions
+    rng = random.Random(5)
+    rows = [(rng.choice([None, i % 260]) if i % 9 == 0 else i % 260, T0 + dt.timedelta(seconds=rng.randrange(4000), microseconds=i % 3),
+             rng.choice([None, *range(6)]), rng.choice(["error", "view"]), rng.choice([None, -3.0, 0.0, 1.5, 80.0, 900.0]))
+            for i in range(300)]
+    rows += rows[:20] + [(*r[:4], 40.0) for r in rows[:20]]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    found = {}
+    for i, t, _, kind, value in rows:
+        if kind == "error" and value is not None and i is not None:
+            end = t + dt.timedelta(seconds=value // 1)
+            inside = [u for j, s, u, _, _ in rows if j is not None and j != i and t <= s <= end]
+            n, users = found.get((i, t), (0, set()))
+            if inside:
+                found[i, t] = (n + len(inside), users | set(inside))
+    got = activity.incidents(df)
+    assert got.columns == ["incident_id", "opened", "n_events", "n_users"]
+    assert sorted(map(tuple, got.collect())) == sorted((i, t, n, len(u)) for (i, t), (n, u) in found.items())
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Exchange" not in plan[:plan.index("Join")] and plan.count("REPARTITION_BY_NUM") == 2
+
+
+def test_interval_join_at_the_edges_of_buckets(spark):
+    """Spans that begin and end around powers of two of microseconds."""
+    base = spark.range(-3, 4).select(F.col("id").alias("d"))
+    power = spark.createDataFrame([(k,) for k in (0, 1, 4, 20, 30)], "k int")
+    shift = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("k"))
+    spans = base.crossJoin(power).select(
+        F.expr("d * 10 + k * 100").alias("span"), F.timestamp_micros(F.col("d")).alias("a"),
+        F.timestamp_micros(F.col("d") + shift).alias("b"))
+    points = base.crossJoin(power).select(F.timestamp_micros(F.col("d") + shift).alias("t"), F.col("d"), "k")
+    plain = temporal.interval_join(spans, points, "a", "b", "t")
+    placed = temporal.interval_join(spans, points, "a", "b", "t", until="b").drop(*temporal.PLACE)
+    brute = spans.join(points, F.expr("t between a and b"))
+    rows = sorted(map(str, brute.collect()))
+    assert sorted(map(str, placed.collect())) == rows and sorted(map(str, plain.collect())) == rows
