@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,12 @@ ODD = "__odd_quotes"
 
 
 def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(value, file, block, split) of every line; the lines of a split are in order."""
+    """(value, file, block, split) of every line; the lines of a split are in
+    order.  Files are named by a number, as a path may be longer than a line."""
     lines = spark.read.option("lineSep", "\n").text(paths)
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    return lines.select("value", file.alias("file"), block.alias("block"), F.xxhash64(file, block).alias("split"))
+    return lines.select("value", F.xxhash64(file).alias("file"), block.alias("block"),
+                        F.xxhash64(file, block).alias("split"))
 
 
 def split_states(lines: DataFrame) -> DataFrame:
@@ -61,10 +64,6 @@ def split_states(lines: DataFrame) -> DataFrame:
                          odd.alias("odd_file"))
 
 
-def _joined(value: pa.Array, first: int, last: int) -> str:
-    return "\n".join(value.slice(first, last - first + 1).to_pylist())
-
-
 def records(lines: DataFrame, inside: dict[int, bool]) -> DataFrame:
     """(record, kind, file, block) of the records and fragments of ``lines``;
     the first record of each file, its header, is left out.  ``inside`` tells
@@ -82,8 +81,8 @@ def records(lines: DataFrame, inside: dict[int, bool]) -> DataFrame:
         def rows(texts: list, kinds: list) -> pa.RecordBatch:
             n = len(texts)
             return pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()), pa.array(kinds, pa.int32()), pa.array([file] * n, pa.string()),
-                 pa.array([block] * n, pa.int64())], names=["record", "kind", "file", "block"])
+                [pa.array(texts, pa.string()), pa.array(kinds, pa.int32()), pa.array(np.full(n, file)),
+                 pa.array(np.full(n, block))], names=["record", "kind", "file", "block"])
 
         for batch in batches:
             splits = batch["split"].to_numpy()
@@ -93,9 +92,10 @@ def records(lines: DataFrame, inside: dict[int, bool]) -> DataFrame:
                     continue
                 if splits[a] != split:
                     yield from rest()
-                    split, held, file, block = splits[a], [], batch["file"][a].as_py(), batch["block"][a].as_py()
+                    split, held = splits[a], []
+                    file, block = batch["file"][a].as_py(), batch["block"][a].as_py()
                     if int(split) not in inside:
-                        raise RuntimeError(f"{file} is split in another way than before; set minPartitionNum")
+                        raise RuntimeError("a file is split in another way than before; set minPartitionNum")
                     open_ = inside[int(split)]
                     header, kind = block == 0, HEAD if open_ else WHOLE
                 value = batch["value"].slice(a, b - a)
@@ -108,21 +108,26 @@ def records(lines: DataFrame, inside: dict[int, bool]) -> DataFrame:
                     held.extend(value.to_pylist())
                     continue
                 texts = value.take(pa.array(ends)).to_pylist()  # most records are one line
-                for k in np.flatnonzero(starts[:-1] < ends).tolist():
-                    texts[k] = _joined(value, int(starts[k]), int(ends[k]))
+                longer = np.flatnonzero(starts[:-1] < ends)
+                if len(longer):
+                    every = value.to_pylist()
+                    for k, i, j in zip(longer.tolist(), starts[longer].tolist(), ends[longer].tolist()):
+                        texts[k] = "\n".join(every[i:j + 1])
                 texts[0] = "\n".join([*held, texts[0]])
                 kinds = [kind] + [WHOLE] * (len(texts) - 1)
                 kind = WHOLE
                 held = value.slice(int(starts[-1])).to_pylist()
                 if texts[0][-1:] == "\r" != texts[-1][-1:]:  # the file's last line may have no end
                     texts[-1] += "\r"
-                found = [(t, k) for t, k in zip(texts, kinds) if t.strip("\r") or k != WHOLE]  # no empty lines
-                if header and found:
-                    found, header = found[1:], False
-                yield rows([t for t, _ in found], [k for _, k in found])
+                if any(not t.strip("\r") for t in texts):  # no empty lines
+                    full = [bool(t.strip("\r")) or k != WHOLE for t, k in zip(texts, kinds)]
+                    texts, kinds = [*compress(texts, full)], [*compress(kinds, full)]
+                if header and texts:
+                    texts, kinds, header = texts[1:], kinds[1:], False
+                yield rows(texts, kinds)
         yield from rest()
 
-    return lines.mapInArrow(assemble, "record string, kind int, file string, block long")
+    return lines.mapInArrow(assemble, "record string, kind int, file long, block long")
 
 
 def stitched(fragments: DataFrame) -> DataFrame:

@@ -113,3 +113,15 @@ def test_ingest_in_splits(spark, tmp_path, small_splits):
     got = parquet.try_read(spark, parquet.bronze_path(str(tmp_path / "bronze"), "order_reviews"))
     assert got.columns == ["review_id", "order_id", "review_score", "note"]
     assert {(r.review_id, r.note) for r in got.collect()} == {(str(k), f"n\n{k}") for k in range(200)}
+
+
+def test_lines_carry_numbers_only(spark, tmp_path):
+    """A path on every line is more than the line itself; Python gets numbers."""
+    p = tmp_path / "some_rather_long_name_of_a_table.csv"
+    p.write_bytes(b'a,b\n1,"x\ny\nz"\n\n2,w\n')
+    lines = split_csv.text_lines(spark, str(p))
+    assert dict(lines.dtypes) == {"value": "string", "file": "bigint", "block": "bigint", "split": "bigint"}
+    split = lines.first()["split"]
+    found = split_csv.records(lines, {split: False})
+    assert [r["record"] for r in found.collect()] == ['1,"x\ny\nz"', "2,w"]
+    assert all(t in ("string", "int", "bigint") for _, t in found.dtypes) and dict(found.dtypes)["file"] == "bigint"
