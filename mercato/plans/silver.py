@@ -9,7 +9,7 @@ one whole-stage-codegen pipeline plus, where a rule needs it, one shuffle
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +66,10 @@ def clean_order_items(items: DataFrame, orders: DataFrame, partitions: int | Non
     repeats its items.  Catalyst infers ``order_id IS NOT NULL`` on both
     sides, so null keys are dropped before the shuffle.
 
-    ``partitions`` is for large tables: reports go on by ``order_id`` in the
-    tasks of this join, with several sorts and hash tables over a partition,
-    and adaptive execution would merge partitions by their compressed size.
+    ``partitions`` is for large tables and reports that go on by ``order_id``
+    in the tasks of this join, with several sorts and hash tables over a
+    partition: adaptive execution would merge partitions by their compressed
+    size.  (Nor can it split a hot order there; elsewhere it can, without them.)
     """
     known = orders.select("order_id")
     if partitions:
@@ -141,15 +142,13 @@ SILVER_TABLES = (
 
 def build_silver(bronze: Mapping[str, DataFrame],
                  dedupe_order: Mapping[str, Sequence[str]] | None = None,
-                 silver_orders: DataFrame | None = None,
-                 item_partitions: Callable[[], int | None] = lambda: None) -> LazyTables:
+                 silver_orders: DataFrame | None = None) -> LazyTables:
     """All silver tables from bronze ones, each built on first use.
 
     ``dedupe_order`` names the columns that choose the kept row per key, by
     table; absent tables fall back to the defaults.  Items are checked
     against ``silver_orders`` when given, else against bronze orders (the
-    same order ids: cleaning keeps every order).  ``item_partitions`` gives
-    the partitions of that join, asked for when it is built.
+    same order ids: cleaning keeps every order).
     """
     order = dict(dedupe_order or {})
     b = bronze
@@ -161,7 +160,7 @@ def build_silver(bronze: Mapping[str, DataFrame],
         "marketing_leads": lambda: clean_marketing_leads(b["marketing_leads"], order.get("marketing_leads")),
         "closed_deals": lambda: clean_closed_deals(b["closed_deals"], order.get("closed_deals")),
         "order_items": lambda: clean_order_items(
-            b["order_items"], silver_orders if silver_orders is not None else b["orders"], item_partitions()),
+            b["order_items"], silver_orders if silver_orders is not None else b["orders"]),
         "order_payments": lambda: clean_order_payments(b["order_payments"]),
         "order_reviews": lambda: clean_order_reviews(b["order_reviews"]),
     })
