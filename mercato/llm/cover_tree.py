@@ -21,7 +21,8 @@ sqrt(0.2).  Equal vectors are one class; only classes are compared.
 
 The result is exact; bounds carry a slack of 1e-6 against rounding.  In data
 without clusters nothing is farther than the bounds allow, and all pairs of
-blocks meet.
+blocks meet; most of their pairs are then told apart in single precision, within
+the bound on its rounding, and only the others by their exact cosine.
 
 Defined cases: null and zero vectors and those with a null or non-finite
 component link with nothing, nor do vectors of different length; repeated
@@ -52,6 +53,8 @@ SAMPLE = 4  # rows of the sample for each pivot
 LEAF = 16  # fewer points need no nets
 TILE = 2 << 20  # cosines held at once
 FLUSH = 1 << 20  # links held at once
+SMALL = 8  # points of a subtree that are looked at one by one at once
+DENSE = 32  # with a link in this many pairs, all are told exactly at once
 
 
 def signed(vectors: DataFrame) -> DataFrame:
@@ -82,6 +85,15 @@ def chord(cosine: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2 - 2 * cosine))
 
 
+def cosines(x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Those of the rows p[k] and q[k]."""
+    out = np.empty(len(p))
+    for at in range(0, len(p), 1 << 14):
+        some = slice(at, at + (1 << 14))
+        out[some] = np.einsum("ij,ij->i", x[p[some]], x[q[some]])
+    return out
+
+
 def farthest_first(x: np.ndarray, n: int) -> np.ndarray:
     """The first n rows of a farthest-first order."""
     order, gap = [0], chord(x @ x[0])
@@ -154,6 +166,19 @@ class Tree:
         return iter(found)
 
 
+def numbered(values: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, all below ``end``, and the place of each value among them."""
+    there = np.zeros(end, bool)
+    there[values] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[values]
+
+
+def spread(first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of numbers, one after the other: (which range, number)."""
+    of = np.repeat(np.arange(len(many)), many)
+    return of, np.arange(len(of)) - (np.cumsum(many) - many)[of] + first[of]
+
+
 class Join:
     """Links within a tree, or between two trees whose arrays stand one after
     the other (``split`` is the first node of the second)."""
@@ -161,6 +186,8 @@ class Join:
     def __init__(self, x: np.ndarray, size: np.ndarray, radius: np.ndarray, depth: np.ndarray, copies: np.ndarray,
                  split: int, threshold: float = COSINE):
         self.x, self.size, self.radius, self.depth, self.copies = x, size, radius, depth, copies.astype(np.float64)
+        self.rough = x.astype(np.float32)
+        self.rounding = (x.shape[1] + 4) * 2.0 ** -23  # more than a rough cosine is off by
         n = len(x)
         self.threshold, self.reach = threshold, float(chord(np.float64(threshold)))
         self.links, self.whole, self.glued = np.zeros(n), np.zeros(n + 1), np.zeros(n + 1, np.int64)
@@ -191,13 +218,14 @@ class Join:
         self.first = np.searchsorted(above[self.child], np.arange(n + 1))
 
     def opened(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Nodes as their points and their children: (node, is a bare point,
-        which of ``nodes`` it is from)."""
-        many = self.first[nodes + 1] - self.first[nodes]
-        of = np.repeat(np.arange(len(nodes)), many)
-        children = self.child[np.arange(len(of)) - (np.cumsum(many) - many)[of] + self.first[nodes][of]]
-        return (np.r_[nodes, children], np.r_[np.ones(len(nodes), bool), self.size[children] == 1],
-                np.r_[np.arange(len(nodes)), of])
+        """Nodes as their points and their children, small ones as all of their
+        points: (node, is a bare point, which of ``nodes`` it is from)."""
+        of, at = spread(self.first[nodes], self.first[nodes + 1] - self.first[nodes])
+        children = self.child[at]
+        small = self.size[children] <= SMALL
+        which, below = spread(children, np.where(small, self.size[children], 1))
+        return (np.r_[nodes, below], np.r_[np.ones(len(nodes), bool), small[which]],
+                np.r_[np.arange(len(nodes)), of[which]])
 
     def roots(self, x: np.ndarray) -> np.ndarray:
         r = self.parent[x]
@@ -261,37 +289,69 @@ class Join:
         pair once."""
         tile = max(1, TILE // len(b))
         for at in range(0, len(a), tile):
-            some = slice(at, at + tile)
-            todo = self.tile(a[some], a_bare[some], b, b_bare, at if once else None,
+            some, others = slice(at, at + tile), slice(at if once else 0, None)
+            todo = self.tile(a[some], a_bare[some], b[others], b_bare[others], once,
                              None if pairs is None else pairs[a_of[some]][:, b_of])
             for one, other, mine, theirs, their_bare in todo:
                 # the nodes of one side are opened against all their partners together
-                opens, i = np.unique(one, return_inverse=True)
-                others, j = np.unique(other, return_inverse=True)
+                opens, i = numbered(one, len(mine))
+                others, j = numbered(other, len(theirs))
                 asked = np.zeros((len(opens), len(others)), bool)
                 asked[i, j] = True
                 nodes, bare, of = self.opened(mine[opens])
                 del i, j, one, other
-                self.visit(nodes, bare, theirs[others], their_bare[others], False, of, np.arange(len(others)), asked)
+                self.visit(nodes, bare, theirs[others], their_bare[others], False, of, np.arange(len(others)),
+                           None if asked.all() else asked)
 
-    def tile(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: int | None,
-             asked: np.ndarray | None) -> list[tuple]:
-        """Decides the pairs that can be decided; the others, as (rows of the
-        side to open, rows of the other side, the sides' nodes)."""
-        ra, rb = np.where(a_bare, 0.0, self.radius[a]), np.where(b_bare, 0.0, self.radius[b])
+    def near(self, a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray,
+             asked: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The asked pairs (i, j) of nodes of these radii that may hold a link,
+        and their cosines."""
         cosine = self.x[a] @ self.x[b].T
-        if ra.any() or rb.any():
-            least = 1 - np.minimum(2.0, self.reach + SLACK + ra[:, None] + rb) ** 2 / 2
-            near = cosine >= np.minimum(least, self.threshold)
-        else:
-            near = cosine >= self.threshold
+        least = 1 - np.minimum(2.0, self.reach + SLACK + ra[:, None] + rb) ** 2 / 2
+        near = cosine >= np.minimum(least, self.threshold)
         if asked is not None:
             near &= asked
         i, j = np.nonzero(near)
-        if once is not None:
-            i, j = i[j > i + once], j[j > i + once]
-        near = cosine[i, j]
-        del cosine
+        return i, j, cosine[i, j]
+
+    def near_points(self, a: np.ndarray, b: np.ndarray,
+                    asked: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The asked pairs (i, j) of points that are linked, and their cosines.
+        Most pairs are far apart: those are told in single precision."""
+        near = self.rough[a] @ self.rough[b].T >= np.float32(self.threshold - self.rounding)
+        if asked is not None:
+            near &= asked
+        rows = np.flatnonzero(near.any(1))
+        i, j = np.nonzero(near[rows])
+        if DENSE * len(i) > near.size:
+            cosine = (self.x[a[rows]] @ self.x[b].T)[i, j]
+        else:
+            cosine = cosines(self.x, a[rows][i], b[j])
+        linked = cosine >= self.threshold
+        return rows[i[linked]], j[linked], cosine[linked]
+
+    def tile(self, a: np.ndarray, a_bare: np.ndarray, b: np.ndarray, b_bare: np.ndarray, once: bool,
+             asked: np.ndarray | None) -> list[tuple]:
+        """Decides the pairs that can be decided; the others, as (rows of the
+        side to open, rows of the other side, the sides' nodes)."""
+        ra, rb = np.where(a_bare, 0.0, self.radius[a]), np.where(b_bare, 0.0, self.radius[b])
+        found = [(np.empty(0, np.int64),) * 2 + (np.empty(0),)]
+        a_point, b_point = a_bare | (self.size[a] == 1), b_bare | (self.size[b] == 1)
+        for some, others in ((a_point, b_point), (a_point, ~b_point), (~a_point, b_point), (~a_point, ~b_point)):
+            rows, columns = np.flatnonzero(some), np.flatnonzero(others)
+            if not (len(rows) and len(columns)):
+                continue
+            part = None if asked is None else asked[np.ix_(rows, columns)]
+            if some is a_point and others is b_point:
+                i, j, near = self.near_points(a[rows], b[columns], part)
+            else:
+                i, j, near = self.near(a[rows], ra[rows], b[columns], rb[columns], part)
+            found.append((rows[i], columns[j], near))
+        i, j, near = (np.concatenate(c) for c in zip(*found))
+        if once:
+            later = j > i
+            i, j, near = i[later], j[later], near[later]
         points = a_bare[i] & b_bare[j]
         linked = points & (near >= self.threshold)
         self.link(a[i[linked]], b[j[linked]])

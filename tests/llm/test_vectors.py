@@ -122,6 +122,29 @@ def test_dense_groups_are_linked_whole(monkeypatch):
     assert sum(looked) < len(x)
 
 
+def test_points_far_apart_are_told_in_single_precision(monkeypatch):
+    """Pairs a hair above and below the threshold among random points, where all pairs meet."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for k in range(0, 200, 2):  # cosine 0.9 with the point before, but for 1e-9 to 1e-7
+        across = x[k + 1] - (x[k + 1] @ x[k]) * x[k]
+        cosine = 0.9 + (-1) ** (k // 2) * 10.0 ** -(7 + k % 3)
+        x[k + 1] = cosine * x[k] + math.sqrt(1 - cosine * cosine) * across / np.linalg.norm(across)
+    asked, exact = [], cover_tree.cosines
+    monkeypatch.setattr(cover_tree, "cosines", lambda x, p, q: (asked.append(len(p)), exact(x, p, q))[1])
+    for halves in ([np.arange(len(x))], [np.arange(0, len(x), 2), np.arange(1, len(x), 2)]):
+        trees = [cover_tree.Tree(x[own]) for own in halves]
+        points = np.concatenate([own[t.point] for own, t in zip(halves, trees)])
+        size, radius, depth = (np.concatenate(v) for v in zip(
+            *((t.size, t.radius, cover_tree.depths(t.size)) for t in trees)))
+        found = cover_tree.Join(x[points], size, radius, depth, np.ones(len(x)), len(halves[0]))
+        expected = np.zeros(len(x))
+        expected[[k for k in range(200) if k // 2 % 2 == 0]] = 1
+        assert (found.links == expected[points]).all()
+    assert 0 < sum(asked) < 3 * len(x)  # points with themselves, and few others
+
+
 def mined(rows):
     """Rows of operator 11 straight from its contract."""
     use = [(r["vec_id"], (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"],
