@@ -25,12 +25,12 @@ once each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +52,11 @@ GRAM, WORD = 0, 1
 def grams(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     """The gram at every byte and end: the symbol in the low byte, the
     preceding byte above it, and so on."""
-    pad = bytes([START]) * depth
-    line = np.frombuffer(b"".join(x for t in texts for x in (pad, t, bytes([END]))), np.uint8)
-    wide = line.astype(np.uint64)
-    out = wide.copy()
-    for k in range(1, depth + 1):
-        out[k:] |= wide[:-k] << np.uint64(8 * k)
-    return out[line != START] if texts else out
+    pad, end = bytes([START]) * depth, bytes([END])
+    line = b"".join(x for t in texts for x in (pad, t, end))
+    # Eight bytes from every place of the reversed line are a gram and what precedes it.
+    wide = np.ndarray(len(line), "<u8", line[::-1] + bytes(8), strides=(1,))[::-1]
+    return wide[np.frombuffer(line, np.uint8) != START] & np.uint64((1 << 8 * (depth + 1)) - 1)
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,9 +70,19 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words, A-Z lower-cased; bytes fold and split ASCII only."""
-    return text.lower().split()
+def all_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lower-cased, one after the other, and where
+    those of each text begin and end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten()
+    there = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space at an end gives empty ones
+    before = np.r_[0, np.cumsum(there)]
+    edges = before[np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))].astype(np.int64)]
+    return words.filter(pa.array(there)).cast(pa.binary()), edges
+
+
+def listed(array: pa.Array) -> list:
+    return array.to_numpy(zero_copy_only=False).tolist()
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -108,20 +116,31 @@ def _kinds(codes: np.ndarray, keys: np.ndarray) -> pa.Array:
 
 def _counts(depth: int):
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, size = Counter(), [], 0
+        words, parts, size = {}, [], 0
+        held, held_bytes = [], 0  # words not in ``words`` yet
 
         def full() -> pa.RecordBatch:
+            take()
             codes, n = merged(parts)
             keys = np.array([word_key(w) for w in words], np.uint64)
             return pa.RecordBatch.from_arrays(
                 [_kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64)),
                  pa.array(np.r_[n, np.array([*words.values()], np.int64)])], names=["kind", "key", "n"])
 
+        def take() -> None:
+            nonlocal held, held_bytes
+            if held:
+                found = pa.chunked_array(held).value_counts()
+                for word, n in zip(listed(found.field("values")), listed(found.field("counts"))):
+                    words[word] = words.get(word, 0) + n
+                held, held_bytes = [], 0
+
         for batch in chunks(batches, "text", SLICE_CODES):
-            texts, train = [t.encode() for t in batch["text"].to_pylist()], batch["train"].to_pylist()
-            for text, learns in zip(texts, train):
-                if learns:
-                    words.update(words_of(text))
+            texts, train = batch["text"].cast(pa.binary()).to_pylist(), batch["train"].to_pylist()
+            held.append(all_words(batch["text"].filter(batch["train"]))[0])
+            held_bytes += held[-1].nbytes
+            if held_bytes > BLOCK_BYTES:
+                take()
             parts.append(counted(grams([t for t, x in zip(texts, train) if x], depth)))
             asked = counted(grams([t for t, x in zip(texts, train) if not x], depth))[0]
             parts.append((asked, np.zeros(len(asked), np.int64)))
@@ -130,7 +149,7 @@ def _counts(depth: int):
             size += sum(map(len, texts))
             if size > COUNTED_BYTES:
                 yield full()
-                words, parts, size = Counter(), [], 0
+                words, parts, size = {}, [], 0
         if parts:
             yield full()
     return counts
@@ -142,11 +161,10 @@ def _requests(depth: int, top):
         for block in _by_block(batches):
             words, parts = set(), []
             for batch in chunks(iter(block.to_batches()), "text", SLICE_CODES):
-                texts = [t.encode() for t in batch["text"].to_pylist()]
-                codes = counted(grams(texts, depth))[0]
+                codes = counted(grams(batch["text"].cast(pa.binary()).to_pylist(), depth))[0]
                 codes = codes[~grams_held.holds(codes)]
                 parts.append((codes, codes))
-                words.update(*map(words_of, texts))
+                words.update(listed(all_words(batch["text"])[0].unique()))
             codes = merged(parts)[0]
             keys = np.array([word_key(w) for w in words], np.uint64)
             keys = keys[~words_held.holds(keys)]
@@ -383,19 +401,23 @@ def _score(n_train: int, n_distinct: int, n_docs: int, depth: int, top):
         total = n_train + 0.1 * (n_distinct + 1)
         end = (np.log10((n_docs + 0.1) / total), n_docs > 0)
         columns: list[list] = [[] for _ in SCORES.split(", ")]
-        memo: dict[bytes, tuple[float, bool]] = {}
+        memo: dict[bytes, float] = {}
         for batch in chunks(iter(docs.to_batches()), "text", SLICE_CODES):
-            texts = [t.encode() for t in batch["text"].to_pylist()]
-            words = [words_of(t) for t in texts]
-            new = [w for w in set().union(*words) if w not in memo]
-            counts = count(np.array([word_key(w) for w in new], np.uint64))
-            memo.update(zip(new, zip(np.log10((counts + 0.1) / total).tolist(), (counts > 0).tolist())))
+            texts = batch["text"].cast(pa.binary()).to_pylist()
+            words, edges = all_words(batch["text"])
+            words = words.dictionary_encode()
+            distinct, at = listed(words.dictionary), words.indices.to_numpy()
+            new = [w for w in distinct if w not in memo]
+            memo.update(zip(new, count(np.array([word_key(w) for w in new], np.uint64)).tolist()))
+            counts = np.array([memo[w] for w in distinct], float)
+            base = np.log10((counts + 0.1) / total)[at].tolist()
+            known = np.r_[0, np.cumsum((counts > 0)[at])][edges].tolist()
+            edges = edges.tolist()
             sizes = np.array([len(t) + 1 for t in texts])
             length = np.add.reduceat(bits(grams(texts, depth)), np.cumsum(sizes) - sizes)
-            for i, ws in enumerate(words):
-                known = [memo[w] for w in ws]
-                values = (batch["doc_id"][i].as_py(), not batch["train"][i].as_py(), len(ws) + 1,
-                          sum([k for _, k in known]) + end[1], n_train, sum([x for x, _ in known]) + end[0],
+            for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                values = (batch["doc_id"][i].as_py(), not batch["train"][i].as_py(), b - a + 1,
+                          known[i + 1] - known[i] + end[1], n_train, sum(base[a:b]) + end[0],
                           length[i] * np.log10(2), int(sizes[i]) - 1, -length[i] / sizes[i])
                 for column, v in zip(columns, values):
                     column.append(v)

@@ -2,6 +2,7 @@
 
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,20 @@ def test_ctw_equals_its_definition(table):
         assert r[5:] == pytest.approx(e[5:], rel=1e-5, abs=1e-5)
 
 
+def test_words_and_grams_of_many_texts_at_once():
+    texts = ["", " ", "A", "\t b  C\r\n", "\x1c\x1f\x85\xa0 x \x0b\x0cq", "\xc9 \xe9 \u0130", "\x00 \x00a b", "w " * 300]
+    texts += [f"{chr(i)}a{chr(i)}B" for i in range(256)]
+    for some in (texts, [], [""]):
+        words, edges = ctw.all_words(pa.array(some, pa.string()))
+        words = words.to_pylist()
+        assert [words[a:b] for a, b in zip(edges, edges[1:])] == [t.encode().lower().split() for t in some]
+    for depth in (1, 3, 5):
+        lines = [bytes([ctw.START]) * depth + t.encode() + bytes([ctw.END]) for t in texts]
+        expected = [sum(line[i - k] << 8 * k for k in range(depth + 1)) for line in lines for i in range(depth, len(line))]
+        assert ctw.grams([t.encode() for t in texts], depth).tolist() == expected
+    assert len(ctw.grams([])) == 0
+
+
 def test_ctw_by_requests_alone_and_by_small_parts(documents, monkeypatch):
     """The broadcast part, the slices and the blocks change no score."""
     small = documents.where("length(text) < 4000")
