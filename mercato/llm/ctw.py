@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import block_count, chunks, read_table, text_of, written
+from mercato.llm.common import block_count, chunks, few_rows, read_table, text_of, tidy, tidy_groups, written
 
 DEPTH = 5
 CUT = 2
@@ -44,7 +44,8 @@ BLOCK_BYTES = 8 << 20
 COUNTED_BYTES = 48 << 20  # text whose counts a task combines before it sends them
 TOP_GRAMS, TOP_WORDS = 1 << 20, 1 << 19
 SLICE_CODES = 1 << 20
-TREE_GRAMS = 150_000  # grams weighted at a time
+TREE_GRAMS = 50_000  # grams weighted at a time
+SENT_ROWS = 1 << 16  # rows of a batch that a task returns
 START, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 GRAM, WORD = 0, 1
 
@@ -102,8 +103,10 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct codes of several counts and the sums of their counts."""
+    """Sorted distinct codes of several counts and the sums of their counts;
+    ``parts`` is emptied, so that they are not held beside the result."""
     codes, n = (np.concatenate(c) for c in zip(*parts))
+    parts.clear()
     order = np.argsort(codes, kind="stable")
     codes, n = codes[order], n[order]
     first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else np.empty(0, np.int64)
@@ -119,13 +122,15 @@ def _counts(depth: int):
         words, parts, size = {}, [], 0
         held, held_bytes = [], 0  # words not in ``words`` yet
 
-        def full() -> pa.RecordBatch:
+        def full() -> Iterator[pa.RecordBatch]:
             take()
             codes, n = merged(parts)
-            keys = np.array([word_key(w) for w in words], np.uint64)
-            return pa.RecordBatch.from_arrays(
-                [_kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64)),
-                 pa.array(np.r_[n, np.array([*words.values()], np.int64)])], names=["kind", "key", "n"])
+            keys = np.fromiter(map(word_key, words), np.uint64, len(words))
+            n = np.r_[n, np.fromiter(words.values(), np.int64, len(words))]
+            words.clear()
+            return few_rows(pa.RecordBatch.from_arrays(
+                [_kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64)), pa.array(n)],
+                names=["kind", "key", "n"]), SENT_ROWS)
 
         def take() -> None:
             nonlocal held, held_bytes
@@ -145,13 +150,13 @@ def _counts(depth: int):
             asked = counted(grams([t for t, x in zip(texts, train) if not x], depth))[0]
             parts.append((asked, np.zeros(len(asked), np.int64)))
             if len(parts) > 16:
-                parts = [merged(parts)]
+                parts.append(merged(parts))
             size += sum(map(len, texts))
             if size > COUNTED_BYTES:
-                yield full()
-                words, parts, size = {}, [], 0
+                yield from full()
+                size = 0
         if parts:
-            yield full()
+            yield from full()
     return counts
 
 
@@ -166,12 +171,12 @@ def _requests(depth: int, top):
                 parts.append((codes, codes))
                 words.update(listed(all_words(batch["text"])[0].unique()))
             codes = merged(parts)[0]
-            keys = np.array([word_key(w) for w in words], np.uint64)
+            keys = np.fromiter(map(word_key, words), np.uint64, len(words))
             keys = keys[~words_held.holds(keys)]
             at = np.full(len(codes) + len(keys), block["block"][0].as_py(), np.int32)
-            yield pa.RecordBatch.from_arrays(
+            yield from few_rows(pa.RecordBatch.from_arrays(
                 [pa.array(at), _kinds(codes, keys), pa.array(np.r_[codes, keys].view(np.int64))],
-                names=["block", "kind", "key"])
+                names=["block", "kind", "key"]), SENT_ROWS)
     return requests
 
 
@@ -307,13 +312,13 @@ def code_lengths(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     from the corpus counts (key, n)."""
     tree = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * CUT) - 1))
     dealt = counts.withColumn("tree", tree).repartition("tree").sortWithinPartitions("tree")
-    model = written(dealt.mapInArrow(_subtrees(depth), "key long, p binary, n long, a double, b double, log_w double"), "ctw")
+    model = written(dealt.mapInArrow(tidy(_subtrees(depth)), "key long, p binary, n long, a double, b double, log_w double"), "ctw")
     # A node's key holds its context above the decision number; depth 1 keeps the nearest byte.
     parent = F.col("key").bitwiseAND(F.lit(0xFFFF))
     depth1 = model.where("p is null").groupBy(parent.alias("key")).agg(F.sum("a"), F.sum("b"), F.sum("log_w"))
     top = top_of_tree([tuple(r) for r in depth1.collect()])  # at most 256 * 255 rows
     return model.where("p is not null").select("key", "p", "n").mapInArrow(
-        _code_lengths(top), "key long, n long, value double")
+        tidy(_code_lengths(top)), "key long, n long, value double")
 
 
 class Lookup:
@@ -433,7 +438,7 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     doc_id = docs["doc_id"].cast("long")
     train = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS != 0
     rows = docs.select(doc_id.alias("doc_id"), text_of(docs).alias("text"), train.alias("train"))
-    counts = written(rows.select("train", "text").mapInArrow(_counts(depth), "kind byte, key long, n long")
+    counts = written(rows.select("train", "text").mapInArrow(tidy(_counts(depth)), "kind byte, key long, n long")
                      .groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     word = F.col("kind") == WORD
     n_words, distinct = counts.where(word).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -448,10 +453,10 @@ def scores(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     # The requests and the scoring read the same shuffle of the documents.
     dealt = rows.withColumn("block", block).repartition("block")
-    asked = dealt.sortWithinPartitions("block").mapInArrow(_requests(depth, top), "block int, kind byte, key long")
+    asked = dealt.sortWithinPartitions("block").mapInArrow(tidy(_requests(depth, top)), "block int, kind byte, key long")
     model = asked.join(values.where(~above).select("kind", "key", "value"), ["kind", "key"])
     return dealt.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(
-        _score(n_train, n_distinct, n_docs, depth, top), SCORES)
+        tidy_groups(_score(n_train, n_distinct, n_docs, depth, top)), SCORES)
 
 
 def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

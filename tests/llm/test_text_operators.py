@@ -143,6 +143,23 @@ def test_ctw_by_requests_alone_and_by_small_parts(documents, monkeypatch):
         assert tuple(r) == pytest.approx(whole[r["doc_id"]], rel=1e-6)
 
 
+def test_ctw_counts_leave_a_task_in_small_batches(monkeypatch):
+    monkeypatch.setattr(ctw, "SENT_ROWS", 100, raising=False)
+    texts = [f"Word{i} and a word {i % 7} \xe9" for i in range(400)]
+    rows = pa.RecordBatch.from_arrays([pa.array([i % 10 > 0 for i in range(400)]), pa.array(texts)], names=["train", "text"])
+    out = list(ctw._counts(3)(iter([rows] * 3)))
+    assert len(out) > 5 and max(b.num_rows for b in out) <= 100
+    got, expected = Counter(), Counter()
+    for kind, key, n in zip(*(sum((b[c].to_pylist() for b in out), []) for c in ("kind", "key", "n"))):
+        got[kind, key % 2**64] += n
+    for i, text in enumerate(texts):
+        for gram in ctw.grams([text.encode()], 3).tolist():
+            expected[ctw.GRAM, gram] += 3 * (i % 10 > 0)
+        for word in text.lower().encode().split() if i % 10 else ():
+            expected[ctw.WORD, ctw.word_key(word)] += 3
+    assert got == expected and set(got) == set(expected)
+
+
 def test_ctw_beats_the_word_model_on_held_out_texts(spark):
     held = ctw.scores(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
