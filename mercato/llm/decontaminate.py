@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import chunks, joined_rows, read_table, split_rows, written
+from mercato.llm.common import chunks, joined_rows, read_table, split_rows, tidy, written
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -206,7 +206,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataF
     kind, last = out.schema, Phrases([])
     for i, phrases in enumerate(phrase_groups(benchmark, window)):
         if i:
-            out = written(out.mapInArrow(_search(last), kind), "searched")
+            out = written(out.mapInArrow(tidy(_search(last)), kind), "searched")
         last = phrases
     return out, last
 
@@ -215,7 +215,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """Rows (row, text and had of ``split_rows``, n_words, hit: the hit words'
     numbers as ranges [begin, end, begin, end, ...], item_ids found)."""
     rows, last = _searched(docs, benchmark, window)
-    return rows.mapInArrow(_search(last), rows.schema)
+    return rows.mapInArrow(tidy(_search(last)), rows.schema)
 
 
 def _merged_hits(batch: pa.RecordBatch, phrases: Phrases) -> tuple[list[bytes], list[np.ndarray], list[list[str]]]:
@@ -274,7 +274,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """The documents with every hit span cut out of their texts; the other
     columns are kept, ``n_chars`` is counted anew where it is present."""
     rows, last = _searched(docs, benchmark, window)
-    return joined_rows(rows.mapInArrow(_cut(last), rows.select("row", "text", "had").schema), docs.columns)
+    return joined_rows(rows.mapInArrow(tidy(_cut(last)), rows.select("row", "text", "had").schema), docs.columns)
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import chunks, connected_components, read_table, text_of, written
+from mercato.llm.common import chunks, connected_components, read_table, text_of, tidy, written
 
 SHINGLE = 5
 THRESHOLD = 85  # per cent
@@ -125,7 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("hash"),
                        text_of(docs).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, hash long, n_shingles long, cls binary, tokens binary")
+    return rows.mapInArrow(tidy(sign), "doc_id long, hash long, n_shingles long, cls binary, tokens binary")
 
 
 def mix(x: np.ndarray) -> np.ndarray:

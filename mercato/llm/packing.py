@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import chunks, read_table, text_of, written
+from mercato.llm.common import chunks, read_table, text_of, tidy, written
 from mercato.llm.tokens import worker_encoder
 
 MAX_LEN = 4096
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 RANKS_PER_RANGE = 1 << 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -55,7 +55,7 @@ def pieces(docs: DataFrame, max_len: int = MAX_LEN, tokenizer: str | None = None
                                              names=[f.split()[0] for f in fields])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(cut, ", ".join(fields))
+    return rows.mapInArrow(tidy(cut), ", ".join(fields))
 
 
 def plan(histogram: dict[int, int], max_len: int = MAX_LEN) -> list[tuple[int, int, int, int, int]]:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.llm.common import block_count, chunks, joined_rows, read_table, split_rows, written
+from mercato.llm.common import block_count, chunks, joined_rows, read_table, split_rows, tidy, tidy_groups, written
 
 MIN_CHUNK, MAX_CHUNK, MASK_BITS = 24, 256, 5  # about 56 bytes on average
 MIN_RUN = 160  # bytes of a run, extended; 50 words have 250 or so
@@ -119,7 +119,7 @@ def repeated_chunks(rows: DataFrame, blocks: int) -> DataFrame:
     """Per block the digests whose first occurrence (key, tie, at) lies in
     another block.  ``rows`` has the block of each document."""
     seen = rows.select("key", "tie", "block", "text").mapInArrow(
-        _first_in_slice, "hi long, lo long, block int, key long, tie long, at long")
+        tidy(_first_in_slice), "hi long, lo long, block int, key long, tie long, at long")
     first = seen.groupBy("hi", "lo").agg(
         F.min(F.struct("key", "tie", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
     told = seen.select("hi", "lo", "block").join(first.select("hi", "lo", "first.*"), ["hi", "lo"])
@@ -284,21 +284,21 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
             names=["row", "text", "had", "n_chunks", "n_repeated", "spans"])
 
     dealt = rows.repartition("block")
-    runs = dealt.groupBy("block").cogroup(repeated_chunks(rows, blocks).groupBy("block")).applyInArrow(_runs, RUNS)
+    runs = dealt.groupBy("block").cogroup(repeated_chunks(rows, blocks).groupBy("block")).applyInArrow(tidy_groups(_runs), RUNS)
     runs = written(runs, "runs")
     sides = [(side, F.lit(side == "left")) for side in ("left", "right")]
     places = [runs.where("run >= 0").select(*(F.col(f"{side}_{c}").alias(c) for c in ("key", "tie", "at")),
                                             before.alias("before")) for side, before in sides]
     asked = places[0].unionByName(places[1]).distinct().withColumn(
         "block", block_of(F.col("key"), F.col("tie"), blocks))
-    found = dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_contexts, CONTEXTS)
+    found = dealt.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(tidy_groups(_contexts), CONTEXTS)
     plan = runs
     for side, before in sides:
         of = found.where(F.col("before") == before).select(
             *(F.col(c).alias(f"{side}_{c}") for c in ("key", "tie", "at")), F.col("context").alias(side))
         plan = plan.join(of, [f"{side}_{c}" for c in ("key", "tie", "at")], "left")
     plan = plan.select("block", "key", "tie", "number", "n_chunks", "run", "begin", "end", "left", "right")
-    return dealt.groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(cut, kind)
+    return dealt.groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(tidy_groups(cut), kind)
 
 
 def dedup_substrings(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from mercato.llm import quality_rules as q
-from mercato.llm.common import scratch_made
+from mercato.llm.common import scratch_made, tidy, tidy_groups
 from tests.llm import brute
 from tests.llm.conftest import SF, dicts
 from tests.llm.test_quality import distance, estimate, rates
@@ -104,3 +104,21 @@ def test_stages_take_edges_and_an_empty_table(spark, edges):
         out = stage(spark, edges, SF)
         assert out.dtypes == edges.dtypes, name
         assert stage(spark, edges.limit(0), SF).count() == 0, name
+
+
+@pytest.mark.parametrize("wrapped", [lambda f: list(tidy(lambda batches: iter([f()]))([])),
+                                     lambda f: [tidy_groups(lambda left, right: f())(None, None)]])
+def test_a_task_gives_its_freed_memory_back(wrapped):
+    """Also what lies below memory that is still held."""
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", f.read()))) / 1024
+
+    def work():
+        arrays = [np.ones(4000, np.uint8) for _ in range(40_000)]
+        peaks.append(resident())
+        return arrays[-1]
+
+    peaks = []
+    held = wrapped(work)
+    assert len(held) == 1 and resident() < peaks[0] - 120
