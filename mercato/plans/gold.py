@@ -157,15 +157,16 @@ def category_performance(t: Tables) -> DataFrame:
     distinct products.  An item is repeated once per review of its order, and
     its revenue with it.
 
-    Items meet their product, become one row per (category, order), combined
-    map-side, and then meet their order's reviews, of which there is one row;
-    the repetition is a factor.  Distinct orders are row counts of that table;
-    distinct products come from the product ids alone, which are reduced
-    map-side before they move.
+    Items meet their product, move once, by order, become one row per
+    (category, order) and meet their order's reviews there, of which there is
+    one row; the repetition is a factor.  Distinct orders are row counts of
+    that table; distinct products come from the product ids alone, which are
+    reduced map-side before they move.
     """
     by = "product_category_name_english"
     products = t["products"].select("product_id", by)
-    per_order = (t["order_items"].join(products, "product_id", "inner").groupBy(by, "order_id")
+    per_order = (t["order_items"].join(products, "product_id", "inner").select(by, "order_id", "price")
+                 .repartition("order_id").groupBy(by, "order_id")
                  .agg(F.count(F.lit(1)).alias("items"), *money_parts("price", "price")))
     rows = per_order.join(_order_reviews(t), "order_id", "left").withColumn(
         "times", F.greatest(F.coalesce("reviews", F.lit(1)), F.lit(1)))
@@ -184,11 +185,17 @@ def category_performance(t: Tables) -> DataFrame:
 
 
 def seller_rankings(t: Tables) -> DataFrame:
-    """Per seller, sales value, distinct products, item rows handled."""
-    return (t["order_items"].groupBy("seller_id")
-            .agg(money_sum("price").alias("total_sales_value"),
-                 n_unique("product_id").alias("unique_products_offered"),
-                 F.count("order_id").alias("total_orders_handled"))
+    """Per seller, sales value, distinct products, item rows handled.
+
+    The sums are combined map-side to a row per seller; only the distinct
+    (seller, product) pairs, bare of sums, move as they are.
+    """
+    sums = t["order_items"].groupBy("seller_id").agg(
+        money_sum("price").alias("total_sales_value"), F.count("order_id").alias("total_orders_handled"))
+    offered = (t["order_items"].select(F.col("seller_id").alias("of"), "product_id").distinct()
+               .groupBy("of").agg(F.count(F.lit(1)).alias("unique_products_offered")))
+    return (sums.join(offered, F.col("seller_id").eqNullSafe(F.col("of")), "inner")
+            .select("seller_id", "total_sales_value", "unique_products_offered", "total_orders_handled")
             .orderBy(_desc("total_sales_value")))
 
 
@@ -214,18 +221,14 @@ def product_reviews(t: Tables) -> DataFrame:
     """Per English category with more than 50 reviews, mean score and count.
 
     Same result as joining items, products and reviews row by row, with
-    reductions before the wide shuffles: reviews become one row per order,
-    items one per (order, product), and the joined rows one per product,
-    combined map-side.  Every item of an order meets the same reviews and
-    every row of a product the same category, so sums and counts carry over.
+    reductions before the wide shuffles: reviews become one row per order and
+    items one per (order, product).  Every item of an order meets the same
+    reviews, so sums and counts carry over; the rows, joined with their
+    product, are combined map-side to one per category.
     """
-    per_product = (_order_products(t).join(_order_reviews(t), "order_id", "inner")
-                   .groupBy("product_id")
-                   .agg(F.sum(F.col("score_sum") * F.col("items")).alias("score_sum"),
-                        F.sum(F.col("score_n") * F.col("items")).alias("score_n"),
-                        F.sum(F.col("review_n") * F.col("items")).alias("review_n")))
-    joined = per_product.join(t["products"].select("product_id", "product_category_name_english"),
-                              "product_id", "inner")
+    rows = (_order_products(t).join(_order_reviews(t), "order_id", "inner")
+            .select("product_id", *[(F.col(c) * F.col("items")).alias(c) for c in ("score_sum", "score_n", "review_n")]))
+    joined = rows.join(t["products"].select("product_id", "product_category_name_english"), "product_id", "inner")
     return (joined.groupBy("product_category_name_english")
             .agg(F.try_divide(F.sum("score_sum"), F.sum("score_n")).alias("avg_score"),
                  F.sum("review_n").cast("bigint").alias("review_count"))

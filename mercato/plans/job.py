@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.plans import gold, quality, silver, verify
-from mercato.session import initial_partitions, partitions_for, table_bytes
+from mercato.session import initial_partitions, partitions_for, shared_partitions, small_tasks, table_bytes
 from mercato.sources import bronze as bronze_src
 from mercato.sources import parquet, versions
 
@@ -45,6 +46,22 @@ def write_bronze(bronze: Mapping[str, DataFrame], bronze_dir: str) -> dict[str,
             for t, df in bronze.items() if t != "geo"}
 
 
+@contextmanager
+def sized(spark: SparkSession, bronze_dir: str, tables: Iterable[str],
+          shuffle_partitions: int | None = None) -> Iterator[int]:
+    """Inside, shuffles start from a partition count in proportion to the
+    bronze tables and tasks stay small, so that no task has to sort or
+    aggregate far more than fits its memory; gives the count."""
+    folders = {t: versions.live_path(spark, parquet.bronze_path(bronze_dir, t)) for t in tables}
+    sizes = table_bytes(spark, folders)
+    by_order = sum(sizes.get(t, 0) for t in ("order_items", "orders"))
+    if shuffle_partitions is None:
+        shuffle_partitions = max(partitions_for(spark, max(sizes.values(), default=0)),
+                                 shared_partitions(spark, by_order) or 0)
+    with initial_partitions(spark, shuffle_partitions), small_tasks(spark, by_order):
+        yield shuffle_partitions
+
+
 def run_quality(spark: SparkSession, bronze: Mapping[str, DataFrame], report_dir: str,
                 fail_on: Iterable[str] = ()) -> list:
     results = quality.run_guards(bronze)
@@ -84,7 +101,13 @@ def read_silver(spark: SparkSession, silver_dir: str) -> dict[str, DataFrame]:
 def run_gold(spark: SparkSession, silver_dir: str, gold_dir: str, geo: DataFrame) -> dict[str, int]:
     tables = read_silver(spark, silver_dir)
     tables["geo"] = geo
-    return {name: parquet.write_gold(build(tables), gold_dir, name)
+    sizes = table_bytes(spark, {t: versions.live_path(spark, parquet.silver_path(silver_dir, t))
+                                for t in ("order_items", "orders")})
+    dealt = tables
+    if partitions := shared_partitions(spark, sum(sizes.values())):
+        # Large: the items move once, and meet their order's reviews where they lie.
+        dealt = {**tables, "order_items": tables["order_items"].repartition(partitions, "order_id")}
+    return {name: parquet.write_gold(build(dealt if name == "product_reviews" else tables), gold_dir, name)
             for name, build in gold.REPORTS.items()}
 
 
@@ -95,8 +118,8 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, bronz
     """Run all stages.  Give either ``csv_tables`` ({table: csv file, folder
     or list of files}) or ready ``bronze`` DataFrames; ``geo`` is the state
     document.  ``shuffle_partitions`` is the count that shuffles start with
-    (adaptive execution coalesces them); by default it follows the largest
-    bronze table, and it holds for this job only."""
+    (adaptive execution coalesces them); by default it follows the bronze
+    tables, and it holds for this job only."""
     result = JobResult()
     clock = [time.perf_counter()]
 
@@ -121,14 +144,7 @@ def run_job(spark: SparkSession, out_dir: str, *, csv_tables: Mapping[str, bronz
     missing = [t for t in bronze_src.RAW_TYPES if t not in b]
     if missing:
         raise parquet.MissingTableError("bronze tables missing (not ingested): " + ", ".join(missing))
-    # Later shuffles (dedupe, joins, reports) start from a partition count
-    # sized to the largest table, so no task has to sort or aggregate far
-    # more than fits its memory.
-    if shuffle_partitions is None:
-        folders = {t: versions.live_path(spark, parquet.bronze_path(bronze_dir, t)) for t in b}
-        shuffle_partitions = partitions_for(spark, max(table_bytes(spark, folders).values(), default=0))
-    result.shuffle_partitions = shuffle_partitions
-    with initial_partitions(spark, shuffle_partitions):
+    with sized(spark, bronze_dir, b, shuffle_partitions) as result.shuffle_partitions:
         result.quality_rows = run_quality(spark, b, _layer(out_dir, "reports"), fail_on)
         lap("quality")
         silver_dir, gold_dir = _layer(out_dir, "silver"), _layer(out_dir, "gold")

@@ -76,8 +76,9 @@ def run(spark: SparkSession, sf_dir: str) -> Layers:
         # Silver's deduplication keeps the row of the lowest number; the files hold text.
         for t, columns in testdata.DEDUPE_ORDER.items():
             tables[t] = tables[t].withColumns({c: F.col(c).cast("bigint") for c in columns})
-        job.run_silver(spark, tables, f"{out}/silver", testdata.DEDUPE_ORDER)
-        job.run_gold(spark, f"{out}/silver", f"{out}/gold", geo.read_geojson(spark, f"{out}/raw/states"))
+        with job.sized(spark, f"{out}/bronze", tables):
+            job.run_silver(spark, tables, f"{out}/silver", testdata.DEDUPE_ORDER)
+            job.run_gold(spark, f"{out}/silver", f"{out}/gold", geo.read_geojson(spark, f"{out}/raw/states"))
         held[key] = Layers(ingest, f"{out}/raw/states", f"{out}/bronze", f"{out}/silver", f"{out}/gold")
     return held[key]
 

@@ -93,6 +93,34 @@ def shared_partitions(spark: SparkSession, data_bytes: int) -> int | None:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-data_bytes // SHARED_PARTITION_BYTES))
 
 
+# Scans and shuffles of large tables hand a task this much compressed data, so that
+# its sorts and hash tables, several in a report, fit an executor's share of memory.
+TASK_BYTES = 16 * 1024 * 1024
+# The layers' zstd files can be half of what Spark's broadcast threshold is made for.
+TASK_SETTINGS = {"spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+                 "spark.sql.sources.fileCompressionFactor": "2.0"}
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, data_bytes: int) -> Iterator[None]:
+    """For ``data_bytes`` of compressed input, scans and merged shuffle partitions
+    of ``TASK_BYTES`` inside, and file sizes count double where sides are chosen
+    for a broadcast; small tables are left to the session's settings, which come
+    back."""
+    if data_bytes < SHARED_FROM_BYTES:
+        yield
+        return
+    old = {key: spark.conf.get(key) for key in TASK_SETTINGS}
+    for key, value in TASK_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 @contextmanager
 def initial_partitions(spark: SparkSession, count: int) -> Iterator[None]:
     """Shuffles start with ``count`` partitions inside; adaptive execution

@@ -145,3 +145,26 @@ def test_reports_go_on_in_the_partitions_of_the_items(spark):
         assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
         plan = dealt._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
         assert plan.count("16), REPARTITION_BY_NUM") == 2
+
+
+def test_items_move_once_and_without_sums(spark):
+    """Pairs of seller and product, and items by order, are not moved with
+    partial sums, nor a second time to meet their order's reviews."""
+    items = spark.createDataFrame([(1, 2, 3, 4.0), (1, 2, 3, 5.0), (1, None, 3, None), (2, 2, None, 1.5), (None, 7, None, 2.0)],
+                                  "order_id int, product_id int, seller_id int, price double")
+    reviews = spark.createDataFrame([(i, i % 3, float(i % 5)) for i in range(9)],
+                                    "review_id int, order_id int, review_score double")
+    products = spark.createDataFrame([(2, "a"), (7, "b")], "product_id int, product_category_name_english string")
+    t = {"order_items": items, "order_reviews": reviews, "products": products}
+    sellers = gold.seller_rankings(t)
+    assert {tuple(r) for r in sellers.collect()} == {(3, 9.0, 2, 3), (None, 3.5, 2, 1)}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        by_seller = gold.seller_rankings(t)._jdf.queryExecution().executedPlan().toString()
+        by_category = gold.category_performance(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    for line in by_seller.splitlines():
+        assert not ("product_id" in line and "sum(" in line), line
+    exchanges = [line for line in by_category.splitlines() if "hashpartitioning(product_category_name_english" in line]
+    assert not [line for line in exchanges if "order_id" in line]

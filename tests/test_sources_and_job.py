@@ -3,10 +3,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from mercato.plans import job, registry
-from mercato.sources import bronze, geo, parquet, testdata
+from mercato.sources import bronze, geo, parquet, testdata, versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -172,3 +173,46 @@ def test_cli_runs_the_job(spark, tmp_path):
         assert written.agg(F.sum(column), F.count(column)).collect() == given.agg(F.sum(column), F.count(column)).collect()
     # Without the prefix the table names do not resolve: a clean failure.
     assert main(args[:-2] + ["--out", str(tmp_path / "out2")]) == 1
+
+
+def test_tasks_of_the_written_layers_follow_the_input(spark, monkeypatch):
+    from mercato import session
+    from mercato.plans import layers
+
+    monkeypatch.setattr(session, "SHARED_FROM_BYTES", 1)
+    monkeypatch.setattr(session, "SHARED_PARTITION_BYTES", 8192)
+
+    def settings() -> dict:
+        return {session.INITIAL_PARTITIONS: spark.conf.get(session.INITIAL_PARTITIONS, None) or None,
+                **{k: spark.conf.get(k) for k in session.TASK_SETTINGS}}
+
+    before, inside = settings(), []
+    for stage in ("run_silver", "run_gold"):
+        def watched(*args, run=getattr(job, stage)):
+            inside.append(settings())
+            return run(*args)
+        monkeypatch.setattr(job, stage, watched)
+    done = layers.run(spark, f"{SF}/.")
+    assert len(inside) == 2
+    for found in inside:
+        assert int(found[session.INITIAL_PARTITIONS]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert {k: found[k] for k in session.TASK_SETTINGS} == session.TASK_SETTINGS
+    assert settings() == before
+    # Items that were dealt by order give the same report.
+    written = parquet.read_required(spark, parquet.gold_path(done.gold, "product_reviews"), "gold")
+    want = registry.queries()["gold_product_reviews"](spark, SF)
+    assert sorted(map(str, written.collect())) == sorted(map(str, want.collect()))
+    files = spark.read.parquet(versions.live_path(spark, parquet.silver_path(done.silver, "order_items"))).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+@pytest.mark.parametrize("large_from, moved", [(1, True), (1 << 40, False)])
+def test_only_large_tables_get_small_tasks(spark, monkeypatch, large_from, moved):
+    from mercato import session
+
+    monkeypatch.setattr(session, "SHARED_FROM_BYTES", large_from)
+    before = {k: spark.conf.get(k) for k in session.TASK_SETTINGS}
+    with session.small_tasks(spark, 1 << 30):
+        inside = {k: spark.conf.get(k) for k in session.TASK_SETTINGS}
+    assert (inside == session.TASK_SETTINGS) == moved and (moved or inside == before)
+    assert {k: spark.conf.get(k) for k in session.TASK_SETTINGS} == before
